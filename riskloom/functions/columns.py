@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 
 def named(name: str) -> Column:
@@ -83,3 +85,12 @@ def flat_map(df: DataFrame, structs: Sequence[Column], carry: Sequence[Column] =
         cell = df.select(F.explode(F.array(*structs)).alias("cell"), *carry)
     kept = [c for c in cell.columns if c != "cell"]
     return cell.filter(F.col("cell").isNotNull()).select("cell.*", *kept)
+
+
+def local_rows(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType) -> DataFrame:
+    """A small table held by the driver, as a local relation whose size the optimizer knows."""
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    columns = list(zip(*rows)) if rows else [[] for _ in fields]
+    return spark.createDataFrame(
+        pa.Table.from_arrays([pa.array(list(values), type=to_arrow_type(f.dataType))
+                              for values, f in zip(columns, fields)], names=fields.names), schema=fields)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.functions.columns import chunked, count_if, finite, flat_map, named
+from riskloom.functions.columns import chunked, count_if, finite, flat_map, local_rows, named
 
 ROWS_PER_RANGE = 1_000_000
 BINS_PER_COLUMN = 2048
@@ -184,7 +184,7 @@ def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]], profile:
         wanted = [(i, at, int(k - ranges[c].before[at])) for i, c in enumerate(part)
                   for k, at in holding(c).items() if k not in found[c]]
         spark = df.sparkSession
-        targets = spark.createDataFrame(wanted, "c int, r int, k long")
+        targets = local_rows(spark, wanted, "c int, r int, k long")
         through = Window.partitionBy("c", "r").orderBy("x")
         values = (
             _cells(df, ranges, {c: active[c] for c in part}, {}, None)

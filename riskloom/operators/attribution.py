@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import chunked, count_if, named
+from riskloom.functions.columns import chunked, count_if, local_rows, named
 
 TOLERANCE = 1e-3  # fixed value: allowed gap between base + attributions and the margin
 TOP_N = 10
@@ -138,5 +138,5 @@ def local_examples(df: DataFrame, key: str, score: str, threshold: float, n: int
         for r in more:
             picked[f"high_risk_{len(picked)}"] = r[0]
     kind = df.schema[key].dataType.simpleString()
-    return df.sparkSession.createDataFrame([(j, k, v) for j, (k, v) in enumerate(picked.items())],
+    return local_rows(df.sparkSession, [(j, k, v) for j, (k, v) in enumerate(picked.items())],
                                            f"position int, reason string, `{key}` {kind}")

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import count_if, named
+from riskloom.functions.columns import count_if, local_rows, named
 
 VIOLATIONS = "table_name string, check string, column_name string, n long"
 
@@ -69,7 +69,7 @@ def _violation(table: str, check: str, column: str | None, n: Column) -> Column:
 
 
 def _known(spark: SparkSession, rows: list[tuple]) -> DataFrame:
-    return spark.createDataFrame(rows, VIOLATIONS)
+    return local_rows(spark, rows, VIOLATIONS)
 
 
 def _unfold(summary: DataFrame, checks: Sequence[Column]) -> DataFrame:

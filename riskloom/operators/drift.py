@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import chunked, count_if, finite, flat_map, named
+from riskloom.functions.columns import chunked, count_if, finite, flat_map, local_rows, named
 from riskloom.functions.distance import bin_index, distances
 from riskloom.functions.ranges import COLUMNS_PER_SCAN, column_profile, largest_gaps, quantiles
 
@@ -62,7 +62,7 @@ def histogram_parts(both: DataFrame, edges: Mapping[str, Sequence[float]], side:
     spark = both.sparkSession
     names = list(edges)
     rows = [(c, b) for c in names for b in range(len(edges[c]) - 1)]
-    grid = spark.createDataFrame(rows, "feature string, part int")  # features x bins
+    grid = local_rows(spark, rows, "feature string, part int")  # features x bins
     counts = []
     for part in chunked(names, COLUMNS_PER_SCAN):
         cells = [F.when(named(c).isNotNull(), F.struct(
@@ -85,7 +85,7 @@ def psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], bucket
     flat = [(c, 0.0, 0.0) for c, e in edges.items() if 0 < len(e) < 3]
     empty = [(c, None, None) for c, e in edges.items() if not e]
     schema = "feature string, psi double, js double"
-    out = reference.sparkSession.createDataFrame(flat + empty, schema)
+    out = local_rows(reference.sparkSession, flat + empty, schema)
     if binned:
         parts = histogram_parts(two_sided(reference, current, list(binned)), binned)
         out = out.unionByName(distances(parts, ["feature"]).select("feature", "psi", "js"))
@@ -134,7 +134,7 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: Sequence[st
         change = None if before is None or after is None else after - before
         rows.append((c, "numeric", gaps[c], before, after, change, ref[c]["mean"], cur[c]["mean"], ref[c]["std"],
                      cur[c]["std"], ref[c]["n"], cur[c]["n"]))
-    stats = reference.sparkSession.createDataFrame(rows, ", ".join(f"{k} {MEASURES[k]}" for k in (
+    stats = local_rows(reference.sparkSession, rows, ", ".join(f"{k} {MEASURES[k]}" for k in (
         "feature", "feature_type", "ks_statistic", "reference_missing_rate", "current_missing_rate",
         "missing_rate_change", "reference_mean", "current_mean", "reference_std", "current_std", "reference_n",
         "current_n")))
@@ -254,7 +254,7 @@ def _isolated(measure, reference: DataFrame, current: DataFrame, columns: Sequen
 
 
 def _stated(df: DataFrame, feature: str, kind: str, status: str, reason: str) -> DataFrame:
-    row = df.sparkSession.createDataFrame([(feature, kind, status, reason)],
+    row = local_rows(df.sparkSession, [(feature, kind, status, reason)],
                                           "feature string, feature_type string, drift_status string, drift_reason string")
     return _all_measures(row).join(row.select("feature", "drift_status", "drift_reason"), "feature")
 
@@ -271,8 +271,8 @@ def drift_report(reference: DataFrame, current: DataFrame, numeric: Sequence[str
         parts += _isolated(categorical_drift, reference, current, part, "categorical", limits)
     parts += [_stated(reference, c, kind, INSUFFICIENT, "absent from reference or current batch")
               for kind, cols in (("numeric", numeric), ("categorical", categorical)) for c in cols if c not in here]
-    place = reference.sparkSession.createDataFrame(
-        [(c, i) for i, c in enumerate([*numeric, *categorical])], "feature string, position int")
+    place = local_rows(
+        reference.sparkSession, [(c, i) for i, c in enumerate([*numeric, *categorical])], "feature string, position int")
     return reduce(DataFrame.unionByName, parts).join(place, "feature")
 
 

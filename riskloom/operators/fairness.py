@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import count_if, flat_map, named, share
+from riskloom.functions.columns import count_if, flat_map, local_rows, named, share
 from riskloom.operators.drift import CRITICAL, INSUFFICIENT, STABLE, WARNING
 from riskloom.operators.performance import NOT_AVAILABLE
 
@@ -97,9 +97,9 @@ def fairness_report(df: DataFrame, score: str, threshold: float, limits: Mapping
     schema = "status string, reasons string, labels_available boolean, columns_used string, columns_absent string"
     present, absent = [c for c in columns if c in df.columns], [c for c in columns if c not in df.columns]
     if not limits.get("enabled", True):
-        return spark.createDataFrame([(NOT_AVAILABLE, "group monitoring is disabled", False, "", "")], schema), None
+        return local_rows(spark, [(NOT_AVAILABLE, "group monitoring is disabled", False, "", "")], schema), None
     if not present:
-        return spark.createDataFrame([(NOT_AVAILABLE, "none of the grouping columns is present", False, "",
+        return local_rows(spark, [(NOT_AVAILABLE, "none of the grouping columns is present", False, "",
                                        ",".join(absent))], schema), None
     label = label if label and label in df.columns else None
     groups = group_metrics(df, present, score, threshold, label, int(limits["minimum_group_size"]))

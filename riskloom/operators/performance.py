@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import count_if, named, share
+from riskloom.functions.columns import count_if, local_rows, named, share
 from riskloom.functions.ranges import running_totals
 from riskloom.operators.contracts import check_scored, require
 from riskloom.operators.drift import CRITICAL, STABLE, WARNING
@@ -95,7 +95,7 @@ def metric_rows(evaluated: DataFrame) -> DataFrame:
 
 
 def small_table(spark, values: Mapping[str, float], schema: str) -> DataFrame:
-    return spark.createDataFrame([(k, float(v)) for k, v in values.items()], schema)
+    return local_rows(spark, [(k, float(v)) for k, v in values.items()], schema)
 
 
 def gate_check(metrics: DataFrame, gates: Mapping[str, float] = MONITORING_FLOORS) -> DataFrame:
@@ -113,7 +113,7 @@ def compare_to_baseline(metrics: DataFrame, baseline: Mapping[str, float]) -> Da
 
 
 def _order(spark) -> DataFrame:
-    return spark.createDataFrame([(m, i) for i, m in enumerate(METRICS)], "metric string, place int")
+    return local_rows(spark, [(m, i) for i, m in enumerate(METRICS)], "metric string, place int")
 
 
 def degradation_status(gates: DataFrame, changes: DataFrame) -> DataFrame:
@@ -144,12 +144,12 @@ def performance_report(df: DataFrame, label: str | None, score: str, threshold:
     """One row. Without labels it says so and holds no metric; one class only is refused."""
     spark = df.sparkSession
     if label is None or label not in df.columns:
-        return spark.createDataFrame([(False, NOT_AVAILABLE, "the batch carries no observed outcomes")],
+        return local_rows(spark, [(False, NOT_AVAILABLE, "the batch carries no observed outcomes")],
                                      "labels_available boolean, status string, reasons string")
     require(check_scored(df, label, score))
     evaluated = evaluate(df, label, score, threshold).withColumn("threshold", F.lit(float(threshold)))
     # one row of metrics that three small tables below refer to
-    known = spark.createDataFrame(evaluated.collect(), evaluated.schema)
+    known = local_rows(spark, evaluated.collect(), evaluated.schema)
     metrics = metric_rows(known)
     status = degradation_status(gate_check(metrics, gates), compare_to_baseline(metrics, baseline or {}))
     return known.withColumn("one", F.lit(1)).join(status.withColumn("one", F.lit(1)), "one").drop("one").withColumn(

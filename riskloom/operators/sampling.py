@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import count_if, finite, named, row_hash, unit_interval
+from riskloom.functions.columns import count_if, finite, local_rows, named, row_hash, unit_interval
 from riskloom.operators.cleaning import modes
 
 PREFIX = 4  # hex digits: 65,536 prefixes per stratum
@@ -79,8 +79,8 @@ def rank_cuts(df: DataFrame, key: str, seed: int, ranks: Mapping[str | None, Seq
             if at < len(upto):
                 wanted.append((s, mine["prefix"].iloc[at], int(k - (upto[at - 1] if at else 0)) + 1, i))
     if wanted:
-        targets = F.broadcast(df.sparkSession.createDataFrame(  # one row per cut
-            wanted, "stratum string, prefix string, place int, cut int"))
+        targets = F.broadcast(local_rows(  # one row per cut
+            df.sparkSession, wanted, "stratum string, prefix string, place int, cut int"))
         edges = targets.select("stratum", "prefix").distinct()
         near = hashed.withColumn("prefix", prefix)
         same = near["stratum"].eqNullSafe(edges["stratum"]) & (near["prefix"] == edges["prefix"])

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import count_if, finite, named
+from riskloom.functions.columns import count_if, finite, local_rows, named
 from riskloom.functions.distance import bin_index, distances
 from riskloom.functions.ranges import quantiles
 from riskloom.operators.drift import CRITICAL, DRIFT_LIMITS, STABLE, WARNING, psi, two_sided
@@ -64,8 +64,8 @@ def score_histogram(df: DataFrame, score: str, edges: list[float] | None = None)
     p = finite(named(score))
     inside = df.select(p.alias("p")).filter((F.col("p") >= edges[0]) & (F.col("p") <= edges[-1]))
     counts = inside.groupBy(bin_index(F.col("p"), edges[1:-1]).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    grid = df.sparkSession.createDataFrame(
-        [(i, edges[i], edges[i + 1]) for i in range(len(edges) - 1)], "bin int, low double, high double")
+    grid = local_rows(
+        df.sparkSession, [(i, edges[i], edges[i + 1]) for i in range(len(edges) - 1)], "bin int, low double, high double")
     return grid.join(counts, "bin", "left").na.fill(0, ["n"])
 
 

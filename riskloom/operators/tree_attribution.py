@@ -8,11 +8,12 @@ polynomial, so Gauss-Legendre quadrature is exact. Rows are handled as arrays, b
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -22,15 +23,9 @@ from riskloom.functions.columns import named
 from riskloom.session import shared_folder
 
 
-@dataclass(frozen=True)
-class Leaf:
-    """One root-to-leaf path: per distinct feature its interval (low, high] and weight share."""
-
-    value: float
-    features: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    share: np.ndarray
+# One root-to-leaf path: (leaf value, distinct features, low, high, weight share), the last four
+# aligned arrays; the row follows the path at a feature when its value lies in (low, high].
+Leaf = tuple[float, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
 
 
 def ensemble_leaves(spark: SparkSession, model: Model) -> tuple[list[Leaf], float]:
@@ -65,8 +60,8 @@ def ensemble_leaves(spark: SparkSession, model: Model) -> tuple[list[Leaf], floa
                 value = scale[tree] * output(node)
                 base += reach * value
                 ids = sorted(path)
-                leaves.append(Leaf(value, np.array(ids, int), *[np.array([path[i][k] for i in ids], float)
-                                                                 for k in range(3)]))
+                leaves.append((value, np.array(ids, int), *[np.array([path[i][k] for i in ids], float)
+                                                            for k in range(3)]))
                 return
             split = node.split
             feature = int(split["featureIndex"])
@@ -86,20 +81,19 @@ def ensemble_leaves(spark: SparkSession, model: Model) -> tuple[list[Leaf], floa
 def shapley_values(x: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
     """Attributions for a block of rows, shape (rows, features)."""
     out = np.zeros_like(x, dtype=float)
-    deepest = max((len(leaf.features) for leaf in leaves), default=1)
+    deepest = max((len(leaf[1]) for leaf in leaves), default=1)
     nodes = {d: np.polynomial.legendre.leggauss(max(1, (d + 1) // 2)) for d in range(1, deepest + 1)}
-    for leaf in leaves:
-        d = len(leaf.features)
-        if d == 0:
+    for value, features, low, high, share in leaves:
+        if len(features) == 0:
             continue
-        inside = x[:, leaf.features]
-        follows = ((inside > leaf.low) & (inside <= leaf.high)).astype(float)
-        points, weights = nodes[d]
+        inside = x[:, features]
+        follows = ((inside > low) & (inside <= high)).astype(float)
+        points, weights = nodes[len(features)]
         effect = np.zeros_like(follows)
         for point, weight in zip((points + 1) / 2, weights / 2):
-            factors = leaf.share * (1 - point) + follows * point
+            factors = share * (1 - point) + follows * point
             effect += weight * factors.prod(axis=1, keepdims=True) / factors
-        np.add.at(out.T, leaf.features, (leaf.value * (follows - leaf.share) * effect).T)
+        np.add.at(out.T, features, (value * (follows - share) * effect).T)
     return out
 
 
@@ -113,6 +107,7 @@ def tree_attribution(df: DataFrame, model: Model, features: str = "features", ou
     spark = df.sparkSession
     leaves, base = ensemble_leaves(spark, model)
     shipped = spark.sparkContext.broadcast(leaves)
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have the package
 
     @F.pandas_udf("array<double>")
     def attribute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

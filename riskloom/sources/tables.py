@@ -67,7 +67,8 @@ def read_parquet_tables(spark: SparkSession, folder: str, files: Mapping[str, st
     return {name: read_parquet(spark, path) for name, path in paths.items()}
 
 
-def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """Records written by :func:`riskloom.sources.sinks.write_json` or one document per file."""
-    reader = spark.read.option("multiLine", True)
+def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None,
+              whole_files: bool = False) -> DataFrame:
+    """One record per line, which Spark can split; ``whole_files`` for one pretty-printed document per file."""
+    reader = spark.read.option("multiLine", whole_files)
     return (reader.schema(schema) if schema is not None else reader).json(path)
