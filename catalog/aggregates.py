@@ -61,7 +61,7 @@ def rollup_two_level(spark, folder):
 
 @query("table_profile", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS n_rows, {n}::BIGINT AS n_columns FROM {t}"
-    for t, n in (("customer", 5), ("orders", 7), ("lineitem", 11), ("events", 7))))
+    for t, n in (("customer", 5), ("orders", 6), ("lineitem", 11), ("events", 6))))
 def table_profile(spark, folder):
     return contracts.table_profile({t: table(spark, folder, t) for t in ("customer", "orders", "lineitem", "events")})
 
@@ -140,7 +140,7 @@ def category_freq(spark, folder):
 
 
 @query("mean_abs", """SELECT (i - 1)::BIGINT AS position, 'dim' || (i - 1) AS feature,
-round(avg(abs(embedding[i]::DOUBLE)), 7) + 0.0::DOUBLE AS mean_abs
+round(avg(abs(embedding[i]::DOUBLE)), 6) + 0.0::DOUBLE AS mean_abs
 FROM embeddings, (SELECT unnest(range(1, 65)) AS i) GROUP BY i""")
 def mean_abs(spark, folder):
     df = table(spark, folder, "embeddings").withColumn("a", F.col("embedding").cast("array<double>"))

@@ -46,9 +46,12 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def finite(column: Column) -> Column:
-    """Coerce to double; text that is no number, NaN and both infinities become NULL."""
+    """Coerce to double; text that is no number, NaN and both infinities become NULL.
+
+    Spark orders NaN above infinity, so one comparison rules out all three.
+    """
     value = column.try_cast("double")
-    return F.when(~F.isnan(value) & (F.abs(value) != F.lit(float("inf"))), value)
+    return F.when(F.abs(value) < F.lit(float("inf")), value)
 
 
 def ratio(numerator: Column, denominator: Column, epsilon: float = 0.0) -> Column:
@@ -62,8 +65,36 @@ def share(numerator: Column, denominator: Column, otherwise: Column | float | No
 
 
 def count_if(condition: Column) -> Column:
-    return F.coalesce(F.sum(F.when(condition, F.lit(1).cast("long")).otherwise(F.lit(0).cast("long"))),
-                      F.lit(0).cast("long"))
+    return F.count_if(condition)
+
+
+# Plans over hundreds of columns are written as SQL text: one call into the JVM per column instead
+# of one per operator, which would dominate the run time of small tables.
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_number(value: float) -> str:
+    return f"double('{value}')" if value in (float("inf"), float("-inf")) else f"{float(value)!r}D"
+
+
+def sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_finite(df: DataFrame, name: str) -> str:
+    """SQL form of :func:`finite` for a column of a table, without tests its type makes pointless."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.IntegralType, T.DecimalType)):
+        return f"CAST({quoted(name)} AS DOUBLE)"
+    value = f"try_cast({quoted(name)} AS DOUBLE)"
+    return f"CASE WHEN abs({value}) < double('infinity') THEN {value} END"
+
+
+def sql_missing(df: DataFrame, name: str) -> str:
+    cell = quoted(name)
+    fractional = isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType))
+    return f"({cell} IS NULL OR isnan({cell}))" if fractional else f"({cell} IS NULL)"
 
 
 def row_hash(key: Column | str, seed: int | str) -> Column:
@@ -87,6 +118,13 @@ def flat_map(df: DataFrame, structs: Sequence[Column], carry: Sequence[Column] =
     return cell.filter(F.col("cell").isNotNull()).select("cell.*", *kept)
 
 
+def category_cells(columns: Sequence[str], key: str = "feature", value: str = "value", keep_missing: bool = False
+                   ) -> list[Column]:
+    """One struct ``(column name, value as text)`` per column; NULL where the value is, unless kept."""
+    cells = {c: f"named_struct('{key}', {sql_string(c)}, '{value}', CAST({quoted(c)} AS STRING))" for c in columns}
+    return [F.expr(e if keep_missing else f"CASE WHEN {quoted(c)} IS NOT NULL THEN {e} END") for c, e in cells.items()]
+
+
 def local_rows(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.StructType) -> DataFrame:
     """A small table held by the driver, as a local relation whose size the optimizer knows."""
     fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema

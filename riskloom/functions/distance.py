@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from riskloom.functions.columns import sql_number
+
 SMOOTHING = 1e-8  # fixed value: added to every part so that an empty part has a finite log ratio
 
 
@@ -55,9 +57,6 @@ def distances(parts: DataFrame, keys: Sequence[str], ref: str = "ref", cur: str
     )
 
 
-def bin_index(value: Column, inner_edges: Sequence[float]) -> Column:
-    """0-based bin of a value, bins closed on the left; a sum of comparisons stays in codegen."""
-    index = F.lit(0)
-    for edge in inner_edges:
-        index = index + (value >= F.lit(float(edge))).cast("int")
-    return index
+def bin_index(value: str, inner_edges: Sequence[float]) -> str:
+    """SQL for the 0-based bin of a value, bins closed on the left; a sum of comparisons stays in codegen."""
+    return " + ".join(["0", *[f"CAST({value} >= {sql_number(edge)} AS INT)" for edge in inner_edges]])

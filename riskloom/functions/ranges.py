@@ -16,9 +16,8 @@ import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from riskloom.functions.columns import chunked, count_if, finite, flat_map, local_rows, named
+from riskloom.functions.columns import chunked, flat_map, local_rows, named, sql_finite, sql_missing, sql_number
 
 ROWS_PER_RANGE = 1_000_000
 BINS_PER_COLUMN = 2048
@@ -47,35 +46,58 @@ def locate(df: DataFrame, columns: Mapping[str, Sequence[float]], suffix: str) -
     """Add ``<column><suffix>``: how many cut points lie at or below the value (binary search)."""
     cut = {c: list(points) for c, points in columns.items()}
     searched = [c for c in cut if cut[c]]
+    kept = [named(c) for c in df.columns]
     if searched:
         df = Bucketizer(
             splitsArray=[[-math.inf, *cut[c], math.inf] for c in searched],
             inputCols=searched, outputCols=[c + suffix for c in searched], handleInvalid="keep",
         ).transform(df)
-    return df.select(
-        *[F.col(c) for c in df.columns if c not in {s + suffix for s in searched}],
-        *[(F.col(c + suffix).cast("int") if c in searched else F.lit(0)).alias(c + suffix) for c in cut],
-    )
+    return df.select(*kept, *[
+        F.expr(f"CAST({c}{suffix} AS INT) AS {c}{suffix}" if c in searched else f"0 AS {c}{suffix}") for c in cut])
+
+
+_PROFILE = {"missing": "count_if(gone{0})", "n": "count(x{0})", "low": "min(x{0})", "high": "max(x{0})",
+            "mean": "avg(x{0})", "std": "stddev_pop(x{0})"}
+
 
+def _profiled(df: DataFrame, part: Sequence[str], extra: Sequence[str] = ()) -> DataFrame:
+    return df.selectExpr(*[f"{sql_finite(df, c)} AS x{i}" for i, c in enumerate(part)],
+                         *[f"{sql_missing(df, c)} AS gone{i}" for i, c in enumerate(part)], *extra)
 
-def column_profile(df: DataFrame, columns: Sequence[str]) -> dict[str, dict]:
-    """Row, null and finite counts, range, mean and population deviation of every column."""
+
+def _profile_plan(width: int, kept: Sequence[str]) -> list[Column]:
+    return [F.expr("count(1) AS `rows`"), *[
+        F.expr(f"{_PROFILE[k].format(i)} AS {k}{i}") for i in range(width) for k in kept]]
+
+
+def column_profile(df: DataFrame, columns: Sequence[str], moments: bool = True) -> dict[str, dict]:
+    """Row, null and finite counts and range of every column; mean and population deviation on request."""
     profile: dict[str, dict] = {}
+    kept = list(_PROFILE)[:6 if moments else 4]
     for part in chunked(list(columns), 100):
-        plan = [F.count(F.lit(1)).alias("rows")]
-        for i, c in enumerate(part):
-            raw, x = named(c), finite(named(c))
-            missing = raw.isNull() | F.isnan(raw) if isinstance(
-                df.schema[c].dataType, (T.DoubleType, T.FloatType)) else raw.isNull()
-            plan += [count_if(missing).alias(f"missing{i}"), F.count(x).alias(f"n{i}"), F.min(x).alias(f"low{i}"),
-                     F.max(x).alias(f"high{i}"), F.avg(x).alias(f"mean{i}"), F.stddev_pop(x).alias(f"std{i}")]
-        row = df.agg(*plan).first()
+        row = _profiled(df, part).agg(*_profile_plan(len(part), kept)).first()
         for i, c in enumerate(part):
-            profile[c] = {"rows": row["rows"], **{k: row[f"{k}{i}"] for k in
-                                                  ("missing", "n", "low", "high", "mean", "std")}}
+            profile[c] = {"rows": row["rows"], **{k: row[f"{k}{i}"] for k in kept}}
     return profile
 
 
+def paired_profile(reference: DataFrame, current: DataFrame, columns: Sequence[str], moments: bool = True
+                   ) -> tuple[dict[str, dict], dict[str, dict]]:
+    """The profiles of two batches from one grouped aggregation."""
+    profiles: tuple[dict, dict] = ({}, {})
+    kept = list(_PROFILE)[:6 if moments else 4]
+    for part in chunked(list(columns), 100):
+        both = _profiled(reference, part, ["0 AS side"]).unionByName(_profiled(current, part, ["1 AS side"]))
+        rows = {r["side"]: r for r in both.groupBy("side").agg(*_profile_plan(len(part), kept)).collect()}
+        for side, profile in enumerate(profiles):
+            for i, c in enumerate(part):
+                if side in rows:
+                    profile[c] = {"rows": rows[side]["rows"], **{k: rows[side][f"{k}{i}"] for k in kept}}
+                else:
+                    profile[c] = {"rows": 0, "missing": 0, "n": 0, **dict.fromkeys(kept[2:])}
+    return profiles
+
+
 def whole_ranges(profile: Mapping[str, dict]) -> dict[str, Ranges]:
     return {
         c: Ranges(np.array([p["low"]], float), np.array([p["high"]], float), np.array([p["n"]], np.int64))
@@ -87,26 +109,26 @@ def _cells(df: DataFrame, ranges: Mapping[str, Ranges], active: Mapping[str, np.
            carry: Mapping[str, Column], bins: Mapping[str, int] | None) -> DataFrame:
     """(column index, range index[, bin], value) for every value inside an active range."""
     names = list(active)
-    alias = {c: f"x{i}" for i, c in enumerate(names)}
-    base = df.select(*[finite(named(c)).alias(alias[c]) for c in names],
+    base = df.select(*[F.expr(f"{sql_finite(df, c)} AS x{i}") for i, c in enumerate(names)],
                      *[expr.alias(k) for k, expr in carry.items()])
-    base = locate(base, {alias[c]: ranges[c].cuts() for c in names}, "_at")
+    base = locate(base, {f"x{i}": ranges[c].cuts() for i, c in enumerate(names)}, "_at")
+
+    def pick(values: Sequence, i: int) -> str:
+        return f"element_at(array({', '.join(values)}), x{i}_at + 1)" if len(values) > 1 else values[0]
+
     structs = []
     for i, c in enumerate(names):
-        r, x, at = ranges[c], F.col(alias[c]), F.col(alias[c] + "_at")
-        wanted = x.isNotNull()
-        if len(r.rows) > 1:
-            wanted &= F.element_at(F.lit([bool(b) for b in active[c]]), at + 1)
-        cell = [F.lit(i).alias("c"), at.alias("r"), x.alias("x")]
+        r = ranges[c]
+        wanted = f"x{i} IS NOT NULL"
+        if not active[c].all():
+            wanted += " AND " + pick(["true" if a else "false" for a in active[c]], i)
+        cell = f"'c', {i}, 'r', x{i}_at, 'x', x{i}"
         if bins is not None:
             spread = r.high - r.low
             step = np.where(spread > 0, bins[c] / np.where(spread > 0, spread, 1.0), 0.0)
-            if len(r.rows) > 1:
-                low, scale = (F.element_at(F.lit([float(v) for v in a]), at + 1) for a in (r.low, step))
-            else:
-                low, scale = F.lit(float(r.low[0])), F.lit(float(step[0]))
-            cell.append(F.least(F.floor((x - low) * scale), F.lit(bins[c] - 1)).cast("int").alias("b"))
-        structs.append(F.when(wanted, F.struct(*cell)))
+            low, scale = pick([sql_number(v) for v in r.low], i), pick([sql_number(v) for v in step], i)
+            cell += f", 'b', CAST(least(floor((x{i} - {low}) * {scale}), {bins[c] - 1}) AS INT)"
+        structs.append(F.expr(f"CASE WHEN {wanted} THEN named_struct({cell}) END"))
     return flat_map(base, structs, [F.col(k) for k in carry])
 
 
@@ -203,7 +225,7 @@ def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]], profile:
 def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], profile: Mapping[str, dict] | None = None,
               rows_per_range: int | None = None) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation between neighbours; NULL for an empty column."""
-    profile = profile or column_profile(df, list(wanted))
+    profile = profile or column_profile(df, list(wanted), moments=False)
     place = {c: [(profile[c]["n"] - 1) * p for p in ps] for c, ps in wanted.items() if profile[c]["n"]}
     ranks = {c: sorted({r for h in hs for r in (math.floor(h), math.ceil(h))}) for c, hs in place.items()}
     values = order_statistics(df, ranks, profile, rows_per_range) if ranks else {}
@@ -222,11 +244,11 @@ def running_totals(df: DataFrame, value: str, measures: Mapping[str, Column], ke
     Rows meet first by value, so ties and hot values collapse before anything is ordered. The
     ordering then runs inside balanced ranges whose starting totals come from the range sums.
     """
-    profile = column_profile(df, [value])
+    profile = column_profile(df, [value], moments=False)
     ranges = balanced_ranges(df, whole_ranges(profile), rows_per_range)
     cuts = ranges[value].cuts() if value in ranges else []
     at = locate(
-        df.select(*[named(k) for k in keys], finite(named(value)).alias("value"),
+        df.select(*[named(k) for k in keys], F.expr(sql_finite(df, value)).alias("value"),
                   *[expr.alias(m) for m, expr in measures.items()]).filter(F.col("value").isNotNull()),
         {"value": cuts}, "_at",
     )

@@ -14,9 +14,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import chunked, count_if, finite, flat_map, local_rows, named
+from riskloom.functions.columns import (
+    category_cells, chunked, count_if, flat_map, local_rows, named, quoted, sql_finite, sql_missing, sql_string)
 from riskloom.functions.distance import bin_index, distances
-from riskloom.functions.ranges import COLUMNS_PER_SCAN, column_profile, largest_gaps, quantiles
+from riskloom.functions.ranges import COLUMNS_PER_SCAN, largest_gaps, paired_profile, quantiles
 
 log = logging.getLogger(__name__)
 
@@ -44,8 +45,8 @@ def two_sided(reference: DataFrame, current: DataFrame, columns: Sequence[str],
               side: str = "side") -> DataFrame:
     """Both batches below each other, marked 0 and 1, pruned to the compared columns."""
     def part(df: DataFrame, mark: int) -> DataFrame:
-        return df.select(*[(finite(named(c)) if numeric else named(c).cast("string")).alias(c) for c in columns],
-                         F.lit(mark).alias(side))
+        return df.selectExpr(*[f"{sql_finite(df, c) if numeric else f'CAST({quoted(c)} AS STRING)'} AS {quoted(c)}"
+                               for c in columns], f"{mark} AS {side}")
     return part(reference, 0).unionByName(part(current, 1))
 
 
@@ -58,19 +59,21 @@ def quantile_edges(df: DataFrame, columns: Sequence[str], buckets: int = 10, pro
 
 
 def histogram_parts(both: DataFrame, edges: Mapping[str, Sequence[float]], side: str = "side") -> DataFrame:
-    """``(feature, part, ref, cur)`` with every bin present; the outer bins are open-ended."""
-    spark = both.sparkSession
+    """``(feature, part, ref, cur)`` with every bin present; the outer bins are open-ended.
+
+    One combined count over both batches. Its result is as small as features x bins, so it comes
+    back as a local table and nothing that uses it scans the batches again.
+    """
     names = list(edges)
-    rows = [(c, b) for c in names for b in range(len(edges[c]) - 1)]
-    grid = local_rows(spark, rows, "feature string, part int")  # features x bins
-    counts = []
+    found: dict[tuple[str, int], tuple[int, int]] = {}
     for part in chunked(names, COLUMNS_PER_SCAN):
-        cells = [F.when(named(c).isNotNull(), F.struct(
-            F.lit(c).alias("feature"), bin_index(named(c), edges[c][1:-1]).alias("part"))) for c in part]
-        counts.append(flat_map(both, cells, [F.col(side)]).groupBy("feature", "part").agg(
-            count_if(F.col(side) == 0).alias("ref"), count_if(F.col(side) == 1).alias("cur")))
-    found = reduce(DataFrame.unionByName, counts)
-    return grid.join(found, ["feature", "part"], "left").na.fill(0, ["ref", "cur"])
+        cells = [F.expr(f"CASE WHEN {quoted(c)} IS NOT NULL THEN named_struct('feature', {sql_string(c)}, 'part', "
+                        f"{bin_index(quoted(c), edges[c][1:-1])}) END") for c in part]
+        for r in flat_map(both, cells, [F.col(side)]).groupBy("feature", "part").agg(
+                count_if(F.col(side) == 0).alias("ref"), count_if(F.col(side) == 1).alias("cur")).collect():
+            found[r["feature"], r["part"]] = (r["ref"], r["cur"])
+    rows = [(c, b, *found.get((c, b), (0, 0))) for c in names for b in range(len(edges[c]) - 1)]
+    return local_rows(both.sparkSession, rows, "feature string, part int, ref long, cur long")
 
 
 def psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], buckets: int = 10,
@@ -79,17 +82,17 @@ def psi(reference: DataFrame, current: DataFrame, columns: Sequence[str], bucket
 
     A column with fewer than three distinct edges has no bins to move between: both are 0.
     """
-    profile = profile or column_profile(reference, columns)
     edges = quantile_edges(reference, columns, buckets, profile)
     binned = {c: e for c, e in edges.items() if len(e) >= 3}
+    parts = histogram_parts(two_sided(reference, current, list(binned)), binned) if binned else None
+    return binned_distances(reference, edges, parts)
+
+
+def binned_distances(df: DataFrame, edges: Mapping[str, Sequence[float]], parts: DataFrame | None) -> DataFrame:
     flat = [(c, 0.0, 0.0) for c, e in edges.items() if 0 < len(e) < 3]
     empty = [(c, None, None) for c, e in edges.items() if not e]
-    schema = "feature string, psi double, js double"
-    out = local_rows(reference.sparkSession, flat + empty, schema)
-    if binned:
-        parts = histogram_parts(two_sided(reference, current, list(binned)), binned)
-        out = out.unionByName(distances(parts, ["feature"]).select("feature", "psi", "js"))
-    return out
+    out = local_rows(df.sparkSession, flat + empty, "feature string, psi double, js double")
+    return out if parts is None else out.unionByName(distances(parts, ["feature"]).select("feature", "psi", "js"))
 
 
 def ks_pvalue(statistic: Column, n: Column, m: Column) -> Column:
@@ -112,8 +115,9 @@ def ks_statistics(reference: DataFrame, current: DataFrame, columns: Sequence[st
                   ref_profile: Mapping[str, dict] | None = None, cur_profile: Mapping[str, dict] | None = None,
                   rows_per_range: int | None = None) -> dict[str, float | None]:
     """Exact two-sample KS distance; ``None`` below the minimum of rows on either side."""
-    ref = ref_profile or column_profile(reference, columns)
-    cur = cur_profile or column_profile(current, columns)
+    if ref_profile is None or cur_profile is None:
+        ref_profile, cur_profile = paired_profile(reference, current, columns, moments=False)
+    ref, cur = ref_profile, cur_profile
     usable = [c for c in columns if min(ref[c]["n"], cur[c]["n"]) >= MIN_ROWS]
     gaps = largest_gaps(two_sided(reference, current, usable), usable, "side", _pooled(ref, cur, usable),
                         rows_per_range) if usable else {}
@@ -125,7 +129,7 @@ def _missing_rate(p: Mapping) -> float | None:
 
 
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str], buckets: int = 10) -> DataFrame:
-    ref, cur = column_profile(reference, columns), column_profile(current, columns)
+    ref, cur = paired_profile(reference, current, columns)
     measured = [c for c in columns if min(ref[c]["n"], cur[c]["n"]) >= MIN_ROWS]
     gaps = ks_statistics(reference, current, columns, ref, cur)
     rows = []
@@ -145,51 +149,63 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: Sequence[st
         "ks_pvalue", ks_pvalue(F.col("ks_statistic"), F.col("reference_n"), F.col("current_n"))))
 
 
-def category_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``(feature, part, ref, cur)`` over the union of both batches' categories."""
+def category_counts(reference: DataFrame, current: DataFrame, columns: Sequence[str], keep_missing: bool = False
+                    ) -> DataFrame:
+    """``(feature, part, ref, cur)`` over the union of both batches' categories.
+
+    ``keep_missing`` keeps a NULL part per feature, so that missing rates need no scan of their own.
+    """
     both = two_sided(reference, current, columns, numeric=False)
-    cells = [F.when(named(c).isNotNull(), F.struct(F.lit(c).alias("feature"), named(c).alias("part"))) for c in columns]
-    return flat_map(both, cells, [F.col("side")]).groupBy("feature", "part").agg(
+    counts = flat_map(both, category_cells(columns, value="part", keep_missing=keep_missing), [F.col("side")])
+    return counts.groupBy("feature", "part").agg(
         count_if(F.col("side") == 0).alias("ref"), count_if(F.col("side") == 1).alias("cur"))
 
 
 def category_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Normalised frequencies per column; totals join back, so no window spans a whole column."""
-    cells = [F.when(named(c).isNotNull(), F.struct(F.lit(c).alias("feature"), named(c).cast("string").alias("value")))
-             for c in columns]
-    counts = flat_map(df, cells).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
+    counts = flat_map(df, category_cells(columns)).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
     total = counts.groupBy("feature").agg(F.sum("n").alias("total"))
     return counts.join(total, "feature").select("feature", "value", "n", (F.col("n") / F.col("total")).alias("share"))
 
 
+def _category_summary() -> list[Column]:
+    """Aggregates over the known categories of a feature; the NULL part holds the missing rows."""
+    known = F.col("part").isNotNull()
+    ref, cur = (F.coalesce(F.sum(F.when(known, F.col(c))), F.lit(0)) for c in ("ref", "cur"))
+    unseen = F.sum(F.when(known & (F.col("ref") == 0), F.col("cur")).otherwise(0))
+    return [F.when(ref > 0, F.try_divide(unseen, cur)).alias("unseen_category_rate"), ref.alias("reference_n"),
+            cur.alias("current_n"), count_if(known & (F.col("ref") > 0)).alias("reference_categories"),
+            count_if(known & (F.col("cur") > 0)).alias("current_categories")]
+
+
 def unseen_rates(counts: DataFrame) -> DataFrame:
     """Share of current rows whose category never occurs in the reference."""
-    unseen = F.sum(F.when(F.col("ref") == 0, F.col("cur")).otherwise(0))
-    return counts.groupBy("feature").agg(
-        F.when(F.sum("ref") > 0, F.try_divide(unseen, F.sum("cur"))).alias("unseen_category_rate"),
-        F.sum("ref").alias("reference_n"), F.sum("cur").alias("current_n"),
-        count_if(F.col("ref") > 0).alias("reference_categories"),
-        count_if(F.col("cur") > 0).alias("current_categories"))
+    return counts.groupBy("feature").agg(*_category_summary())
 
 
 def missing_change(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Missing rates of both batches and their difference, one row per column, one scan per batch."""
     def rates(df: DataFrame, name: str) -> DataFrame:
-        shares = df.agg(*[F.avg(named(c).isNull().cast("double")).alias(f"s{i}") for i, c in enumerate(columns)])
-        return shares.select(F.inline(F.array(*[
-            F.struct(F.lit(c).alias("feature"), F.col(f"s{i}").alias(name)) for i, c in enumerate(columns)])))
+        cells = ", ".join(f"named_struct('feature', {sql_string(c)}, '{name}', s{i})" for i, c in enumerate(columns))
+        return df.selectExpr(*[f"avg(CAST({sql_missing(df, c)} AS DOUBLE)) AS s{i}" for i, c in enumerate(columns)]
+                             ).selectExpr(f"inline(array({cells}))")
     before, after = rates(reference, "reference_missing_rate"), rates(current, "current_missing_rate")
     return before.join(after, "feature").withColumn(
         "missing_rate_change", F.col("current_missing_rate") - F.col("reference_missing_rate"))
 
 
 def categorical_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    counts = category_counts(reference, current, columns)
-    apart = distances(counts, ["feature"], normalise_first=True).select(
+    """One scan and one shuffle of category counts; both summaries below reuse that exchange."""
+    counts = category_counts(reference, current, columns, keep_missing=True)
+    apart = distances(counts.filter(F.col("part").isNotNull()), ["feature"], normalise_first=True).select(
         "feature", "psi", F.col("js").alias("distribution_distance"), F.col("tv").alias("total_variation_distance"))
-    out = missing_change(reference, current, columns).join(unseen_rates(counts), "feature", "left").join(
-        apart, "feature", "left").withColumn("feature_type", F.lit("categorical"))
-    return _all_measures(out.na.fill(0, ["reference_n", "current_n", "reference_categories", "current_categories"]))
+    gone = {c: F.coalesce(F.sum(F.when(F.col("part").isNull(), F.col(c))), F.lit(0)) for c in ("ref", "cur")}
+    summary = counts.groupBy("feature").agg(
+        *_category_summary(), F.try_divide(gone["ref"], F.sum("ref")).alias("reference_missing_rate"),
+        F.try_divide(gone["cur"], F.sum("cur")).alias("current_missing_rate"))
+    out = summary.join(apart, "feature", "left").withColumn("feature_type", F.lit("categorical")).withColumn(
+        "missing_rate_change", F.col("current_missing_rate") - F.col("reference_missing_rate"))
+    return _all_measures(out)
 
 
 def _all_measures(df: DataFrame) -> DataFrame:

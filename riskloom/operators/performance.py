@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import count_if, local_rows, named, share
@@ -59,14 +59,18 @@ def precision_recall_curve(curve: DataFrame) -> DataFrame:
                         share(F.col("cum_tp").cast("double"), F.col("all_tp"), 0.0).alias("recall"))
 
 
-def rank_metrics(curve: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """ROC-AUC (ties count half) and average precision (step sum), undefined with a single class."""
+def _rank_aggregates() -> list[Column]:
     tp, fp, upto = F.col("tp"), F.col("fp"), F.col("cum_tp")
     positives, negatives = F.sum(tp).cast("double"), F.sum(fp).cast("double")
     area = F.sum(fp.cast("double") * (upto - tp / 2))
     steps = F.sum(tp * upto / (upto + F.col("cum_fp")))
-    return curve.groupBy(*keys).agg(F.try_divide(area, positives * negatives).alias("roc_auc"),
-                                    F.try_divide(steps, positives).alias("average_precision"))
+    return [F.try_divide(area, positives * negatives).alias("roc_auc"),
+            F.try_divide(steps, positives).alias("average_precision")]
+
+
+def rank_metrics(curve: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """ROC-AUC (ties count half) and average precision (step sum), undefined with a single class."""
+    return curve.groupBy(*keys).agg(*_rank_aggregates())
 
 
 def f1_threshold(curve: DataFrame) -> DataFrame:
@@ -78,13 +82,18 @@ def f1_threshold(curve: DataFrame) -> DataFrame:
 
 def evaluate(df: DataFrame, label: str, score: str, threshold: float = 0.5, keys: Sequence[str] = (),
              rows_per_range: int | None = None) -> DataFrame:
-    """All metrics per key (say, per model) or for the whole table."""
-    by = list(keys)
-    if not by:
-        df, by = df.withColumn("all_rows", F.lit(1)), ["all_rows"]
-    counted = threshold_metrics(confusion_counts(df, label, score, threshold, by))
-    out = counted.join(rank_metrics(score_curve(df, label, score, by, rows_per_range), by), by)
-    return out if keys else out.drop("all_rows")
+    """All metrics per key (say, per model) or for the whole table.
+
+    The curve already holds the class counts per score, so the confusion counts come out of the same
+    aggregation as the rank metrics.
+    """
+    curve = score_curve(df, label, score, keys, rows_per_range)
+    hit = F.col("value") >= F.lit(float(threshold))
+    counts = [F.sum(F.when(~hit, F.col("fp")).otherwise(0)).alias("tn"),
+              F.sum(F.when(hit, F.col("fp")).otherwise(0)).alias("fp"),
+              F.sum(F.when(~hit, F.col("tp")).otherwise(0)).alias("fn"),
+              F.sum(F.when(hit, F.col("tp")).otherwise(0)).alias("tp")]
+    return threshold_metrics(curve.groupBy(*keys).agg(*counts, *_rank_aggregates()))
 
 
 def metric_rows(evaluated: DataFrame) -> DataFrame:
@@ -147,13 +156,14 @@ def performance_report(df: DataFrame, label: str | None, score: str, threshold:
         return local_rows(spark, [(False, NOT_AVAILABLE, "the batch carries no observed outcomes")],
                                      "labels_available boolean, status string, reasons string")
     require(check_scored(df, label, score))
-    evaluated = evaluate(df, label, score, threshold).withColumn("threshold", F.lit(float(threshold)))
-    # one row of metrics that three small tables below refer to
-    known = local_rows(spark, evaluated.collect(), evaluated.schema)
-    metrics = metric_rows(known)
-    status = degradation_status(gate_check(metrics, gates), compare_to_baseline(metrics, baseline or {}))
-    return known.withColumn("one", F.lit(1)).join(status.withColumn("one", F.lit(1)), "one").drop("one").withColumn(
-        "labels_available", F.lit(True))
+    evaluated = evaluate(df, label, score, threshold)
+    # a single row of metrics; the small tables below refer to it, not to the batch
+    known = evaluated.first().asDict()
+    metrics = metric_rows(local_rows(spark, [tuple(known.values())], evaluated.schema))
+    status = degradation_status(gate_check(metrics, gates), compare_to_baseline(metrics, baseline or {})).first()
+    return local_rows(spark, [tuple(known.values())], evaluated.schema).select(
+        "*", F.lit(float(threshold)).alias("threshold"), F.lit(status["status"]).alias("status"),
+        F.lit(status["reasons"]).alias("reasons"), F.lit(True).alias("labels_available"))
 
 
 def normalise_status(df: DataFrame, column: str = "status") -> DataFrame:

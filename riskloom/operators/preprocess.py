@@ -7,6 +7,7 @@ deviation. Categorical: most frequent value, then one column per category; unsee
 from __future__ import annotations
 
 import logging
+import math
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -17,8 +18,9 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import chunked, flat_map, named, numeric_columns, other_columns
-from riskloom.functions.ranges import column_profile, quantiles
+from riskloom.functions.columns import (
+    category_cells, chunked, flat_map, named, numeric_columns, other_columns, quoted, sql_number, sql_string)
+from riskloom.functions.ranges import column_profile, order_statistics, quantiles
 from riskloom.operators.alignment import align_lenient
 
 log = logging.getLogger(__name__)
@@ -28,49 +30,99 @@ def medians(df: DataFrame, columns: Sequence[str], profile: dict | None = None)
     return {c: q[0] for c, q in quantiles(df, {c: [0.5] for c in columns}, profile).items()}
 
 
+def _fence(q1: float, q3: float, factor: float) -> tuple[float, float]:
+    return q1 - factor * (q3 - q1), q3 + factor * (q3 - q1)
+
+
 def tukey_fences(df: DataFrame, columns: Sequence[str], factor: float = 1.5) -> dict[str, tuple[float, float]]:
+    found = quantiles(df, {c: [0.25, 0.75] for c in columns})
+    return {c: _fence(q1, q3, factor) for c, (q1, q3) in found.items() if q1 is not None}
+
+
+def imputed_fences(df: DataFrame, columns: Sequence[str], factor: float = 1.5
+                   ) -> tuple[dict[str, float | None], dict[str, tuple[float, float]]]:
+    """(medians, fences of the median-filled columns) from one search for order statistics.
+
+    Filling inserts one copy of the median per missing row right behind the lower middle value, so a
+    rank of the filled column maps to a rank of the present values and no second scan is needed.
+    """
+    profile = column_profile(df, columns, moments=False)
+    ranks: dict[str, list[int]] = {}
+    for c, p in profile.items():
+        if p["n"]:
+            n, gone = p["n"], p["rows"] - p["n"]
+            middle = (n - 1) // 2
+            at = [middle, n // 2]
+            for share in (0.25, 0.75):
+                place = (n + gone - 1) * share
+                at += [r if r <= middle else r - gone for r in (math.floor(place), math.ceil(place))
+                       if r <= middle or r > middle + gone]
+            ranks[c] = sorted(set(at))
+    values = order_statistics(df, ranks, profile)
+    centre: dict[str, float | None] = dict.fromkeys(columns)
     fences = {}
-    for c, (q1, q3) in quantiles(df, {c: [0.25, 0.75] for c in columns}).items():
-        if q1 is not None:
-            fences[c] = (q1 - factor * (q3 - q1), q3 + factor * (q3 - q1))
-    return fences
+    for c in ranks:
+        n, gone = profile[c]["n"], profile[c]["rows"] - profile[c]["n"]
+        middle = (n - 1) // 2
+        half = (n - 1) * 0.5 - middle
+        centre[c] = values[c][middle] + (values[c][n // 2] - values[c][middle]) * half
+
+        def filled(rank: int) -> float:
+            if rank <= middle:
+                return values[c][rank]
+            return centre[c] if rank <= middle + gone else values[c][rank - gone]
+
+        quartiles = []
+        for share in (0.25, 0.75):
+            place = (n + gone - 1) * share
+            low, high = filled(math.floor(place)), filled(math.ceil(place))
+            quartiles.append(low + (high - low) * (place - math.floor(place)))
+        fences[c] = _fence(*quartiles, factor)
+    return centre, fences
 
 
 def clipped(c: Column, low: float, high: float) -> Column:
     return F.when(c.isNotNull(), F.greatest(F.least(c, F.lit(high)), F.lit(low)))
 
 
-def moments(df: DataFrame, values: dict[str, Column]) -> dict[str, tuple[float, float]]:
+def moments(df: DataFrame, values: dict[str, Column | str]) -> dict[str, tuple[float, float]]:
     """Mean and population deviation per expression; a constant column gets deviation 1."""
     out = {}
     for part in chunked(list(values), 100):
-        row = df.agg(*[e for i, c in enumerate(part) for e in (
-            F.avg(values[c]).alias(f"m{i}"), F.stddev_pop(values[c]).alias(f"s{i}"))]).first()
+        made = df.select(*[(F.expr(e) if isinstance(e, str) else e).alias(f"x{i}")
+                           for i, e in enumerate(values[c] for c in part)])
+        row = made.selectExpr(*[f"avg(x{i}) AS m{i}" for i in range(len(part))],
+                              *[f"stddev_pop(x{i}) AS s{i}" for i in range(len(part))]).first()
         for i, c in enumerate(part):
             out[c] = (row[f"m{i}"], row[f"s{i}"] or 1.0)
     return out
 
 
+def _sql_filled(name: str, median: float) -> str:
+    return f"coalesce(CAST({quoted(name)} AS DOUBLE), {sql_number(median)})"
+
+
+def _sql_clipped(value: str, low: float, high: float) -> str:
+    return f"greatest(least({value}, {sql_number(high)}), {sql_number(low)})"
+
+
 def category_levels(df: DataFrame, columns: Sequence[str], limit: int = 10_000
                     ) -> tuple[dict[str, str], dict[str, list[str]]]:
     """Mode (smallest among ties) and sorted levels per column.
 
-    The levels become model columns, so they must fit on the driver: their number is counted first,
-    and too many is an error rather than a silent cut.
+    The levels become model columns, so they must fit on the driver: one row more than that is asked
+    for, and finding it is an error rather than a silent cut.
     """
-    cells = [F.when(named(c).isNotNull(), F.struct(F.lit(c).alias("name"), named(c).cast("string").alias("value")))
-             for c in columns]
-    counts = flat_map(df, cells).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
-    best = {r["name"]: r for r in counts.groupBy("name").agg(
-        F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"),
-        F.count(F.lit(1)).alias("levels")).collect()}
-    wide = {c: r["levels"] for c, r in best.items() if r["levels"] > limit}
-    if wide:
-        raise ValueError(f"too many categories for one-hot columns: {wide}")
-    levels: dict[str, list[str]] = {c: [] for c in best}
-    for r in counts.select("name", "value").collect():
-        levels[r["name"]].append(r["value"])
-    return {c: r["mode"] for c, r in best.items()}, {c: sorted(v) for c, v in levels.items()}
+    counts = flat_map(df, category_cells(columns, "name")).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    rows = counts.limit(limit * len(columns) + 1).collect()
+    found: dict[str, dict[str, int]] = {c: {} for c in columns}
+    for r in rows:
+        found[r["name"]][r["value"]] = r["n"]
+    wide = sorted(c for c, v in found.items() if len(v) > limit)
+    if wide or len(rows) > limit * len(columns):
+        raise ValueError(f"more than {limit} categories for one-hot columns, among {wide or list(columns)}")
+    return ({c: min(v, key=lambda k: (-v[k], k)) for c, v in found.items() if v},
+            {c: sorted(v) for c, v in found.items() if v})
 
 
 class _Columns(Params):
@@ -100,13 +152,12 @@ class TabularPreprocessor(Estimator, _Columns, DefaultParamsReadable, DefaultPar
         columns = self.getInputCols()
         frame = dataset.select(*[named(c) for c in columns])
         numeric, categorical = numeric_columns(frame), other_columns(frame)
-        centre = medians(frame, numeric) if numeric else {}
+        centre, fences = imputed_fences(frame, numeric, self.getOrDefault(self.iqrFactor)) if numeric else ({}, {})
         for c in [c for c in numeric if centre[c] is None]:
             log.warning("column %s has no values in the training rows and is left out", c)
         numeric = [c for c in numeric if centre[c] is not None]
-        filled = frame.select(*[F.coalesce(named(c).cast("double"), F.lit(centre[c])).alias(c) for c in numeric])
-        fences = tukey_fences(filled, numeric, self.getOrDefault(self.iqrFactor)) if numeric else {}
-        spread = moments(filled, {c: clipped(named(c), *fences[c]) for c in numeric}) if numeric else {}
+        spread = moments(frame, {c: _sql_clipped(_sql_filled(c, centre[c]), *fences[c]) for c in numeric}
+                         ) if numeric else {}
         mode, levels = category_levels(frame, categorical, self.getOrDefault(self.maxLevels)) if categorical else ({}, {})
         model = TabularPreprocessorModel()
         model._set(
@@ -146,19 +197,23 @@ class TabularPreprocessorModel(Model, _Columns, DefaultParamsReadable, DefaultPa
         numeric, categorical = self.feature_types()
         return numeric + [f"{c}_{v}" for c, vs in zip(categorical, self.getOrDefault(self.levels)) for v in vs]
 
-    def expressions(self) -> dict[str, Column]:
-        out: dict[str, Column] = {}
+    def sql_expressions(self) -> dict[str, str]:
+        out: dict[str, str] = {}
         stats = zip(*[self.getOrDefault(p) for p in (
             self.numericCols, self.medians, self.lower, self.upper, self.means, self.deviations)])
         for c, median, low, high, mean, deviation in stats:
-            x = F.coalesce(named(c).cast("double"), F.lit(median))
-            out[c] = (clipped(x, low, high) - F.lit(mean)) / F.lit(deviation)
+            value = _sql_clipped(_sql_filled(c, median), low, high)
+            out[c] = f"({value} - {sql_number(mean)}) / {sql_number(deviation)}"
         for c, mode, levels in zip(*[self.getOrDefault(p) for p in (self.categoricalCols, self.modes, self.levels)]):
-            value = F.coalesce(named(c).cast("string"), F.lit(mode))
+            value = f"coalesce(CAST({quoted(c)} AS STRING), {sql_string(mode)})"
             for v in levels:
-                out[f"{c}_{v}"] = (value == F.lit(v)).cast("double")
+                out[f"{c}_{v}"] = f"CAST({value} = {sql_string(v)} AS DOUBLE)"
         return out
 
+    def expressions(self) -> dict[str, Column]:
+        """One column per output name."""
+        return {name: F.expr(e) for name, e in self.sql_expressions().items()}
+
     def align(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
         inputs = self.getInputCols()
         return align_lenient(df, [*[c for c in keep if c not in inputs], *inputs], self.getOrDefault(self.types))
@@ -168,4 +223,5 @@ class TabularPreprocessorModel(Model, _Columns, DefaultParamsReadable, DefaultPa
         return df.select(*[named(c) for c in keep], *[e.alias(n) for n, e in self.expressions().items()])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumn(self.getOutputCol(), array_to_vector(F.array(*self.expressions().values())))
+        return dataset.withColumn(self.getOutputCol(), array_to_vector(
+            F.expr(f"array({', '.join(self.sql_expressions().values())})")))

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import count_if, finite, local_rows, named
+from riskloom.functions.columns import count_if, finite, local_rows, named, sql_finite
 from riskloom.functions.distance import bin_index, distances
 from riskloom.functions.ranges import quantiles
-from riskloom.operators.drift import CRITICAL, DRIFT_LIMITS, STABLE, WARNING, psi, two_sided
+from riskloom.operators.drift import CRITICAL, DRIFT_LIMITS, STABLE, WARNING, histogram_parts, two_sided
 
 # The eleven edges of the probability histogram, as floating point yields them.
 PROBABILITY_EDGES = [i * 0.1 for i in range(11)]
@@ -30,32 +30,40 @@ def minmax_scores(df: DataFrame, score: str, output: str = "score_scaled") -> Da
     return df.withColumn(output, (named(score) - F.lit(low)) / F.lit(high - low + 1e-12))
 
 
-def _summary(p: Column, threshold: float) -> dict[str, Column]:
-    return {
-        "n": F.count(p), "mean_probability": F.avg(p), "std_probability": F.stddev_pop(p), "min_probability": F.min(p),
-        "max_probability": F.max(p), "positive_rate": F.avg((p >= F.lit(float(threshold))).cast("double")),
-    }
+def _summaries(df: DataFrame, score: str, threshold: float, sides: Sequence[str]) -> list[dict]:
+    """Statistics of the finite scores per side, one aggregation; scores outside [0, 1] are refused."""
+    p = F.col("p")
+    rows = {r["side"]: r.asDict() for r in df.groupBy("side").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(p).alias("n"), F.min(p).alias("min_probability"),
+        F.max(p).alias("max_probability"), F.avg(p).alias("mean_probability"),
+        F.stddev_pop(p).alias("std_probability"),
+        F.avg((p >= F.lit(float(threshold))).cast("double")).alias("positive_rate")).collect()}
+    out = []
+    for side, name in enumerate(sides):
+        seen = rows.get(side)
+        if seen is None:
+            raise ValueError(f"{name}: no predictions to describe")
+        if not seen["n"]:
+            raise ValueError(f"{name}: no prediction is finite")
+        if seen["min_probability"] < 0.0 or seen["max_probability"] > 1.0:
+            raise ValueError(f"{name}: predictions must lie in [0, 1], found "
+                             f"[{seen['min_probability']}, {seen['max_probability']}]")
+        out.append(seen)
+    return out
 
 
-def _guard(df: DataFrame, score: str) -> None:
-    p = finite(named(score))
-    seen = df.agg(F.count(F.lit(1)).alias("rows"), F.count(p).alias("n"), F.min(p).alias("low"), F.max(p).alias("high")
-                  ).first()
-    if not seen["rows"]:
-        raise ValueError("no predictions to describe")
-    if not seen["n"]:
-        raise ValueError("no prediction is finite")
-    if seen["low"] < 0.0 or seen["high"] > 1.0:
-        raise ValueError(f"predictions must lie in [0, 1], found [{seen['low']}, {seen['high']}]")
+SUMMARY = ("mean_probability", "std_probability", "min_probability", "max_probability", "positive_rate")
 
 
 def describe_scores(df: DataFrame, score: str, threshold: float) -> DataFrame:
     """One row: count, mean, median, population deviation, range and positive rate of finite scores."""
-    _guard(df, score)
-    median = quantiles(df, {score: [0.5]})[score][0]
-    made = _summary(finite(named(score)), threshold)
-    return df.agg(*[e.alias(k) for k, e in made.items()]).select(
-        "*", F.lit(median).alias("median_probability"), F.lit(float(threshold)).alias("threshold"))
+    one = df.selectExpr(f"{sql_finite(df, score)} AS p", "0 AS side")
+    seen = _summaries(one, score, threshold, [score])[0]
+    profile = {"p": {"n": seen["n"], "low": seen["min_probability"], "high": seen["max_probability"]}}
+    median = quantiles(one, {"p": [0.5]}, profile)["p"][0]
+    values = (seen["n"], *[seen[k] for k in SUMMARY], median, float(threshold))
+    return local_rows(df.sparkSession, [values], "n long, " + ", ".join(f"{k} double" for k in (
+        *SUMMARY, "median_probability", "threshold")))
 
 
 def score_histogram(df: DataFrame, score: str, edges: list[float] | None = None) -> DataFrame:
@@ -63,7 +71,7 @@ def score_histogram(df: DataFrame, score: str, edges: list[float] | None = None)
     edges = edges or PROBABILITY_EDGES
     p = finite(named(score))
     inside = df.select(p.alias("p")).filter((F.col("p") >= edges[0]) & (F.col("p") <= edges[-1]))
-    counts = inside.groupBy(bin_index(F.col("p"), edges[1:-1]).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = inside.groupBy(F.expr(bin_index("p", edges[1:-1])).alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     grid = local_rows(
         df.sparkSession, [(i, edges[i], edges[i + 1]) for i in range(len(edges) - 1)], "bin int, low double, high double")
     return grid.join(counts, "bin", "left").na.fill(0, ["n"])
@@ -79,24 +87,34 @@ def paired_histogram(reference: DataFrame, current: DataFrame, score: str) -> Da
 def prediction_drift(reference: DataFrame, current: DataFrame, score: str, threshold: float,
                      limits: Mapping[str, float] = PREDICTION_LIMITS,
                      bands: Mapping[str, float] = DRIFT_LIMITS) -> DataFrame:
-    """One row comparing both score distributions at the frozen threshold, with status and reasons."""
-    _guard(reference, score)
-    _guard(current, score)
-    medians = [quantiles(df, {score: [0.5]})[score][0] for df in (reference, current)]
-    p, side, name = named(score), F.col("side"), F.lit("score")
-    both = two_sided(reference, current, [score])
-    plan = {f"{label}_{k}": e for mark, label in ((0, "reference"), (1, "current"))
-            for k, e in _summary(F.when(side == mark, p), threshold).items()}
-    row = both.agg(*[e.alias(k) for k, e in plan.items()]).select(
-        "*", F.lit(medians[0]).alias("reference_median_probability"),
-        F.lit(medians[1]).alias("current_median_probability"), name.alias("feature"))
-    moved = psi(reference, current, [score]).select(name.alias("feature"), F.col("psi").alias("probability_psi"))
-    apart = distances(paired_histogram(reference, current, score).withColumn("feature", name), ["feature"]).select(
-        "feature", F.col("js").alias("probability_distribution_distance"))
-    out = row.join(moved, "feature").join(apart, "feature").drop("feature")
+    """One row comparing both score distributions at the frozen threshold, with status and reasons.
+
+    Three scans: moments per side; medians and reference deciles together; quantile bins and fixed
+    bins together.
+    """
+    spark = reference.sparkSession
+    both = two_sided(reference, current, [score]).select(named(score).alias("p"), "side")
+    seen = _summaries(both, score, threshold, ["reference", "current"])
+    split = both.selectExpr("CASE WHEN side = 0 THEN p END AS ref", "CASE WHEN side = 1 THEN p END AS cur")
+    profile = {k: {"n": s["n"], "low": s["min_probability"], "high": s["max_probability"]}
+               for k, s in zip(("ref", "cur"), seen)}
+    deciles = [i * 10 / 100 for i in range(11)]
+    found = quantiles(split, {"ref": [*deciles, 0.5], "cur": [0.5]}, profile)
+    edges = {"quantile": sorted(set(found["ref"][:-1])), "fixed": PROBABILITY_EDGES}
+    used = {k: e for k, e in edges.items() if len(e) >= 3}
+    parts = histogram_parts(both.selectExpr("p AS quantile", "p AS fixed", "side"), used)
+    apart = {r["feature"]: r for r in distances(parts, ["feature"]).collect()}
+
+    row: dict[str, float] = {}
+    for name, stats, median in zip(("reference", "current"), seen, (found["ref"][-1], found["cur"][0])):
+        row |= {f"{name}_n": stats["n"], **{f"{name}_{k}": stats[k] for k in SUMMARY}, f"{name}_median_probability": median}
+    row["probability_psi"] = apart["quantile"]["psi"] if "quantile" in apart else 0.0
+    row["probability_distribution_distance"] = apart["fixed"]["js"]
     for k in ("mean_probability", "median_probability", "std_probability", "positive_rate"):
-        out = out.withColumn(f"{k}_change", F.col(f"current_{k}") - F.col(f"reference_{k}"))
-    return prediction_status(out.withColumn("threshold", F.lit(float(threshold))), limits, bands)
+        row[f"{k}_change"] = row[f"current_{k}"] - row[f"reference_{k}"]
+    row["threshold"] = float(threshold)
+    schema = ", ".join(f"{k} {'long' if k.endswith('_n') else 'double'}" for k in row)
+    return prediction_status(local_rows(spark, [tuple(row.values())], schema), limits, bands)
 
 
 def prediction_status(df: DataFrame, limits: Mapping[str, float] = PREDICTION_LIMITS,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,13 +30,17 @@ def overall_status(sections: DataFrame) -> DataFrame:
 
 def monitoring_summary(drift: DataFrame, prediction: DataFrame, performance: DataFrame, fairness: DataFrame) -> DataFrame:
     """One row out of four one-row sections."""
-    d = drift.select(F.lit(1).alias("k"), F.col("status").alias("data_drift_status"), "monitored_features",
-                     "warning_features", "critical_features", "drifted_feature_ratio")
-    p = prediction.select(F.lit(1).alias("k"), F.col("status").alias("prediction_drift_status"), "positive_rate_change")
-    m = performance.select(F.lit(1).alias("k"), F.when(F.col("status") == HEALTHY, STABLE).otherwise(F.col("status"))
-                           .alias("performance_status"), "labels_available")
-    g = fairness.select(F.lit(1).alias("k"), F.col("status").alias("fairness_status"))
-    joined = d.join(p, "k").join(m, "k").join(g, "k").drop("k")
+    sections = [
+        drift.select(F.col("status").alias("data_drift_status"), "monitored_features", "warning_features",
+                     "critical_features", "drifted_feature_ratio"),
+        prediction.select(F.col("status").alias("prediction_drift_status"), "positive_rate_change"),
+        performance.select(F.when(F.col("status") == HEALTHY, STABLE).otherwise(F.col("status"))
+                           .alias("performance_status"), "labels_available"),
+        fairness.select(F.col("status").alias("fairness_status")),
+    ]
+    # every column is filled by one section only, so a maximum per column lines the sections up
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sections)
+    joined = stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
     names = ["data_drift_status", "prediction_drift_status", "performance_status", "fairness_status"]
     # the rank is what decides; the place only breaks ties towards the first section
     worst = F.array_max(F.array(*[
