@@ -17,10 +17,18 @@ from pyspark.sql import functions as F
 from riskloom.functions.columns import count_if, finite, local_rows, named, row_hash, unit_interval
 from riskloom.operators.cleaning import modes
 
-PREFIX = 4  # hex digits: 65,536 prefixes per stratum
+PREFIX = 4  # hex digits of the key hash that are counted: 65,536 prefixes per stratum
+MAX_COUNTS = 1 << 20  # prefix counts brought to the driver; more strata mean shorter prefixes
 MAX_STRATA = 1000
 
 
+def prefix_length(strata: int) -> int:
+    length = PREFIX
+    while length > 1 and strata * 16 ** length > MAX_COUNTS:
+        length -= 1
+    return length
+
+
 def _check_sizes(validation: float, test: float) -> None:
     for name, size in (("validation", validation), ("test", test)):
         if not 0.0 < size < 1.0:
@@ -68,7 +76,7 @@ def rank_cuts(df: DataFrame, key: str, seed: int, ranks: Mapping[str | None, Seq
               stratum: str | None = None) -> dict[str | None, list[Cut]]:
     """For every stratum the cuts that admit exactly its first ``rank`` rows in hash order."""
     hashed = _hashed(df, key, seed, stratum)
-    prefix = F.substring("digest", 1, PREFIX)
+    prefix = F.substring("digest", 1, prefix_length(len(ranks)))
     counts = hashed.groupBy("stratum", prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n")).toPandas()
     wanted, cuts = [], {s: [Cut(None)] * len(ks) for s, ks in ranks.items()}
     for s, ks in ranks.items():

@@ -17,22 +17,28 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")  # no stack capture per column call
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new path below ``spark.checkpoint.dir`` for tables that must outlive an executor.
 
-    The cluster names that folder. Only a local session, which has nothing but its own disk,
-    may go without one.
+    The cluster names that folder. Only a local session, which has nothing but its own disk, may go
+    without one and then gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="riskloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="riskloom-")
+        root = _LOCAL_FOLDERS[application]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
