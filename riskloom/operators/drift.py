@@ -97,8 +97,8 @@ def binned_distances(df: DataFrame, edges: Mapping[str, Sequence[float]], parts:
 
 def ks_pvalue(statistic: Column, n: Column, m: Column) -> Column:
     """Asymptotic two-sample p-value (Kolmogorov series with the usual finite-size correction)."""
-    effective = F.sqrt(n.cast("double") * m.cast("double") / (n + m))
-    lam = (effective + 0.12 + 0.11 / effective) * statistic
+    effective = F.sqrt(F.try_divide(n.cast("double") * m.cast("double"), n + m))
+    lam = (effective + 0.12 + F.try_divide(F.lit(0.11), effective)) * statistic
     terms = F.transform(F.sequence(F.lit(1), F.lit(100)), lambda k: F.when(k % 2 == 1, 2.0).otherwise(-2.0)
                         * F.exp(-2.0 * k * k * lam * lam))
     series = F.aggregate(terms, F.lit(0.0), lambda a, b: a + b)
