@@ -56,9 +56,17 @@ def _score_sides(spark, folder):
 
 @query("js_distance", f"WITH {_FIXED} SELECT feature, {r('js', 'js')} FROM ({distance_sql('h')})")
 def js_distance(spark, folder):
+    df = scored(spark, folder).withColumnRenamed("p", "score")
+    both = drift.two_sided(df.filter("late = 0"), df.filter("late = 1"), ["score"])
+    parts = drift.histogram_parts(both, {"score": scores.PROBABILITY_EDGES})
+    return rounded(distances(parts, ["feature"]).select("feature", "js"))
+
+
+@query("score_histograms", f"""WITH {_FIXED} SELECT bin::BIGINT AS part, ref, cur, {r('ref / sum(ref) OVER ()', 'ref_share')},
+{r('cur / sum(cur) OVER ()', 'cur_share')} FROM h""")
+def score_histograms(spark, folder):
     df = scored(spark, folder)
-    pairs = scores.paired_histogram(df.filter("late = 0"), df.filter("late = 1"), "p").withColumn("feature", F.lit("score"))
-    return rounded(distances(pairs, ["feature"]).select("feature", "js"))
+    return rounded(scores.paired_histogram(df.filter("late = 0"), df.filter("late = 1"), "p"))
 
 
 @query("tv_distance", f"WITH {BATCHES_SQL}, {COUNTS_SQL} SELECT feature, {r('tv', 'tv')} FROM ({distance_sql('k', shares=True)})")

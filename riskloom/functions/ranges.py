@@ -16,6 +16,7 @@ import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from riskloom.functions.columns import chunked, flat_map, local_rows, named, sql_finite, sql_missing, sql_number
 
@@ -247,13 +248,21 @@ def running_totals(df: DataFrame, value: str, measures: Mapping[str, Column], ke
     profile = column_profile(df, [value], moments=False)
     ranges = balanced_ranges(df, whole_ranges(profile), rows_per_range)
     cuts = ranges[value].cuts() if value in ranges else []
-    at = locate(
-        df.select(*[named(k) for k in keys], F.expr(sql_finite(df, value)).alias("value"),
-                  *[expr.alias(m) for m, expr in measures.items()]).filter(F.col("value").isNotNull()),
-        {"value": cuts}, "_at",
-    )
+    rows = df.select(*[named(k) for k in keys], F.expr(sql_finite(df, value)).alias("value"),
+                     *[expr.alias(m) for m, expr in measures.items()]).filter(F.col("value").isNotNull())
+    order = F.col("value").desc() if descending else F.col("value").asc()
+
+    def through(*by: str) -> WindowSpec:
+        return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+
+    if not cuts:  # few enough rows, by the profile, to be ordered per key
+        counted = rows.groupBy(*keys, "value").agg(*[F.sum(m).alias(m) for m in measures])
+        return counted.select(
+            *keys, "value", *measures, *[F.sum(m).over(through(*keys)).alias(f"cum_{m}") for m in measures],
+            *[F.sum(m).over(Window.partitionBy(*keys)).alias(f"all_{m}") for m in measures])
+
     group = [*keys, "value_at"]
-    counted = at.groupBy(*group, "value").agg(*[F.sum(m).alias(m) for m in measures])
+    counted = locate(rows, {"value": cuts}, "_at").groupBy(*group, "value").agg(*[F.sum(m).alias(m) for m in measures])
     totals = counted.groupBy(*group).agg(*[F.sum(m).alias(m) for m in measures])
     place = F.col("value_at").desc() if descending else F.col("value_at").asc()
     earlier = Window.partitionBy(*keys).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
@@ -262,11 +271,9 @@ def running_totals(df: DataFrame, value: str, measures: Mapping[str, Column], ke
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"off_{m}") for m in measures],
         *[F.sum(m).over(Window.partitionBy(*keys)).alias(f"all_{m}") for m in measures],
     )
-    order = F.col("value").desc() if descending else F.col("value").asc()
-    inside = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     return counted.join(offsets, group).select(
         *keys, F.col("value"), *measures,
-        *[(F.sum(m).over(inside) + F.col(f"off_{m}")).alias(f"cum_{m}") for m in measures],
+        *[(F.sum(m).over(through(*group)) + F.col(f"off_{m}")).alias(f"cum_{m}") for m in measures],
         *[F.col(f"all_{m}") for m in measures],
     )
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import count_if, finite, local_rows, named, sql_finite
@@ -78,10 +78,11 @@ def score_histogram(df: DataFrame, score: str, edges: list[float] | None = None)
 
 
 def paired_histogram(reference: DataFrame, current: DataFrame, score: str) -> DataFrame:
-    """``(bin, low, high, ref, cur)`` on the fixed probability bins."""
-    r = score_histogram(reference, score).withColumnRenamed("n", "ref")
-    c = score_histogram(current, score).select("bin", F.col("n").alias("cur"))
-    return r.join(c, "bin")
+    """``(part, ref, cur, ref_share, cur_share)`` on the fixed probability bins, from one count."""
+    parts = histogram_parts(two_sided(reference, current, [score]), {score: PROBABILITY_EDGES})
+    whole = Window.partitionBy("feature")
+    return parts.select("part", "ref", "cur", *[
+        F.try_divide(F.col(c), F.sum(c).over(whole)).alias(f"{c}_share") for c in ("ref", "cur")])
 
 
 def prediction_drift(reference: DataFrame, current: DataFrame, score: str, threshold: float,

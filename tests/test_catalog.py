@@ -1,9 +1,8 @@
 """Every registered query that has SQL, against DuckDB on the smallest tables, and its physical plan."""
 
-import math
-
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry_point
@@ -23,7 +22,7 @@ def duck(tiny):
 
 def plain(frame):
     def value(v):
-        if v is None or (isinstance(v, float) and math.isnan(v)):
+        if pd.isna(v):
             return "NULL"
         if isinstance(v, (bool, np.bool_)):
             return str(bool(v))

@@ -5,9 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.functions import ranges
-from riskloom.functions.ranges import (
-    balanced_ranges, column_profile, largest_gaps, quantiles, running_totals, whole_ranges)
+from riskloom.functions.ranges import balanced_ranges, column_profile, quantiles, running_totals, whole_ranges
 from riskloom.operators import drift
 
 LEVELS = [0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0]
@@ -92,7 +90,3 @@ def test_ordered_work_never_meets_in_one_partition(frame):
     # the only unpartitioned step orders the totals of the ranges, not the rows
     assert text.count("Exchange SinglePartition") <= 2
     assert "hashpartitioning(value_at" in text
-
-
-def test_split_limit_is_respected(frame):
-    assert ranges.MAX_SPLITS >= 3 and largest_gaps is not None
