@@ -10,7 +10,9 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,7 +133,12 @@ def _missing_rate(p: Mapping) -> float | None:
 def numeric_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str], buckets: int = 10) -> DataFrame:
     ref, cur = paired_profile(reference, current, columns)
     measured = [c for c in columns if min(ref[c]["n"], cur[c]["n"]) >= MIN_ROWS]
-    gaps = ks_statistics(reference, current, columns, ref, cur)
+    side_by_side = inheritable_thread_target(reference.sparkSession)
+    with ThreadPool(2) as pool:  # two independent chains of small jobs
+        walking = pool.apply_async(side_by_side(lambda: ks_statistics(reference, current, columns, ref, cur)))
+        binning = pool.apply_async(side_by_side(
+            lambda: psi(reference, current, measured, buckets, ref) if measured else None))
+        gaps, moved = walking.get(), binning.get()
     rows = []
     for c in columns:
         before, after = _missing_rate(ref[c]), _missing_rate(cur[c])
@@ -142,8 +149,7 @@ def numeric_drift(reference: DataFrame, current: DataFrame, columns: Sequence[st
         "feature", "feature_type", "ks_statistic", "reference_missing_rate", "current_missing_rate",
         "missing_rate_change", "reference_mean", "current_mean", "reference_std", "current_std", "reference_n",
         "current_n")))
-    if measured:
-        moved = psi(reference, current, measured, buckets, ref)
+    if moved is not None:
         stats = stats.join(moved.withColumnRenamed("js", "distribution_distance"), "feature", "left")
     return _all_measures(stats.withColumn(
         "ks_pvalue", ks_pvalue(F.col("ks_statistic"), F.col("reference_n"), F.col("current_n"))))
