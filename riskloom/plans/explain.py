@@ -16,6 +16,8 @@ from riskloom.operators.sampling import sample_rows
 from riskloom.operators.scoring import Scorer, UnusableModel
 from riskloom.operators.training import with_score
 from riskloom.operators.tree_attribution import tree_attribution
+from riskloom.session import shared_folder
+from riskloom.sources.sinks import write_parquet
 
 
 @dataclass
@@ -66,6 +68,8 @@ def explain_job(scorer: Scorer, df: DataFrame, label: str | None = None, sample:
     around = background if background is not None else sample_rows(df, key, background_size, seed + 1)
     keep = (key, label) if label and label in df.columns else (key,)
     made, base, space = attributed(scorer, rows, keep, scorer.preprocessor.align(around))
+    # the ranking, the examples and the check all read the attributions, so they are computed once
+    made = df.sparkSession.read.parquet(write_parquet(made, shared_folder(df.sparkSession, "attributions")))
     names = scorer.preprocessor.output_names()
     threshold = scorer.deployment.optimal_threshold
     picks = local_examples(made, key, "score", threshold, examples, label if len(keep) > 1 else None)

@@ -57,8 +57,10 @@ def read_csv_tables(spark: SparkSession, folder: str, files: Mapping[str, str] |
     return tables
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    return nan_to_null(spark.read.parquet(path))
+def read_parquet(spark: SparkSession, path: str, nan_as_null: bool = True) -> DataFrame:
+    """Pass ``nan_as_null=False`` for tables known to hold no NaN: filters on doubles then reach the files."""
+    df = spark.read.parquet(path)
+    return nan_to_null(df) if nan_as_null else df
 
 
 def read_parquet_tables(spark: SparkSession, folder: str, files: Mapping[str, str]) -> dict[str, DataFrame]:
