@@ -21,7 +21,8 @@ from pyspark.sql.window import WindowSpec
 from riskloom.functions.columns import chunked, flat_map, local_rows, named, sql_finite, sql_missing, sql_number
 
 ROWS_PER_RANGE = 1_000_000
-BINS_PER_COLUMN = 2048
+BINS_PER_SCAN = 100_000  # counts that one scan may bring to the driver
+MOST_BINS = 1 << 16
 COLUMNS_PER_SCAN = 50
 MAX_SPLITS = 12
 
@@ -43,6 +44,11 @@ class Ranges:
         return [float(v) for v in self.low[1:]]
 
 
+def bins_per_column(columns: int) -> int:
+    """Few columns at once may be cut finely, many only coarsely."""
+    return min(MOST_BINS, BINS_PER_SCAN // max(1, min(columns, COLUMNS_PER_SCAN)))
+
+
 def locate(df: DataFrame, columns: Mapping[str, Sequence[float]], suffix: str) -> DataFrame:
     """Add ``<column><suffix>``: how many cut points lie at or below the value (binary search)."""
     cut = {c: list(points) for c, points in columns.items()}
@@ -139,7 +145,7 @@ def split(df: DataFrame, ranges: dict[str, Ranges], active: Mapping[str, np.ndar
     sums = dict(sums or {})
     out = dict(ranges)
     for part in chunked([c for c in active if active[c].any()], COLUMNS_PER_SCAN):
-        bins = {c: max(16, BINS_PER_COLUMN // int(active[c].sum())) for c in part}
+        bins = {c: max(16, bins_per_column(len(part)) // int(active[c].sum())) for c in part}
         counted = (
             _cells(df, ranges, {c: active[c] for c in part}, sums, bins)
             .groupBy("c", "r", "b")
@@ -167,11 +173,11 @@ def split(df: DataFrame, ranges: dict[str, Ranges], active: Mapping[str, np.ndar
 def balanced_ranges(df: DataFrame, ranges: dict[str, Ranges], rows_per_range: int | None = None,
                     sums: Mapping[str, Column] | None = None) -> dict[str, Ranges]:
     """Split until a range holds a single value or few enough rows for one task to sort."""
-    limit = rows_per_range or ROWS_PER_RANGE
+    limit, most = rows_per_range or ROWS_PER_RANGE, bins_per_column(len(ranges)) // 4
     for _ in range(MAX_SPLITS):
         active = {}
         for c, r in ranges.items():
-            target = max(limit, int(r.rows.sum()) // (BINS_PER_COLUMN // 4))
+            target = max(limit, int(r.rows.sum()) // most)
             active[c] = (r.rows > target) & (r.low < r.high)
         if not any(a.any() for a in active.values()):
             break
