@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,32 +29,33 @@ def js_distance(divergence: Column) -> Column:
     return F.sqrt(F.greatest(divergence, F.lit(0.0)))
 
 
-def distances(parts: DataFrame, keys: Sequence[str], ref: str = "ref", cur: str = "cur",
-              normalise_first: bool = False) -> DataFrame:
-    """PSI, Jensen-Shannon and total variation distance per key.
+def distances(parts: DataFrame, keys: Sequence[str], normalise_first: bool = False,
+              extra: Mapping[str, Column] | None = None) -> DataFrame:
+    """PSI, Jensen-Shannon and total variation distance per key, over the parts that are not NULL.
 
-    ``normalise_first`` smooths shares (categories) instead of counts (histogram bins). The
-    totals come from a grouped sum joined back, never from a window over all parts of a key, so a
-    column with very many categories stays spread over tasks.
+    ``normalise_first`` smooths shares (categories) instead of counts (histogram bins). The totals,
+    and any ``extra`` aggregates wanted beside the distances, come from a grouped sum of one row per
+    compared column, which is broadcast back: neither a window nor a shuffle by key gathers all
+    categories of a column in one task, and both readings of ``parts`` share one exchange.
     """
+    extra = dict(extra or {})
+    known = F.col("part").isNotNull()
+    ref, cur = (F.when(known, F.col(c)).otherwise(0).cast("double") for c in ("ref", "cur"))
     total = parts.groupBy(*keys).agg(
-        F.sum(ref).cast("double").alias("ref_total"), F.sum(cur).cast("double").alias("cur_total"),
-        F.count(F.lit(1)).cast("double").alias("n_parts"),
-    )
-    both = parts.join(total, list(keys))
-    raw_p = F.try_divide(F.col(ref).cast("double"), F.col("ref_total"))
-    raw_q = F.try_divide(F.col(cur).cast("double"), F.col("cur_total"))
+        F.sum(ref).alias("ref_total"), F.sum(cur).alias("cur_total"),
+        F.count_if(known).cast("double").alias("n_parts"), *[e.alias(name) for name, e in extra.items()])
+    both = parts.join(F.broadcast(total), list(keys))  # one row per compared column
+    raw_p, raw_q = F.try_divide(ref, F.col("ref_total")), F.try_divide(cur, F.col("cur_total"))
     if normalise_first:
         p, q = (smoothed(w, F.lit(1.0), F.col("n_parts")) for w in (raw_p, raw_q))
     else:
-        p = smoothed(F.col(ref).cast("double"), F.col("ref_total"), F.col("n_parts"))
-        q = smoothed(F.col(cur).cast("double"), F.col("cur_total"), F.col("n_parts"))
+        p, q = (smoothed(w, F.col(t), F.col("n_parts")) for w, t in ((ref, "ref_total"), (cur, "cur_total")))
     filled = (F.max("ref_total") > 0) & (F.max("cur_total") > 0)
     return both.groupBy(*keys).agg(
-        F.when(filled, F.sum(psi_term(p, q))).alias("psi"),
-        F.when(filled, js_distance(F.sum(divergence_term(p, q)))).alias("js"),
-        F.when(filled, F.sum(F.abs(raw_p - raw_q)) / 2).alias("tv"),
-    )
+        F.when(filled, F.sum(F.when(known, psi_term(p, q)))).alias("psi"),
+        F.when(filled, js_distance(F.sum(F.when(known, divergence_term(p, q))))).alias("js"),
+        F.when(filled, F.sum(F.when(known, F.abs(raw_p - raw_q))) / 2).alias("tv"),
+        *[F.max(name).alias(name) for name in extra])
 
 
 def bin_index(value: str, inner_edges: Sequence[float]) -> str:

@@ -171,22 +171,23 @@ def category_shares(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Normalised frequencies per column; totals join back, so no window spans a whole column."""
     counts = flat_map(df, category_cells(columns)).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("n"))
     total = counts.groupBy("feature").agg(F.sum("n").alias("total"))
-    return counts.join(total, "feature").select("feature", "value", "n", (F.col("n") / F.col("total")).alias("share"))
+    return counts.join(F.broadcast(total), "feature").select(  # one row per column
+        "feature", "value", "n", (F.col("n") / F.col("total")).alias("share"))
 
 
-def _category_summary() -> list[Column]:
+def _category_summary() -> dict[str, Column]:
     """Aggregates over the known categories of a feature; the NULL part holds the missing rows."""
     known = F.col("part").isNotNull()
     ref, cur = (F.coalesce(F.sum(F.when(known, F.col(c))), F.lit(0)) for c in ("ref", "cur"))
     unseen = F.sum(F.when(known & (F.col("ref") == 0), F.col("cur")).otherwise(0))
-    return [F.when(ref > 0, F.try_divide(unseen, cur)).alias("unseen_category_rate"), ref.alias("reference_n"),
-            cur.alias("current_n"), count_if(known & (F.col("ref") > 0)).alias("reference_categories"),
-            count_if(known & (F.col("cur") > 0)).alias("current_categories")]
+    return {"unseen_category_rate": F.when(ref > 0, F.try_divide(unseen, cur)), "reference_n": ref, "current_n": cur,
+            "reference_categories": count_if(known & (F.col("ref") > 0)),
+            "current_categories": count_if(known & (F.col("cur") > 0))}
 
 
 def unseen_rates(counts: DataFrame) -> DataFrame:
     """Share of current rows whose category never occurs in the reference."""
-    return counts.groupBy("feature").agg(*_category_summary())
+    return counts.groupBy("feature").agg(*[e.alias(name) for name, e in _category_summary().items()])
 
 
 def missing_change(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -201,17 +202,15 @@ def missing_change(reference: DataFrame, current: DataFrame, columns: Sequence[s
 
 
 def categorical_drift(reference: DataFrame, current: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One scan and one shuffle of category counts; both summaries below reuse that exchange."""
+    """One scan of both batches and one shuffle of category counts."""
     counts = category_counts(reference, current, columns, keep_missing=True)
-    apart = distances(counts.filter(F.col("part").isNotNull()), ["feature"], normalise_first=True).select(
-        "feature", "psi", F.col("js").alias("distribution_distance"), F.col("tv").alias("total_variation_distance"))
     gone = {c: F.coalesce(F.sum(F.when(F.col("part").isNull(), F.col(c))), F.lit(0)) for c in ("ref", "cur")}
-    summary = counts.groupBy("feature").agg(
-        *_category_summary(), F.try_divide(gone["ref"], F.sum("ref")).alias("reference_missing_rate"),
-        F.try_divide(gone["cur"], F.sum("cur")).alias("current_missing_rate"))
-    out = summary.join(apart, "feature", "left").withColumn("feature_type", F.lit("categorical")).withColumn(
-        "missing_rate_change", F.col("current_missing_rate") - F.col("reference_missing_rate"))
-    return _all_measures(out)
+    out = distances(counts, ["feature"], normalise_first=True, extra={
+        **_category_summary(), "reference_missing_rate": F.try_divide(gone["ref"], F.sum("ref")),
+        "current_missing_rate": F.try_divide(gone["cur"], F.sum("cur"))})
+    return _all_measures(out.withColumnsRenamed({"js": "distribution_distance", "tv": "total_variation_distance"})
+                         .withColumn("feature_type", F.lit("categorical")).withColumn(
+        "missing_rate_change", F.col("current_missing_rate") - F.col("reference_missing_rate")))
 
 
 def _all_measures(df: DataFrame) -> DataFrame:
