@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pathlib
+import shutil
 import tempfile
 import uuid
 
@@ -42,3 +44,17 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
             _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="riskloom-")
         root = _LOCAL_FOLDERS[application]
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_library(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, for sessions started without it on their path."""
+    application = spark.sparkContext.applicationId
+    if application in _SHIPPED:
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    base = f"{tempfile.mkdtemp(prefix='riskloom-code-')}/riskloom"
+    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", package.parent, package.name))
+    _SHIPPED.add(application)
