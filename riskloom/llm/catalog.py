@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.llm.common import table
+from riskloom.llm.decontaminate import contamination
 from riskloom.llm.line_dedup import kept_lines
+from riskloom.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -39,3 +42,35 @@ FROM marked GROUP BY doc_id"""
 @query("op3_line_dedup", _LINES)
 def line_dedup(spark, folder):
     return kept_lines(table(spark, folder, "documents")).drop("kept_text")
+
+
+@query("op9_simhash")
+def simhash(spark, folder):
+    return near_duplicates(table(spark, folder, "documents"))
+
+
+_WORDS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+_CONTAMINATION = f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT DISTINCT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[s:s + least(10, len(w)) - 1], ' ') AS k
+            FROM (SELECT *, unnest(range(1, greatest(0, len(w) - 9 + 9 * (len(w) < 10)::INT) + 1)) AS s FROM b WHERE len(w) > 0)
+            WHERE s = 1 OR s + 9 <= len(w)),
+lengths AS (SELECT DISTINCT n FROM windows),
+spots AS (SELECT doc_id, n, s, array_to_string(w[s:s + n - 1], ' ') AS k
+          FROM (SELECT doc_id, w, n, unnest(range(1, greatest(0, len(w) - n + 1) + 1)) AS s FROM d, lengths)),
+hits AS (SELECT doc_id, item_id, n, s FROM spots JOIN windows USING (n, k)),
+covered AS (SELECT doc_id, count(DISTINCT p)::BIGINT AS n_hit
+            FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*)::BIGINT AS n_items, string_agg(i, ',' ORDER BY i) AS items
+          FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hits) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
+
+
+@query("op7_decontaminate", _CONTAMINATION)
+def decontaminate(spark, folder):
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import itertools
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,3 +93,59 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
         now = stored(small, purpose)
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+
+
+def runs(df: DataFrame, key: str, work: Callable[[pa.Table], Iterator[dict]], schema: str) -> DataFrame:
+    """Apply ``work`` to the rows of each value of the long column ``key``, streaming over sorted partitions: many
+    small groups cost little, and a task holds one group at a time. Groups must be of bounded size."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import _parse_datatype_string
+
+    arrow = to_arrow_schema(_parse_datatype_string(schema))
+
+    def over(batches):
+        held: list[pa.RecordBatch] = []
+
+        def done():
+            whole = pa.Table.from_batches(held)
+            for columns in work(whole):
+                yield pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in arrow], schema=arrow)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = batch.column(batch.schema.names.index(key)).to_numpy()
+            if keys[0] == keys[-1]:  # a group that may go on
+                if held and held[-1].column(held[-1].schema.names.index(key))[-1].as_py() != keys[0]:
+                    yield from done()
+                    held.clear()
+                held.append(batch)
+                continue
+            last = int(np.flatnonzero(keys != keys[-1])[-1]) + 1
+            held.append(batch.slice(0, last))
+            yield from done()
+            held[:] = [batch.slice(last)]
+        if held:
+            yield from done()
+
+    return df.repartition(F.col(key)).sortWithinPartitions(key).mapInArrow(over, schema)
+
+
+def group_bounds(keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal values starts, and the end."""
+    return np.r_[0, np.flatnonzero(np.diff(keys)) + 1, len(keys)] if len(keys) else np.zeros(1, int)
+
+
+def cells(postings: DataFrame, key: str, member: str, block: int) -> DataFrame:
+    """Adds ``cell`` (long), ``left`` and ``right``: rows that share ``key`` meet in cells of at most about two
+    blocks of ``block`` rows. A key with more rows is cut into blocks by the hash of ``member``, and each pair of its
+    blocks has a cell. Keys with one row go. ``side`` is the row's own block."""
+    counts = postings.groupBy(key).agg(F.count("*").alias("rows")).filter("rows > 1")
+    counts = stored(counts, "cells")
+    total = counts.agg(F.sum("rows")).first()[0] or 0
+    joined = lookup(postings, counts, key, "rows", total).withColumn("blocks", F.ceil(F.col("rows") / block).cast("int"))
+    joined = joined.withColumn("side", F.pmod(F.xxhash64(F.lit(7), member), F.col("blocks")).cast("int"))
+    joined = joined.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    left, right = F.least("side", "other"), F.greatest("side", "other")
+    return joined.withColumn("left", left).withColumn("right", right).withColumn(
+        "cell", F.when(F.col("blocks") == 1, F.col(key)).otherwise(F.xxhash64(key, "left", "right"))).drop("rows", "blocks", "other")
