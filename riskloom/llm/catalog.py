@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from riskloom.llm.common import table
 from riskloom.llm.decontaminate import contamination
 from riskloom.llm.line_dedup import kept_lines
+from riskloom.llm.packing import pack_documents
 from riskloom.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +75,8 @@ FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)"""
 def decontaminate(spark, folder):
     found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.withColumn("items_sha256", F.sha2(F.array_join("items", ","), 256)).drop("items")
+
+
+@query("op5_best_fit_packing")
+def best_fit_packing(spark, folder):
+    return pack_documents(table(spark, folder, "documents"))
