@@ -11,6 +11,7 @@ from riskloom.llm.common import table
 from riskloom.llm.decontaminate import contamination
 from riskloom.llm.line_dedup import kept_lines
 from riskloom.llm.packing import pack_documents
+from riskloom.llm.pii import personal_data
 from riskloom.llm.simhash import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +81,8 @@ def decontaminate(spark, folder):
 @query("op5_best_fit_packing")
 def best_fit_packing(spark, folder):
     return pack_documents(table(spark, folder, "documents"))
+
+
+@query("op2_pii")
+def pii(spark, folder):
+    return personal_data(table(spark, folder, "documents")).drop("found")
