@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import table
 from riskloom.llm.decontaminate import contamination
+from riskloom.llm.html_text import extract
 from riskloom.llm.line_dedup import kept_lines
 from riskloom.llm.packing import pack_documents
 from riskloom.llm.pii import personal_data
@@ -86,3 +87,8 @@ def best_fit_packing(spark, folder):
 @query("op2_pii")
 def pii(spark, folder):
     return personal_data(table(spark, folder, "documents")).drop("found")
+
+
+@query("op1_html_text")
+def html_text(spark, folder):
+    return extract(table(spark, folder, "pages"))
