@@ -14,6 +14,7 @@ from riskloom.llm.line_dedup import kept_lines
 from riskloom.llm.packing import pack_documents
 from riskloom.llm.pii import personal_data
 from riskloom.llm.simhash import near_duplicates
+from riskloom.llm.warc import archive
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -92,3 +93,18 @@ def pii(spark, folder):
 @query("op1_html_text")
 def html_text(spark, folder):
     return extract(table(spark, folder, "pages"))
+
+
+_ARCHIVE = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, '')))::BIGINT AS n FROM pages),
+r AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY html) ELSE page_id END AS first FROM p)
+SELECT page_id, n AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to
+FROM r"""
+
+
+@query("op4_warc", _ARCHIVE)
+def warc(spark, folder):
+    found = archive(table(spark, folder, "pages"))
+    return found.select(F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
