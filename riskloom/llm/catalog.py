@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from riskloom.llm.common import table
 from riskloom.llm.decontaminate import contamination
+from riskloom.llm.embedding_dedup import links
 from riskloom.llm.html_text import extract
 from riskloom.llm.line_dedup import kept_lines
 from riskloom.llm.packing import pack_documents
@@ -108,3 +109,8 @@ FROM r"""
 def warc(spark, folder):
     found = archive(table(spark, folder, "pages"))
     return found.select(F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_embedding_dedup")
+def embedding_dedup(spark, folder):
+    return links(table(spark, folder, "embeddings"))
