@@ -11,6 +11,7 @@ from riskloom.llm.common import table
 from riskloom.llm.decontaminate import contamination
 from riskloom.llm.embedding_dedup import links
 from riskloom.llm.html_text import extract
+from riskloom.llm.language_model import score
 from riskloom.llm.line_dedup import kept_lines
 from riskloom.llm.packing import pack_documents
 from riskloom.llm.pii import personal_data
@@ -114,3 +115,8 @@ def warc(spark, folder):
 @query("op6_embedding_dedup")
 def embedding_dedup(spark, folder):
     return links(table(spark, folder, "embeddings"))
+
+
+@query("op8_language_model")
+def language_model(spark, folder):
+    return score(table(spark, folder, "documents"))
