@@ -15,6 +15,7 @@ from riskloom.llm.language_model import score
 from riskloom.llm.line_dedup import kept_lines
 from riskloom.llm.packing import pack_documents
 from riskloom.llm.pii import personal_data
+from riskloom.llm.quality import classify
 from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.warc import archive
 
@@ -120,3 +121,8 @@ def embedding_dedup(spark, folder):
 @query("op8_language_model")
 def language_model(spark, folder):
     return score(table(spark, folder, "documents"))
+
+
+@query("op10_quality")
+def quality(spark, folder):
+    return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
