@@ -98,8 +98,12 @@ def check_probabilities(spark, folder):
 
 @query("check_scored", " UNION ALL ".join([
     _row("orders", "label_null", "late_y", "count(*) FILTER (o_orderstatus = 'P')", "orders"),
+    _row("odd", "label_other", "y", "count(*) FILTER (o_orderkey % 50 = 0)", "orders"),
+    _row("odd", "score_null", "p", "count(*) FILTER (o_orderkey % 20 = 3)", "orders"),
     _FIXED.format("ones", "label_single_class", "'y'")]))
 def check_scored(spark, folder):
     df = rated(spark, folder).withColumn("late_y", F.expr("CASE WHEN o_orderstatus = 'P' THEN NULL ELSE y END"))
     ones = rated(spark, folder).withColumn("y", F.lit(1))
-    return contracts.check_scored(df, "late_y", "p", "orders").unionByName(contracts.check_scored(ones, "y", "p", "ones"))
+    odd = rated(spark, folder).withColumn("y", F.expr("CASE WHEN o_orderkey % 50 = 0 THEN 2 ELSE y END")).withColumn(
+        "p", F.expr("CASE WHEN o_orderkey % 40 = 3 THEN double('NaN') WHEN o_orderkey % 40 = 23 THEN double('infinity') ELSE p END"))
+    return contracts.check_scored(df, "late_y", "p", "orders").unionByName(contracts.check_scored(odd, "y", "p", "odd")).unionByName(contracts.check_scored(ones, "y", "p", "ones"))

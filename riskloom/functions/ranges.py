@@ -1,52 +1,26 @@
 """Exact order statistics and running totals without sorting a whole column in one task.
 
-Everything rests on one idea: split the values of a column into disjoint, ordered ranges and
-count the rows in each. Counting is a map-side aggregation, so a split moves a few numbers per
-task whatever the size of the table, and a value held by a third of all rows is one entry.
-Splitting again only where a wanted rank falls reaches the exact value in a handful of scans.
+One path serves tables of every size. A mergeable sketch of each column, from one aggregation, proposes
+values that lie near wanted ranks or cut the column into ranges of about equal size. The sketch is never
+trusted: rows below and inside what it proposes are counted in the next scan, and the exact answer is read
+from those counts. Counting combines on the map side, so a value held by a third of all rows is one entry.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.window import WindowSpec
 
 from riskloom.functions.columns import chunked, flat_map, local_rows, named, sql_finite, sql_missing, sql_number
 
-ROWS_PER_RANGE = 1_000_000
-BINS_PER_SCAN = 100_000  # counts that one scan may bring to the driver
-MOST_BINS = 1 << 16
+ACCURACY = 10_000  # a sketched rank is off by about rows / ACCURACY
+ROWS_PER_RANGE = 500_000  # what a task orders at a time, as far as ACCURACY can tell ranges apart
 COLUMNS_PER_SCAN = 50
-MAX_SPLITS = 12
-
-
-@dataclass
-class Ranges:
-    """Ordered, disjoint value ranges of one column; ``low`` and ``high`` are data values."""
-
-    low: np.ndarray
-    high: np.ndarray
-    rows: np.ndarray
-    sums: dict[str, np.ndarray] = field(default_factory=dict)
-
-    @property
-    def before(self) -> np.ndarray:
-        return np.concatenate([[0], np.cumsum(self.rows)[:-1]]) if len(self.rows) else self.rows
-
-    def cuts(self) -> list[float]:
-        return [float(v) for v in self.low[1:]]
-
-
-def bins_per_column(columns: int) -> int:
-    """Few columns at once may be cut finely, many only coarsely."""
-    return min(MOST_BINS, BINS_PER_SCAN // max(1, min(columns, COLUMNS_PER_SCAN)))
 
 
 def locate(df: DataFrame, columns: Mapping[str, Sequence[float]], suffix: str) -> DataFrame:
@@ -105,137 +79,82 @@ def paired_profile(reference: DataFrame, current: DataFrame, columns: Sequence[s
     return profiles
 
 
-def whole_ranges(profile: Mapping[str, dict]) -> dict[str, Ranges]:
-    return {
-        c: Ranges(np.array([p["low"]], float), np.array([p["high"]], float), np.array([p["n"]], np.int64))
-        for c, p in profile.items() if p["n"]
-    }
-
-
-def _cells(df: DataFrame, ranges: Mapping[str, Ranges], active: Mapping[str, np.ndarray],
-           carry: Mapping[str, Column], bins: Mapping[str, int] | None) -> DataFrame:
-    """(column index, range index[, bin], value) for every value inside an active range."""
-    names = list(active)
-    base = df.select(*[F.expr(f"{sql_finite(df, c)} AS x{i}") for i, c in enumerate(names)],
-                     *[expr.alias(k) for k, expr in carry.items()])
-    base = locate(base, {f"x{i}": ranges[c].cuts() for i, c in enumerate(names)}, "_at")
-
-    def pick(values: Sequence, i: int) -> str:
-        return f"element_at(array({', '.join(values)}), x{i}_at + 1)" if len(values) > 1 else values[0]
-
-    structs = []
-    for i, c in enumerate(names):
-        r = ranges[c]
-        wanted = f"x{i} IS NOT NULL"
-        if not active[c].all():
-            wanted += " AND " + pick(["true" if a else "false" for a in active[c]], i)
-        cell = f"'c', {i}, 'r', x{i}_at, 'x', x{i}"
-        if bins is not None:
-            spread = r.high - r.low
-            step = np.where(spread > 0, bins[c] / np.where(spread > 0, spread, 1.0), 0.0)
-            low, scale = pick([sql_number(v) for v in r.low], i), pick([sql_number(v) for v in step], i)
-            cell += f", 'b', CAST(least(floor((x{i} - {low}) * {scale}), {bins[c] - 1}) AS INT)"
-        structs.append(F.expr(f"CASE WHEN {wanted} THEN named_struct({cell}) END"))
-    return flat_map(base, structs, [F.col(k) for k in carry])
-
-
-def split(df: DataFrame, ranges: dict[str, Ranges], active: Mapping[str, np.ndarray],
-          sums: Mapping[str, Column] | None = None) -> dict[str, Ranges]:
-    """Cut every active range into equal-width bins; empty bins vanish, others keep stay as is."""
-    sums = dict(sums or {})
-    out = dict(ranges)
-    for part in chunked([c for c in active if active[c].any()], COLUMNS_PER_SCAN):
-        bins = {c: max(16, bins_per_column(len(part)) // int(active[c].sum())) for c in part}
-        counted = (
-            _cells(df, ranges, {c: active[c] for c in part}, sums, bins)
-            .groupBy("c", "r", "b")
-            .agg(F.count(F.lit(1)).alias("rows"), F.min("x").alias("low"), F.max("x").alias("high"),
-                 *[F.sum(k).alias(k) for k in sums])
-            .toPandas()
-        )
-        for i, c in enumerate(part):
-            old, fresh = ranges[c], counted[counted["c"] == i]
-            keep = ~active[c]
-            low = np.concatenate([old.low[keep], fresh["low"].to_numpy(float)])
-            order = np.argsort(low, kind="stable")
-
-            def merged(before: np.ndarray, after: np.ndarray) -> np.ndarray:
-                return np.concatenate([before[keep], after])[order]
-
-            out[c] = Ranges(
-                low[order], merged(old.high, fresh["high"].to_numpy(float)),
-                merged(old.rows, fresh["rows"].to_numpy(np.int64)),
-                {k: merged(old.sums.get(k, np.zeros(len(old.rows))), fresh[k].to_numpy(float)) for k in sums},
-            )
+def sketched(df: DataFrame, fractions: Mapping[str, Sequence[float]], accuracy: int = ACCURACY) -> dict[str, list[float]]:
+    """Values near the given fractions of each column, from one combining aggregation; empty for an empty column."""
+    out: dict[str, list[float]] = {}
+    for part in chunked(list(fractions), COLUMNS_PER_SCAN):
+        base = df.selectExpr(*[f"{sql_finite(df, c)} AS x{i}" for i, c in enumerate(part)])
+        row = base.selectExpr(*[
+            f"percentile_approx(x{i}, array({', '.join(sql_number(p) for p in fractions[c])}), {accuracy}) AS q{i}"
+            for i, c in enumerate(part)]).first()
+        out.update({c: list(row[f"q{i}"] or []) for i, c in enumerate(part)})
     return out
 
 
-def balanced_ranges(df: DataFrame, ranges: dict[str, Ranges], rows_per_range: int | None = None,
-                    sums: Mapping[str, Column] | None = None) -> dict[str, Ranges]:
-    """Split until a range holds a single value or few enough rows for one task to sort."""
-    limit, most = rows_per_range or ROWS_PER_RANGE, bins_per_column(len(ranges)) // 4
-    for _ in range(MAX_SPLITS):
-        active = {}
-        for c, r in ranges.items():
-            target = max(limit, int(r.rows.sum()) // most)
-            active[c] = (r.rows > target) & (r.low < r.high)
-        if not any(a.any() for a in active.values()):
-            break
-        ranges = split(df, ranges, active, sums)
-    return ranges
-
-
-def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]], profile: Mapping[str, dict],
-                     rows_per_range: int | None = None) -> dict[str, dict[int, float]]:
-    """The values at the given 0-based ranks of the non-null values of each column."""
-    limit = rows_per_range or ROWS_PER_RANGE
-    ranges = whole_ranges({c: profile[c] for c in ranks})
-    found: dict[str, dict[int, float]] = {c: {} for c in ranks}
+def balanced_cuts(df: DataFrame, ranges: Mapping[str, int]) -> dict[str, list[float]]:
+    """Strictly increasing cut points that leave about equally many rows between them."""
+    found = sketched(df, {c: [i / n for i in range(1, n)] for c, n in ranges.items() if n > 1})
+    return {c: sorted(set(found.get(c, []))) for c in ranges}
 
-    def holding(c: str) -> dict[int, int]:
-        r = ranges[c]
-        return {k: int(np.searchsorted(r.before, k, side="right")) - 1 for k in ranks[c]} if c in ranges else {}
 
-    for attempt in range(MAX_SPLITS + 1):
-        active = {c: np.zeros(len(r.rows), bool) for c, r in ranges.items()}
-        for c in ranges:
-            for k, at in holding(c).items():
-                if ranges[c].low[at] == ranges[c].high[at]:
-                    found[c][k] = float(ranges[c].low[at])
-                else:
-                    active[c][at] = True
-        large = {c: a & (ranges[c].rows > limit) for c, a in active.items()}
-        if attempt == MAX_SPLITS or not any(a.any() for a in large.values()):
-            break
-        ranges = split(df, ranges, large)
-
-    for part in chunked([c for c in active if active[c].any()], COLUMNS_PER_SCAN):
-        wanted = [(i, at, int(k - ranges[c].before[at])) for i, c in enumerate(part)
-                  for k, at in holding(c).items() if k not in found[c]]
-        spark = df.sparkSession
-        targets = local_rows(spark, wanted, "c int, r int, k long")
-        through = Window.partitionBy("c", "r").orderBy("x")
-        values = (
-            _cells(df, ranges, {c: active[c] for c in part}, {}, None)
-            .groupBy("c", "r", "x").agg(F.count(F.lit(1)).alias("rows"))
-            .withColumn("upto", F.sum("rows").over(through))
-            .join(F.broadcast(targets), ["c", "r"])  # one row per wanted rank
-            .filter((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("rows")))
-            .select("c", "r", "k", "x").collect()
-        )
-        for v in values:
-            c = part[v["c"]]
-            found[c][int(v["k"] + ranges[c].before[v["r"]])] = float(v["x"])
+def range_count(df: DataFrame, rows: int) -> int:
+    """At least as many ranges as the session has shuffle partitions, more for more rows."""
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(2, min(ACCURACY // 2, max(least, math.ceil(rows / ROWS_PER_RANGE))))
+
+
+def _brackets(low: list[float], high: list[float]) -> list[tuple[float, float]]:
+    out: list[tuple[float, float]] = []
+    for a, b in sorted(zip(low, high)):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], b))
+        else:
+            out.append((a, b))
+    return out
+
+
+def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]], profile: Mapping[str, dict]
+                     ) -> dict[str, dict[int, float]]:
+    """The values at the given 0-based ranks of the non-null values of each column.
+
+    Each rank gets a bracket of sketched values around it. Values inside brackets are counted one by one,
+    those between brackets together, and the running count tells which value holds a rank. A rank that fell
+    outside its bracket is sought again in a wider one, in the end in the whole column.
+    """
+    found: dict[str, dict[int, float]] = {c: {} for c in ranks}
+    spread = 4 / ACCURACY
+    while missing := {c: left for c, ks in ranks.items() if profile[c]["n"] and (left := [k for k in ks if k not in found[c]])}:
+        for part in chunked(list(missing), COLUMNS_PER_SCAN):
+            near = {c: [((k + 0.5) / profile[c]["n"] - spread, (k + 0.5) / profile[c]["n"] + spread) for k in missing[c]] for c in part}
+            values = sketched(df, {c: [min(max(p, 0.0), 1.0) for pair in near[c] for p in pair] for c in part})
+            structs, wanted = [], []
+            for i, c in enumerate(part):
+                low = [profile[c]["low"] if p[0] <= 0 else v for p, v in zip(near[c], values[c][0::2])]
+                high = [profile[c]["high"] if p[1] >= 1 else v for p, v in zip(near[c], values[c][1::2])]
+                cases = []
+                for j, (a, b) in enumerate(_brackets([float(v) for v in low], [float(v) for v in high])):
+                    cases.append(f"WHEN x{i} < {sql_number(a)} THEN named_struct('c', {i}, 'j', {j}, 'x', CAST(NULL AS DOUBLE))")
+                    cases.append(f"WHEN x{i} <= {sql_number(b)} THEN named_struct('c', {i}, 'j', {j}, 'x', x{i})")
+                structs.append(F.expr(f"CASE {' '.join(cases)} END"))
+                wanted += [(i, k) for k in missing[c]]
+            base = df.select(*[F.expr(f"{sql_finite(df, c)} AS x{i}") for i, c in enumerate(part)])
+            through = Window.partitionBy("c").orderBy("j", F.col("x").asc_nulls_first())
+            counted = flat_map(base, structs).groupBy("c", "j", "x").agg(F.count(F.lit(1)).alias("rows"))
+            held = counted.withColumn("upto", F.sum("rows").over(through)).join(
+                F.broadcast(local_rows(df.sparkSession, wanted, "c int, k long")), "c")  # one row per wanted rank
+            for v in held.filter((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("rows"))
+                                 & F.col("x").isNotNull()).select("c", "k", "x").collect():
+                found[part[v["c"]]][int(v["k"])] = float(v["x"])
+        spread *= 10
     return found
 
 
-def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], profile: Mapping[str, dict] | None = None,
-              rows_per_range: int | None = None) -> dict[str, list[float | None]]:
+def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], profile: Mapping[str, dict] | None = None) -> dict[str, list[float | None]]:
     """Exact quantiles with linear interpolation between neighbours; NULL for an empty column."""
     profile = profile or column_profile(df, list(wanted), moments=False)
     place = {c: [(profile[c]["n"] - 1) * p for p in ps] for c, ps in wanted.items() if profile[c]["n"]}
     ranks = {c: sorted({r for h in hs for r in (math.floor(h), math.ceil(h))}) for c, hs in place.items()}
-    values = order_statistics(df, ranks, profile, rows_per_range) if ranks else {}
+    values = order_statistics(df, ranks, profile) if ranks else {}
     out: dict[str, list[float | None]] = {c: [None] * len(ps) for c, ps in wanted.items()}
     for c, hs in place.items():
         for i, h in enumerate(hs):
@@ -245,32 +164,21 @@ def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], profile: Map
 
 
 def running_totals(df: DataFrame, value: str, measures: Mapping[str, Column], keys: Sequence[str] = (),
-                   descending: bool = False, rows_per_range: int | None = None) -> DataFrame:
+                   descending: bool = False) -> DataFrame:
     """Per distinct value: its measures, their running sums ``cum_*`` and grand sums ``all_*``.
 
     Rows meet first by value, so ties and hot values collapse before anything is ordered. The
     ordering then runs inside balanced ranges whose starting totals come from the range sums.
     """
-    profile = column_profile(df, [value], moments=False)
-    ranges = balanced_ranges(df, whole_ranges(profile), rows_per_range)
-    cuts = ranges[value].cuts() if value in ranges else []
-    rows = df.select(*[named(k) for k in keys], F.expr(sql_finite(df, value)).alias("value"),
-                     *[expr.alias(m) for m, expr in measures.items()]).filter(F.col("value").isNotNull())
-    order = F.col("value").desc() if descending else F.col("value").asc()
-
-    def through(*by: str) -> WindowSpec:
-        return Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-
-    if not cuts:  # few enough rows, by the profile, to be ordered per key
-        counted = rows.groupBy(*keys, "value").agg(*[F.sum(m).alias(m) for m in measures])
-        return counted.select(
-            *keys, "value", *measures, *[F.sum(m).over(through(*keys)).alias(f"cum_{m}") for m in measures],
-            *[F.sum(m).over(Window.partitionBy(*keys)).alias(f"all_{m}") for m in measures])
-
+    rows = column_profile(df, [value], moments=False)[value]["n"]
+    cuts = balanced_cuts(df, {value: range_count(df, rows)})[value]
+    cells = df.select(*[named(k) for k in keys], F.expr(sql_finite(df, value)).alias("value"),
+                      *[expr.alias(m) for m, expr in measures.items()]).filter(F.col("value").isNotNull())
     group = [*keys, "value_at"]
-    counted = locate(rows, {"value": cuts}, "_at").groupBy(*group, "value").agg(*[F.sum(m).alias(m) for m in measures])
+    counted = locate(cells, {"value": cuts}, "_at").groupBy(*group, "value").agg(*[F.sum(m).alias(m) for m in measures])
     totals = counted.groupBy(*group).agg(*[F.sum(m).alias(m) for m in measures])
-    place = F.col("value_at").desc() if descending else F.col("value_at").asc()
+    order, place = (F.col(c).desc() if descending else F.col(c).asc() for c in ("value", "value_at"))
+    through = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     earlier = Window.partitionBy(*keys).orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(  # one row per key and range
         *group,
@@ -279,58 +187,45 @@ def running_totals(df: DataFrame, value: str, measures: Mapping[str, Column], ke
     )
     return counted.join(offsets, group).select(
         *keys, F.col("value"), *measures,
-        *[(F.sum(m).over(through(*group)) + F.col(f"off_{m}")).alias(f"cum_{m}") for m in measures],
+        *[(F.sum(m).over(through) + F.col(f"off_{m}")).alias(f"cum_{m}") for m in measures],
         *[F.col(f"all_{m}") for m in measures],
     )
 
 
-def largest_gaps(df: DataFrame, columns: Sequence[str], side: str, profile: Mapping[str, dict],
-                 rows_per_range: int | None = None) -> dict[str, float]:
+def largest_gaps(df: DataFrame, columns: Sequence[str], side: str, profile: Mapping[str, dict]) -> dict[str, float]:
     """Largest distance between the two cumulative distributions of each column (side 0 vs 1).
 
     The distance is known exactly at every range end. A range can beat the best of those only if
-    its own rows suffice to, so only the rows of such ranges are ever grouped by value.
+    its own rows suffice to, so only the rows of such ranges are grouped by value.
     """
-    mark = named(side)
-    sums = {"ref": (mark == 0).cast("long"), "cur": (mark == 1).cast("long")}
-    usable = {c: profile[c] for c in columns if profile[c]["n"]}
-    best = {c: 0.0 for c in usable}
-    if not usable:
-        return best
-    ranges = whole_ranges(usable)
-    limit = rows_per_range or ROWS_PER_RANGE
-    open_ranges = {c: np.ones(1, bool) for c in usable}
-    if any(p["n"] > limit for p in usable.values()):
-        ranges = balanced_ranges(df, split(df, ranges, open_ranges, sums), limit, sums)
-        for c, r in ranges.items():
-            upto = {k: np.cumsum(r.sums[k]) / max(r.sums[k].sum(), 1.0) for k in sums}
-            start = {k: np.concatenate([[0.0], v[:-1]]) for k, v in upto.items()}
-            best[c] = float(np.max(np.abs(upto["ref"] - upto["cur"])))
-            reach = np.maximum(upto["ref"] - start["cur"], upto["cur"] - start["ref"])
-            open_ranges[c] = (reach > best[c]) & (r.low < r.high)
-
-    for part in chunked([c for c in usable if open_ranges[c].any()], COLUMNS_PER_SCAN):
-        cells = _cells(df, ranges, {c: open_ranges[c] for c in part}, sums, None)
-        counted = cells.groupBy("c", "r", "x").agg(F.sum("ref").alias("ref"), F.sum("cur").alias("cur"))
-        through = Window.partitionBy("c", "r").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-        counted = counted.select("c", "r", *[F.sum(k).over(through).alias(k) for k in sums])
-        starts, totals = [], []
+    best = {c: 0.0 for c in columns if profile[c]["n"]}
+    spark = df.sparkSession
+    for part in chunked(list(best), COLUMNS_PER_SCAN):
+        ranges = {c: max(64, min(ACCURACY // 5, profile[c]["n"] // 50_000)) for c in part}
+        cuts = balanced_cuts(df, ranges)
+        base = df.select(*[F.expr(f"{sql_finite(df, c)} AS x{i}") for i, c in enumerate(part)], named(side).alias("side"))
+        base = locate(base, {f"x{i}": cuts[c] for i, c in enumerate(part)}, "_at")
+        cells = flat_map(base, [F.expr(f"CASE WHEN x{i} IS NOT NULL THEN named_struct('c', {i}, 'r', x{i}_at, 'x', x{i}) END")
+                                for i in range(len(part))], [F.col("side")])
+        sides = [F.count_if(F.col("side") == 0).alias("ref"), F.count_if(F.col("side") == 1).alias("cur")]
+        counts = cells.groupBy("c", "r").agg(*sides).toPandas()  # columns x ranges
+        opened = []
         for i, c in enumerate(part):
-            n = {"ref": usable[c]["n_ref"], "cur": usable[c]["n_cur"]}
-            totals.append([F.lit(float(max(n[k], 1))) for k in sums])
-            r = ranges[c]
-            starts.append([
-                F.element_at(F.lit([float(v) for v in np.concatenate([[0.0], np.cumsum(r.sums[k])[:-1]])]),
-                             F.col("r") + 1) if r.sums else F.lit(0.0) for k in sums])
-
-        def by_column(pairs: list, j: int) -> Column:
-            choice = F.when(F.col("c") == 0, pairs[0][j])
-            for i in range(1, len(pairs)):
-                choice = choice.when(F.col("c") == i, pairs[i][j])
-            return choice
-
-        gap = F.abs((F.col("ref") + by_column(starts, 0)) / by_column(totals, 0)
-                    - (F.col("cur") + by_column(starts, 1)) / by_column(totals, 1))
-        for row in counted.groupBy("c").agg(F.max(gap).alias("gap")).collect():
+            own = counts[counts["c"] == i].sort_values("r")
+            n = {k: max(float(own[k].sum()), 1.0) for k in ("ref", "cur")}
+            upto = {k: own[k].cumsum().to_numpy() for k in n}
+            start = {k: np.concatenate([[0], v[:-1]]) for k, v in upto.items()}
+            ends = np.abs(upto["ref"] / n["ref"] - upto["cur"] / n["cur"])
+            best[c] = float(ends.max(initial=0.0))
+            reach = np.maximum(upto["ref"] / n["ref"] - start["cur"] / n["cur"], upto["cur"] / n["cur"] - start["ref"] / n["ref"])
+            for r in np.flatnonzero(reach > best[c]):
+                opened.append((i, int(own["r"].iloc[r]), int(start["ref"][r]), int(start["cur"][r]), n["ref"], n["cur"]))
+        within = cells.join(F.broadcast(local_rows(  # one row per range that may hold the largest gap
+            spark, opened, "c int, r int, ref0 long, cur0 long, n_ref double, n_cur double")), ["c", "r"])
+        known = ["ref0", "cur0", "n_ref", "n_cur"]
+        values = within.groupBy("c", "r", *known, "x").agg(*sides)
+        through = Window.partitionBy("c", "r").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+        at = {k: (F.sum(k).over(through) + F.col(f"{k}0")) / F.col(f"n_{k}") for k in ("ref", "cur")}
+        for row in values.select("c", F.abs(at["ref"] - at["cur"]).alias("gap")).groupBy("c").agg(F.max("gap").alias("gap")).collect():
             best[part[row["c"]]] = max(best[part[row["c"]]], float(row["gap"]))
     return best

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import count_if, local_rows, named
+from riskloom.functions.columns import count_if, finite, local_rows, named
 
 VIOLATIONS = "table_name string, check string, column_name string, n long"
 
@@ -199,14 +199,15 @@ def check_probabilities(df: DataFrame, score: str, table: str = "scores") -> Dat
 
 
 def check_scored(df: DataFrame, label: str, score: str, table: str = "scored") -> DataFrame:
-    """Every row needs a label and a score, and both classes must occur."""
-    y, p = named(label), named(score)
+    """Every row needs a label of 0 or 1 and a finite score, and both classes must occur."""
+    y, p = named(label), finite(named(score))
     summary = df.agg(
         F.count(F.lit(1)).alias("rows"), count_if(y.isNull()).alias("no_label"), count_if(p.isNull()).alias("no_score"),
-        F.min(y.cast("double")).alias("low"), F.max(y.cast("double")).alias("high"))
+        count_if(~y.cast("double").isin(0.0, 1.0)).alias("other"), F.min(y.cast("double")).alias("low"), F.max(y.cast("double")).alias("high"))
     return _unfold(summary, [
         _violation(table, "empty", None, F.when(F.col("rows") == 0, 1).otherwise(0)),
         _violation(table, "label_null", label, F.col("no_label")),
+        _violation(table, "label_other", label, F.col("other")),
         _violation(table, "score_null", score, F.col("no_score")),
         _violation(table, "label_single_class", label,
                    F.when((F.col("rows") > 0) & F.col("low").eqNullSafe(F.col("high")), 1).otherwise(0))])

@@ -13,6 +13,9 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
+from pyspark.errors import (
+    AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, IllegalArgumentException,
+    NumberFormatException, SparkRuntimeException)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -114,15 +117,13 @@ def _pooled(ref: Mapping[str, dict], cur: Mapping[str, dict], columns: Sequence[
 
 
 def ks_statistics(reference: DataFrame, current: DataFrame, columns: Sequence[str],
-                  ref_profile: Mapping[str, dict] | None = None, cur_profile: Mapping[str, dict] | None = None,
-                  rows_per_range: int | None = None) -> dict[str, float | None]:
+                  ref_profile: Mapping[str, dict] | None = None, cur_profile: Mapping[str, dict] | None = None) -> dict[str, float | None]:
     """Exact two-sample KS distance; ``None`` below the minimum of rows on either side."""
     if ref_profile is None or cur_profile is None:
         ref_profile, cur_profile = paired_profile(reference, current, columns, moments=False)
     ref, cur = ref_profile, cur_profile
     usable = [c for c in columns if min(ref[c]["n"], cur[c]["n"]) >= MIN_ROWS]
-    gaps = largest_gaps(two_sided(reference, current, usable), usable, "side", _pooled(ref, cur, usable),
-                        rows_per_range) if usable else {}
+    gaps = largest_gaps(two_sided(reference, current, usable), usable, "side", _pooled(ref, cur, usable)) if usable else {}
     return {c: gaps.get(c) for c in columns}
 
 
@@ -258,14 +259,20 @@ def ordered(report: DataFrame) -> DataFrame:
     return report.orderBy(severity(F.col("drift_status")).desc(), F.col("psi").desc_nulls_last(), F.col("position"))
 
 
+# What a column's own values or type can cause. Anything else, such as a lost executor, is no property of a feature.
+DATA_ERRORS = (AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException,
+               IllegalArgumentException, NumberFormatException, SparkRuntimeException)
+
+
 def _isolated(measure, reference: DataFrame, current: DataFrame, columns: Sequence[str], kind: str,
               limits: Mapping[str, float]) -> list[DataFrame]:
-    """Measure columns in chunks; a chunk that cannot be analysed is retried column by column."""
+    """Measure columns in chunks, to the end; a chunk whose data fail is retried in halves, other errors are raised."""
     if not columns:
         return []
     try:
-        return [classified(measure(reference, current, columns), limits)]
-    except Exception as error:  # noqa: BLE001 - one broken feature must not lose the others
+        made = classified(measure(reference, current, columns), limits)
+        return [local_rows(reference.sparkSession, [tuple(r) for r in made.collect()], made.schema)]  # a row per feature
+    except DATA_ERRORS as error:
         if len(columns) > 1:
             half = len(columns) // 2
             return [r for part in (columns[:half], columns[half:])

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import count_if, local_rows, named, share
+from riskloom.functions.columns import count_if, finite, local_rows, named, share
 from riskloom.functions.ranges import running_totals
 from riskloom.operators.contracts import check_scored, require
 from riskloom.operators.drift import CRITICAL, STABLE, WARNING
@@ -27,7 +27,10 @@ FALL_WARNING, FALL_CRITICAL = 0.02, 0.05
 
 
 def confusion_counts(df: DataFrame, label: str, score: str, threshold: float, keys: Sequence[str] = ()) -> DataFrame:
-    y, hit = named(label).cast("int"), named(score) >= F.lit(float(threshold))
+    """Counts per key. A score that is missing or not finite stops the job rather than vanish from the counts."""
+    p = finite(named(score))
+    y, hit = named(label).cast("int"), F.when(p.isNull(), F.raise_error(F.lit(f"a {score} score is missing or not finite"))
+                                             .cast("boolean")).otherwise(p >= F.lit(float(threshold)))
     plan = [count_if((y == 0) & ~hit).alias("tn"), count_if((y == 0) & hit).alias("fp"),
             count_if((y == 1) & ~hit).alias("fn"), count_if((y == 1) & hit).alias("tp")]
     return df.groupBy(*[named(k) for k in keys]).agg(*plan)
@@ -45,11 +48,11 @@ def threshold_metrics(counts: DataFrame) -> DataFrame:
         share(tp + fp, n).alias("predicted_positive_rate"), share(tp + fn, n).alias("actual_positive_rate"))
 
 
-def score_curve(df: DataFrame, label: str, score: str, keys: Sequence[str] = (),
-                rows_per_range: int | None = None) -> DataFrame:
+def score_curve(df: DataFrame, label: str, score: str, keys: Sequence[str] = ()) -> DataFrame:
     """Per distinct score, from the highest down: positives and negatives at it and down to it."""
-    y = named(label).cast("long")
-    return running_totals(df, score, {"tp": y, "fp": 1 - y}, keys, descending=True, rows_per_range=rows_per_range)
+    y = named(label).cast("double")
+    classes = {"tp": F.when(y == 1, 1).otherwise(0).cast("long"), "fp": F.when(y == 0, 1).otherwise(0).cast("long")}
+    return running_totals(df, score, classes, keys, descending=True)
 
 
 def precision_recall_curve(curve: DataFrame) -> DataFrame:
@@ -80,14 +83,13 @@ def f1_threshold(curve: DataFrame) -> DataFrame:
     return scored.orderBy(F.col("f1").desc(), F.col("threshold").asc()).limit(1)
 
 
-def evaluate(df: DataFrame, label: str, score: str, threshold: float = 0.5, keys: Sequence[str] = (),
-             rows_per_range: int | None = None) -> DataFrame:
+def evaluate(df: DataFrame, label: str, score: str, threshold: float = 0.5, keys: Sequence[str] = ()) -> DataFrame:
     """All metrics per key (say, per model) or for the whole table.
 
     The curve already holds the class counts per score, so the confusion counts come out of the same
     aggregation as the rank metrics.
     """
-    curve = score_curve(df, label, score, keys, rows_per_range)
+    curve = score_curve(df, label, score, keys)
     hit = F.col("value") >= F.lit(float(threshold))
     counts = [F.sum(F.when(~hit, F.col("fp")).otherwise(0)).alias("tn"),
               F.sum(F.when(hit, F.col("fp")).otherwise(0)).alias("fp"),

@@ -59,13 +59,16 @@ def attributed(scorer: Scorer, df: DataFrame, keep: tuple[str, ...], background:
         *[named(k) for k in keep], "values", "attribution", "margin", "score"), base, space
 
 
-def explain_job(scorer: Scorer, df: DataFrame, label: str | None = None, sample: int | None = 2000,
-                background_size: int = 200, background: DataFrame | None = None, examples: int = 5, top_n: int = 10,
+def explain_job(scorer: Scorer, df: DataFrame, label: str | None = None, sample: int | None = None,
+                background_size: int | None = None, background: DataFrame | None = None, examples: int = 5, top_n: int = 10,
                 seed: int = 42) -> Explanation:
-    """Sample, transform, attribute, rank, choose rows worth reading. ``sample=None`` explains all rows."""
+    """Transform, attribute, rank, choose rows worth reading. All rows are explained against all rows unless a
+    ``sample`` or a ``background_size`` is asked for."""
     key = scorer.deployment.id_column
     rows = df if sample is None else sample_rows(df, key, sample, seed)
-    around = background if background is not None else sample_rows(df, key, background_size, seed + 1)
+    around = background if background is not None else df
+    if background is None and background_size is not None:
+        around = sample_rows(df, key, background_size, seed + 1)
     keep = (key, label) if label and label in df.columns else (key,)
     made, base, space = attributed(scorer, rows, keep, scorer.preprocessor.align(around))
     # the ranking, the examples and the check all read the attributions, so they are computed once

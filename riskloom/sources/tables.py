@@ -57,8 +57,9 @@ def read_csv_tables(spark: SparkSession, folder: str, files: Mapping[str, str] |
     return tables
 
 
-def read_parquet(spark: SparkSession, path: str, nan_as_null: bool = True) -> DataFrame:
-    """Pass ``nan_as_null=False`` for tables known to hold no NaN: filters on doubles then reach the files."""
+def read_parquet(spark: SparkSession, path: str, nan_as_null: bool = False) -> DataFrame:
+    """Columns come as stored, so that filters on doubles reach the files; the operators treat NaN as missing.
+    ``nan_as_null`` replaces it on reading, for work that does not go through them."""
     df = spark.read.parquet(path)
     return nan_to_null(df) if nan_as_null else df
 
@@ -66,7 +67,7 @@ def read_parquet(spark: SparkSession, path: str, nan_as_null: bool = True) -> Da
 def read_parquet_tables(spark: SparkSession, folder: str, files: Mapping[str, str]) -> dict[str, DataFrame]:
     paths = {name: f"{folder.rstrip('/')}/{file}" for name, file in files.items()}
     check_paths(spark, paths)
-    return {name: read_parquet(spark, path) for name, path in paths.items()}
+    return {name: read_parquet(spark, path, nan_as_null=True) for name, path in paths.items()}
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None,

@@ -35,15 +35,14 @@ def brute_metrics(y, p):
     return auc, ap, min(c for c, f in zip(cuts, f1) if f == best)
 
 
-@pytest.mark.parametrize("limit", [None, 20])
-def test_rank_metrics_and_threshold(separable, limit):
+def test_rank_metrics_and_threshold(separable):
     y, p, df = separable
     auc, ap, cut = brute_metrics(y, p)
-    row = performance.evaluate(df, "y", "p", 0.5, rows_per_range=limit).first()
+    row = performance.evaluate(df, "y", "p", 0.5).first()
     assert row["roc_auc"] == pytest.approx(auc, abs=1e-12) and row["average_precision"] == pytest.approx(ap, abs=1e-12)
     assert row["accuracy"] == pytest.approx(((p >= 0.5) == (y == 1)).mean())
     assert row["tp"] == ((p >= 0.5) & (y == 1)).sum() and row["n"] == 1000
-    assert performance.f1_threshold(performance.score_curve(df, "y", "p", rows_per_range=limit)).first()["threshold"] == cut
+    assert performance.f1_threshold(performance.score_curve(df, "y", "p")).first()["threshold"] == cut
 
 
 def test_single_class_batch_is_refused(separable):
@@ -52,6 +51,21 @@ def test_single_class_batch_is_refused(separable):
         performance.performance_report(df.filter("y = 0"), "y", "p", 0.5)
 
 
+@pytest.mark.parametrize("rows, said", [
+    ([(2, 0.5), (0, 0.2), (1, 0.7)], "label_other"), ([(1, float("nan")), (0, 0.2), (1, 0.7)], "score_null"),
+    ([(1, float("inf")), (0, 0.2), (1, 0.7)], "score_null"), ([(1, None), (0, 0.2), (1, 0.7)], "score_null")])
+def test_unusable_labels_and_scores_are_refused(spark, rows, said):
+    df = spark.createDataFrame(rows, "y int, p double")
+    with pytest.raises(ContractViolation, match=said):
+        performance.performance_report(df, "y", "p", 0.5)
+
+
+def test_confusion_counts_refuse_a_missing_score(spark):
+    df = spark.createDataFrame([(1, None), (0, 0.2)], "y int, p double")
+    with pytest.raises(Exception, match="score is missing"):
+        performance.confusion_counts(df, "y", "p", 0.5).collect()
+
+
 def test_report_without_labels_holds_no_metric(separable):
     _, _, df = separable
     row = performance.performance_report(df.drop("y"), "y", "p", 0.5).first()

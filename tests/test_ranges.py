@@ -1,11 +1,11 @@
-"""Order statistics, running totals and KS against brute force, with ranges forced to split."""
+"""Order statistics, running totals and KS against brute force, on one path for all sizes."""
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from riskloom.functions.ranges import balanced_ranges, column_profile, quantiles, running_totals, whole_ranges
+from riskloom.functions.ranges import balanced_cuts, column_profile, order_statistics, quantiles, running_totals
 from riskloom.operators import drift
 
 LEVELS = [0.0, 0.1, 0.25, 0.5, 0.9, 0.999, 1.0]
@@ -23,12 +23,11 @@ def frame(spark):
     return data, spark.createDataFrame(data).repartition(5)
 
 
-@pytest.mark.parametrize("limit", [None, 60])
-def test_quantiles_equal_numpy(frame, limit):
+def test_quantiles_equal_numpy(frame):
     data, df = frame
     from riskloom.functions.columns import nan_to_null
 
-    found = quantiles(nan_to_null(df), {c: LEVELS for c in data.columns}, rows_per_range=limit)
+    found = quantiles(nan_to_null(df), {c: LEVELS for c in data.columns})
     for c in data.columns:
         np.testing.assert_allclose(found[c], np.quantile(data[c].dropna(), LEVELS), rtol=1e-12, atol=1e-12)
 
@@ -45,25 +44,37 @@ def test_nan_and_infinity_are_missing(spark):
     assert quantiles(df, {"x": [0.5]})["x"] == [2.0]
 
 
-def test_ranges_are_disjoint_ordered_and_complete(frame):
+def test_cuts_are_increasing_and_balanced(frame):
     data, df = frame
+    cuts = balanced_cuts(df, {"heavy": 10, "hot": 10, "flat": 10})
+    for c, points in cuts.items():
+        assert points == sorted(set(points))
+    sizes = np.diff(np.r_[0, np.searchsorted(np.sort(data["heavy"]), cuts["heavy"]), len(data)])
+    assert sizes.max() < 2 * len(data) / 10
+
+
+def test_a_poor_sketch_is_found_out(frame, monkeypatch):
+    """Brackets around the wrong place: the running count misses the ranks and wider brackets are tried."""
+    from riskloom.functions import ranges
+
+    data, df = frame
+    real = ranges.sketched
+    monkeypatch.setattr(ranges, "sketched", lambda d, f, *a: real(d, {c: [min(p + 0.01, 1.0) for p in ps] for c, ps in f.items()}, *a))
     profile = column_profile(df, ["heavy", "hot"])
-    made = balanced_ranges(df, whole_ranges(profile), 100)
-    for c, r in made.items():
-        assert r.rows.sum() == len(data)
-        assert (r.low <= r.high).all() and (r.high[:-1] < r.low[1:]).all()
-        assert ((r.rows <= 100) | (r.low == r.high)).all()
+    ranks = {c: [0, 7, 1999, 2000, 3999] for c in profile}
+    found = order_statistics(df, ranks, profile)
+    for c in ranks:
+        assert [found[c][k] for k in ranks[c]] == np.sort(data[c])[ranks[c]].tolist()
 
 
 def test_running_totals_match_cumulative_sums(frame):
     data, df = frame
-    for limit in (None, 80):
-        out = running_totals(df, "hot", {"n": F.lit(1).cast("long"), "w": F.col("whole").cast("long")}, descending=True,
-                             rows_per_range=limit).orderBy(F.desc("value")).toPandas()
-        want = data.groupby("hot").agg(n=("hot", "size"), w=("whole", "sum")).sort_index(ascending=False).cumsum()
-        assert out["cum_n"].tolist() == want["n"].tolist()
-        assert out["cum_w"].tolist() == want["w"].tolist()
-        assert set(out["all_n"]) == {len(data)}
+    out = running_totals(df, "hot", {"n": F.lit(1).cast("long"), "w": F.col("whole").cast("long")}, descending=True).orderBy(
+        F.desc("value")).toPandas()
+    want = data.groupby("hot").agg(n=("hot", "size"), w=("whole", "sum")).sort_index(ascending=False).cumsum()
+    assert out["cum_n"].tolist() == want["n"].tolist()
+    assert out["cum_w"].tolist() == want["w"].tolist()
+    assert set(out["all_n"]) == {len(data)}
 
 
 def brute_ks(a, b):
@@ -72,19 +83,18 @@ def brute_ks(a, b):
                          - np.searchsorted(np.sort(b), v, side="right") / len(b)))
 
 
-@pytest.mark.parametrize("limit", [None, 50])
-def test_ks_matches_brute_force(spark, limit):
+def test_ks_matches_brute_force(spark):
     rng = np.random.default_rng(5)
     a = pd.DataFrame({"same": rng.normal(0, 1, 1500), "moved": rng.normal(0, 1, 1500), "ties": rng.integers(0, 5, 1500) * 1.0})
     b = pd.DataFrame({"same": rng.normal(0, 1, 1100), "moved": rng.normal(0.7, 1, 1100), "ties": rng.integers(0, 6, 1100) * 1.0})
-    found = drift.ks_statistics(spark.createDataFrame(a), spark.createDataFrame(b), list(a.columns), rows_per_range=limit)
+    found = drift.ks_statistics(spark.createDataFrame(a), spark.createDataFrame(b), list(a.columns))
     for c in a.columns:
         assert found[c] == pytest.approx(brute_ks(a[c].to_numpy(), b[c].to_numpy()), abs=1e-12)
 
 
 def test_ordered_work_never_meets_in_one_partition(frame):
     _, df = frame
-    plan = running_totals(df, "heavy", {"n": F.lit(1).cast("long")}, rows_per_range=50)
+    plan = running_totals(df, "heavy", {"n": F.lit(1).cast("long")})
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     # the only unpartitioned step orders the totals of the ranges, not the rows
