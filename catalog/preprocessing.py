@@ -49,7 +49,7 @@ def _top(c: str, source: str) -> str:
 AS occupation, coalesce(NAME_INCOME_TYPE, {_top('NAME_INCOME_TYPE', 'a')}) AS income FROM a""")
 def impute_mode(spark, folder):
     df = applicant(spark, folder)
-    mode, _ = preprocess.category_levels(df, ["OCCUPATION_TYPE", "NAME_INCOME_TYPE"])
+    mode = preprocess.category_modes(df, ["OCCUPATION_TYPE", "NAME_INCOME_TYPE"])
     return df.select("SK_ID_CURR", F.coalesce("OCCUPATION_TYPE", F.lit(mode["OCCUPATION_TYPE"])).alias("occupation"),
                      F.coalesce("NAME_INCOME_TYPE", F.lit(mode["NAME_INCOME_TYPE"])).alias("income"))
 

@@ -41,6 +41,25 @@ def sample_n(spark, folder):
     return sampling.sample_rows(table(spark, folder, "orders"), "o_orderkey", 1000, 7).select("o_orderkey", "o_totalprice")
 
 
+_COLUMNS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, "
+            "l_linestatus, l_shipdate")
+
+
+@query("sample_repeated_keys", f"""SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+ORDER BY md5(l_orderkey::VARCHAR || '|7'), l_orderkey, {_COLUMNS} LIMIT 1001""")
+def sample_repeated_keys(spark, folder):
+    return sampling.sample_rows(table(spark, folder, "lineitem").select(*_COLUMNS.split(", ")), "l_orderkey", 1001, 7).select(
+        "l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("split_many_strata", f"""WITH t AS (SELECT o_orderkey, o_custkey, {_RANK.format(s='o_custkey', k='o_orderkey', seed=42)} AS i,
+count(*) OVER (PARTITION BY o_custkey) AS n FROM orders) SELECT o_orderkey,
+CASE WHEN i <= floor(n * 0.15::DOUBLE + 0.5) THEN 'test'
+WHEN i <= floor(n * 0.15::DOUBLE + 0.5) * 2 THEN 'validation' ELSE 'train' END AS split FROM t""")
+def split_many_strata(spark, folder):
+    return sampling.split_exact(table(spark, folder, "orders"), "o_orderkey", "o_custkey").select("o_orderkey", "split")
+
+
 @query("inject_drift", f"""WITH a AS ({APPLICANT_SQL}), m AS (SELECT NAME_INCOME_TYPE AS top FROM a GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
 SELECT SK_ID_CURR, {r('AMT_INCOME_TOTAL * 1.18::DOUBLE', 'AMT_INCOME_TOTAL', 4)},
 {r('DAYS_BIRTH - 0.25::DOUBLE * (SELECT stddev_pop(DAYS_BIRTH) FROM a)', 'DAYS_BIRTH', 4)},

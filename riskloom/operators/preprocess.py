@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -106,21 +107,22 @@ def _sql_clipped(value: str, low: float, high: float) -> str:
     return f"greatest(least({value}, {sql_number(high)}), {sql_number(low)})"
 
 
-def category_levels(df: DataFrame, columns: Sequence[str], limit: int = 10_000
-                    ) -> tuple[dict[str, str], dict[str, list[str]]]:
-    """Mode (smallest among ties) and sorted levels per column.
+def _category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return flat_map(df, category_cells(columns, "name")).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
 
-    The levels become model columns, so they must fit on the driver: one row more than that is asked
-    for, and finding it is an error rather than a silent cut.
-    """
-    counts = flat_map(df, category_cells(columns, "name")).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
-    rows = counts.limit(limit * len(columns) + 1).collect()
+
+def category_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
+    """Most frequent value per column, the smallest among ties; columns without values are left out."""
+    best = F.min_by("value", F.struct(-F.col("n"), F.col("value")))
+    return {r["name"]: r["mode"] for r in _category_counts(df, columns).groupBy("name").agg(best.alias("mode")).collect()}
+
+
+def category_levels(df: DataFrame, columns: Sequence[str]) -> tuple[dict[str, str], dict[str, list[str]]]:
+    """Mode (smallest among ties) and sorted levels per column. The levels become names of model columns and so are
+    part of the model, whatever their number."""
     found: dict[str, dict[str, int]] = {c: {} for c in columns}
-    for r in rows:
-        found[r["name"]][r["value"]] = r["n"]
-    wide = sorted(c for c, v in found.items() if len(v) > limit)
-    if wide or len(rows) > limit * len(columns):
-        raise ValueError(f"more than {limit} categories for one-hot columns, among {wide or list(columns)}")
+    for name, value, n in zip(*_category_counts(df, columns).toArrow().to_pydict().values()):
+        found[name][value] = n
     return ({c: min(v, key=lambda k: (-v[k], k)) for c, v in found.items() if v},
             {c: sorted(v) for c, v in found.items() if v})
 
@@ -140,12 +142,11 @@ class TabularPreprocessor(Estimator, _Columns, DefaultParamsReadable, DefaultPar
     """Learns every constant the model needs; four small result sets reach the driver."""
 
     iqrFactor = Param(Params._dummy(), "iqrFactor", "width of the Tukey fences", TypeConverters.toFloat)
-    maxLevels = Param(Params._dummy(), "maxLevels", "most categories per column", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCols=None, outputCol="features", iqrFactor=1.5, maxLevels=10_000):
+    def __init__(self, *, inputCols=None, outputCol="features", iqrFactor=1.5):
         super().__init__()
-        self._setDefault(outputCol="features", iqrFactor=1.5, maxLevels=10_000)
+        self._setDefault(outputCol="features", iqrFactor=1.5)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> TabularPreprocessorModel:
@@ -158,7 +159,7 @@ class TabularPreprocessor(Estimator, _Columns, DefaultParamsReadable, DefaultPar
         numeric = [c for c in numeric if centre[c] is not None]
         spread = moments(frame, {c: _sql_clipped(_sql_filled(c, centre[c]), *fences[c]) for c in numeric}
                          ) if numeric else {}
-        mode, levels = category_levels(frame, categorical, self.getOrDefault(self.maxLevels)) if categorical else ({}, {})
+        mode, levels = category_levels(frame, categorical) if categorical else ({}, {})
         model = TabularPreprocessorModel()
         model._set(
             inputCols=columns, outputCol=self.getOutputCol(), numericCols=numeric,
@@ -197,13 +198,17 @@ class TabularPreprocessorModel(Model, _Columns, DefaultParamsReadable, DefaultPa
         numeric, categorical = self.feature_types()
         return numeric + [f"{c}_{v}" for c, vs in zip(categorical, self.getOrDefault(self.levels)) for v in vs]
 
-    def sql_expressions(self) -> dict[str, str]:
+    def numeric_expressions(self) -> dict[str, str]:
         out: dict[str, str] = {}
         stats = zip(*[self.getOrDefault(p) for p in (
             self.numericCols, self.medians, self.lower, self.upper, self.means, self.deviations)])
         for c, median, low, high, mean, deviation in stats:
             value = _sql_clipped(_sql_filled(c, median), low, high)
             out[c] = f"({value} - {sql_number(mean)}) / {sql_number(deviation)}"
+        return out
+
+    def sql_expressions(self) -> dict[str, str]:
+        out = self.numeric_expressions()
         for c, mode, levels in zip(*[self.getOrDefault(p) for p in (self.categoricalCols, self.modes, self.levels)]):
             value = f"coalesce(CAST({quoted(c)} AS STRING), {sql_string(mode)})"
             for v in levels:
@@ -223,5 +228,23 @@ class TabularPreprocessorModel(Model, _Columns, DefaultParamsReadable, DefaultPa
         return df.select(*[named(c) for c in keep], *[e.alias(n) for n, e in self.expressions().items()])
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumn(self.getOutputCol(), array_to_vector(
-            F.expr(f"array({', '.join(self.sql_expressions().values())})")))
+        """One vector column. Categories are found by an index map and stay sparse, however many levels there are."""
+        numeric, categorical = self.feature_types()
+        exprs = self.numeric_expressions()
+        numbers = array_to_vector(F.expr(f"array({', '.join(exprs[c] for c in numeric)})")) if numeric else None
+        if not categorical:
+            return dataset.withColumn(self.getOutputCol(), numbers)
+        made = {f"__value{i}": F.expr(f"coalesce(CAST({quoted(c)} AS STRING), {sql_string(mode)})")
+                for i, (c, mode) in enumerate(zip(categorical, self.getOrDefault(self.modes)))}
+        if numeric:
+            made["__numbers"] = numbers
+        places, flags = ([f"__{k}{i}" for i in range(len(categorical))] for k in ("place", "flag"))
+        indexed = dataset.withColumns(made)
+        for i, levels in enumerate(self.getOrDefault(self.levels)):  # one by one: lists of unequal length would be filled up
+            indexed = StringIndexerModel.from_labels(levels, f"__value{i}", places[i], "keep").transform(indexed)
+        # the place behind the last level, that of unseen values, is the one that the encoder drops
+        encoded = OneHotEncoder(inputCols=places, outputCols=flags, dropLast=True).fit(indexed).transform(indexed)
+        if numeric:
+            encoded = VectorSizeHint(inputCol="__numbers", size=len(numeric), handleInvalid="optimistic").transform(encoded)
+        whole = VectorAssembler(inputCols=["__numbers"] * bool(numeric) + flags, outputCol=self.getOutputCol(), handleInvalid="keep")
+        return whole.transform(encoded).drop(*made, *places, *flags)

@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,15 +17,8 @@ from riskloom.functions.columns import count_if, finite, local_rows, named, row_
 from riskloom.operators.cleaning import modes
 
 PREFIX = 4  # hex digits of the key hash that are counted: 65,536 prefixes per stratum
-MAX_COUNTS = 1 << 20  # prefix counts brought to the driver; more strata mean shorter prefixes
-MAX_STRATA = 1000
-
-
-def prefix_length(strata: int) -> int:
-    length = PREFIX
-    while length > 1 and strata * 16 ** length > MAX_COUNTS:
-        length -= 1
-    return length
+#: A table of so many cuts at most is broadcast; beyond it the joins shuffle.
+BROADCAST_CUTS = 100_000
 
 
 def _check_sizes(validation: float, test: float) -> None:
@@ -46,104 +38,93 @@ def split_by_hash(df: DataFrame, key: str, validation: float = 0.15, test: float
                          .otherwise(F.lit("train")))
 
 
-@dataclass(frozen=True)
-class Cut:
-    """Rows whose (hash, key) sorts before this belong to the set; ``None`` admits all rows."""
-
-    digest: str | None
-    key: object = None
-
-    def admits(self, digest: Column, key: Column) -> Column:
-        if self.digest is None:
-            return F.lit(True)
-        return (digest < F.lit(self.digest)) | ((digest == F.lit(self.digest)) & (key < F.lit(self.key)))
-
-
-def _hashed(df: DataFrame, key: str, seed: int, stratum: str | None) -> DataFrame:
-    return df.select((named(stratum).cast("string") if stratum else F.lit("all")).alias("stratum"),
-                     named(key).alias("id"), row_hash(key, seed).alias("digest"))
-
-
-def stratum_sizes(df: DataFrame, stratum: str | None) -> dict[str | None, int]:
-    label = named(stratum).cast("string") if stratum else F.lit("all")
-    rows = df.groupBy(label.alias("s")).agg(F.count(F.lit(1)).alias("n")).limit(MAX_STRATA + 1).collect()
-    if len(rows) > MAX_STRATA:
-        raise ValueError(f"{stratum} has more than {MAX_STRATA} values; stratify by a class label")
-    return {r["s"]: r["n"] for r in rows}
-
-
-def rank_cuts(df: DataFrame, key: str, seed: int, ranks: Mapping[str | None, Sequence[int]],
-              stratum: str | None = None) -> dict[str | None, list[Cut]]:
-    """For every stratum the cuts that admit exactly its first ``rank`` rows in hash order."""
-    hashed = _hashed(df, key, seed, stratum)
-    prefix = F.substring("digest", 1, prefix_length(len(ranks)))
-    counts = hashed.groupBy("stratum", prefix.alias("prefix")).agg(F.count(F.lit(1)).alias("n")).toPandas()
-    wanted, cuts = [], {s: [Cut(None)] * len(ks) for s, ks in ranks.items()}
-    for s, ks in ranks.items():
-        mine = counts[counts["stratum"].isna() if s is None else counts["stratum"] == s].sort_values("prefix")
-        upto = mine["n"].cumsum().to_numpy()
-        for i, k in enumerate(ks):
-            at = int(np.searchsorted(upto, k, side="right"))
-            if at < len(upto):
-                wanted.append((s, mine["prefix"].iloc[at], int(k - (upto[at - 1] if at else 0)) + 1, i))
-    if wanted:
-        targets = F.broadcast(local_rows(  # one row per cut
-            df.sparkSession, wanted, "stratum string, prefix string, place int, cut int"))
-        edges = targets.select("stratum", "prefix").distinct()
-        near = hashed.withColumn("prefix", prefix)
-        same = near["stratum"].eqNullSafe(edges["stratum"]) & (near["prefix"] == edges["prefix"])
-        ranked = near.join(F.broadcast(edges), same, "left_semi").withColumn(
-            "place", F.row_number().over(Window.partitionBy("stratum", "prefix").orderBy("digest", "id")))
-        hit = ranked["stratum"].eqNullSafe(targets["stratum"]) & (ranked["prefix"] == targets["prefix"]) & (
-            ranked["place"] == targets["place"])
-        for r in ranked.join(targets, hit).select(ranked["stratum"], "cut", "digest", "id").collect():
-            cuts[r["stratum"]][r["cut"]] = Cut(r["digest"], r["id"])
-    return cuts
-
-
-def _rank_label(df: DataFrame, key: str, seed: int, stratum: str | None, cuts: Mapping[str | None, Sequence[Cut]],
-                names: Sequence) -> Column:
-    """First name whose cut admits the row, by stratum; the last name takes the rest."""
-    digest, label = row_hash(key, seed), named(stratum).cast("string") if stratum else F.lit("all")
-    out = F.lit(None).cast("string" if isinstance(names[0], str) else "int")
-    for s, bounds in cuts.items():
-        choice = F.when(bounds[0].admits(digest, named(key)), F.lit(names[0]))
-        for bound, name in list(zip(bounds, names))[1:]:
-            choice = choice.when(bound.admits(digest, named(key)), F.lit(name))
-        out = F.when(label.eqNullSafe(F.lit(s)), choice.otherwise(F.lit(names[-1]))).otherwise(out)
-    return out
-
-
-def rounded(x: float) -> int:
-    return int(np.floor(x + 0.5))
+def _label(stratum: str | None) -> Column:
+    """The stratum as text that is never NULL; NULL rows are a stratum of their own."""
+    if stratum is None:
+        return F.lit("all")
+    return F.when(named(stratum).isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), named(stratum).cast("string")))
+
+
+def stratum_sizes(df: DataFrame, stratum: str | None) -> DataFrame:
+    return df.groupBy(_label(stratum).alias("stratum")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_CUTS else df
+
+
+def rank_cuts(df: DataFrame, key: str, seed: int, wanted: DataFrame, many: int, stratum: str | None = None) -> DataFrame:
+    """For each ``(stratum, cut, k)`` of ``wanted``, ``many`` rows, the row at place k in (hash, key) order.
+
+    Rows are counted by stratum and hash prefix; only rows of the prefixes that hold a wanted place are ordered. Returns
+    ``(stratum, cut, digest, id, ties)``: rows sorting before (digest, id) come first, and of those equal to it the first
+    ``ties`` still belong before the cut. A cut behind the last row is left out.
+    """
+    hashed = df.select(_label(stratum).alias("stratum"), named(key).alias("id"), row_hash(key, seed).alias("digest"))
+    hashed = hashed.withColumn("prefix", F.substring("digest", 1, PREFIX))
+    counts = hashed.groupBy("stratum", "prefix").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("stratum").orderBy("prefix"))
+    held = counts.withColumn("upto", upto).join(_small(wanted, many), "stratum").filter(
+        (F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("n")))
+    held = held.select("stratum", "prefix", "cut", (F.col("k") - F.col("upto") + F.col("n") + 1).alias("place"))
+    order = Window.partitionBy("stratum", "prefix").orderBy("digest", "id")
+    near = hashed.join(_small(held.select("stratum", "prefix").distinct(), many), ["stratum", "prefix"], "left_semi").select(
+        "*", F.row_number().over(order).alias("place"), F.rank().over(order).alias("rank"))
+    return near.join(held, ["stratum", "prefix", "place"]).select(
+        "stratum", "cut", "digest", "id", (F.col("place") - F.col("rank")).alias("ties"))
+
+
+def _assigned(df: DataFrame, key: str, seed: int, stratum: str | None, sizes: DataFrame, ranks: Sequence[Column],
+              names: Sequence, output: str) -> DataFrame:
+    """The first name whose cut a row sorts before; the last name takes the rest. ``ranks`` are expressions of ``n``."""
+    many = sizes.count()
+    if not many:
+        raise ValueError("cannot split an empty table")
+    wanted = sizes.select("stratum", F.posexplode(F.array(*[r.cast("long") for r in ranks])).alias("cut", "k"))
+    found = rank_cuts(df, key, seed, wanted, many * len(ranks), stratum)
+    every = wanted.join(found, ["stratum", "cut"], "left").groupBy("stratum").agg(
+        F.array_sort(F.collect_list(F.struct("cut", "digest", "id"))).alias("__cuts"))
+    joined = df.withColumn("stratum__", _label(stratum)).withColumn("__digest", row_hash(key, seed)).join(
+        _small(every.withColumnRenamed("stratum", "stratum__"), many), "stratum__", "left")
+    choice = F.lit(names[-1])
+    for i in reversed(range(len(ranks))):
+        digest, at = F.col("__cuts")[i]["digest"], F.col("__cuts")[i]["id"]
+        before = digest.isNull() | (F.col("__digest") < digest) | ((F.col("__digest") == digest) & F.coalesce(named(key) < at, F.lit(False)))
+        choice = F.when(before, F.lit(names[i])).otherwise(choice)
+    return joined.withColumn(output, choice).select(*[named(c) for c in df.columns if c != output], output)
 
 
 def split_exact(df: DataFrame, key: str, label: str | None, validation: float = 0.15, test: float = 0.15,
                 seed: int = 42, output: str = "split") -> DataFrame:
-    """Stratified split whose sizes per class are exact to rounding of the *original* counts."""
+    """Stratified split whose sizes per class are exact to rounding of the *original* counts.
+
+    Rows that share a key stay together, so with repeated keys a size may miss by the rows of one key."""
     _check_sizes(validation, test)
-    sizes = stratum_sizes(df, label)
-    if not sizes:
-        raise ValueError("cannot split an empty table")
-    ranks = {s: [rounded(n * test), rounded(n * test) + rounded(n * validation)] for s, n in sizes.items()}
-    cuts = rank_cuts(df, key, seed, ranks, label)
-    return df.withColumn(output, _rank_label(df, key, seed, label, cuts, ["test", "validation", "train"]))
+    sizes, n = stratum_sizes(df, label), F.col("n")
+    first, second = F.floor(n * F.lit(float(test)) + 0.5), F.floor(n * F.lit(float(validation)) + 0.5)
+    return _assigned(df, key, seed, label, sizes, [first, first + second], ["test", "validation", "train"], output)
 
 
 def stratified_folds(df: DataFrame, key: str, label: str | None, folds: int = 3, seed: int = 42,
                      output: str = "fold") -> DataFrame:
-    """Fold numbers 0..k-1; within each class fold sizes differ by at most one row."""
-    sizes = stratum_sizes(df, label)
-    ranks = {s: [int(v) for v in np.cumsum([n // folds + (j < n % folds) for j in range(folds - 1)])]
-             for s, n in sizes.items()}
-    cuts = rank_cuts(df, key, seed, ranks, label)
-    return df.withColumn(output, _rank_label(df, key, seed, label, cuts, list(range(folds))))
+    """Fold numbers 0..k-1; within each class fold sizes differ by at most one row (or the rows of one key)."""
+    n = F.col("n")
+    ranks = [F.floor(n / folds) * j + F.least(F.lit(j), n % folds) for j in range(1, folds)]
+    return _assigned(df, key, seed, label, stratum_sizes(df, label), ranks, list(range(folds)), output)
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows, the first in hash order. A filter, whatever ``n`` is."""
-    cut = rank_cuts(df, key, seed, {"all": [n]})["all"][0]
-    return df.filter(cut.admits(row_hash(key, seed), named(key)))
+    """Exactly ``min(n, rows)`` rows, the first in hash order; among rows of the last key, the first by all columns."""
+    wanted = local_rows(df.sparkSession, [("all", 0, n)], "stratum string, cut int, k long")
+    cut = rank_cuts(df, key, seed, wanted, 1).first()
+    if cut is None:
+        return df
+    digest = row_hash(key, seed)
+    same = named(key).eqNullSafe(F.lit(cut["id"]))
+    out = df.filter((digest < cut["digest"]) | ((digest == cut["digest"]) & F.coalesce(named(key) < F.lit(cut["id"]), F.lit(False))))
+    if not cut["ties"]:
+        return out
+    return out.unionByName(df.filter((digest == cut["digest"]) & same).orderBy(*[named(c) for c in df.columns]).limit(cut["ties"]))
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:

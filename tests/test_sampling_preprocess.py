@@ -66,13 +66,17 @@ def test_samples_have_the_size_asked_for(people):
     assert sampling.sample_rows(people, "id", 321, 6).join(one, "id").count() < 100
 
 
-def test_prefixes_shrink_with_the_number_of_strata():
-    assert sampling.prefix_length(2) == 4 and sampling.prefix_length(500) == 2
+def test_samples_of_repeated_keys_have_the_size_asked_for(spark):
+    df = spark.createDataFrame([(i % 2, i // 4) for i in range(10)], "k int, v int")
+    for n in range(12):
+        assert sampling.sample_rows(df, "k", n).count() == min(n, 10)
 
 
-def test_too_many_strata_are_refused(people):
-    with pytest.raises(ValueError, match="stratify"):
-        sampling.stratum_sizes(people, "id")
+def test_more_cuts_than_are_broadcast(spark, people, monkeypatch):
+    strata = people.withColumn("s", F.col("id") % 1500)
+    want = {r["id"]: r["fold"] for r in sampling.stratified_folds(strata, "id", "s", 3).select("id", "fold").collect()}
+    monkeypatch.setattr(sampling, "BROADCAST_CUTS", 10)
+    assert {r["id"]: r["fold"] for r in sampling.stratified_folds(strata, "id", "s", 3).select("id", "fold").collect()} == want
 
 
 def test_drift_injection(spark):
@@ -134,10 +138,16 @@ def test_saved_pipeline_transforms_alike(spark, train):
     assert again.transform(train).select("features").collect() == fitted.transform(train).select("features").collect()
 
 
-def test_too_many_levels_are_an_error(spark):
-    df = spark.range(50).select(F.col("id").cast("string").alias("c"))
-    with pytest.raises(ValueError, match="categories"):
-        TabularPreprocessor(inputCols=["c"], maxLevels=10).fit(df)
+def test_many_levels_make_a_sparse_vector(spark):
+    df = spark.range(12_000).select(F.col("id").cast("string").alias("c"), F.col("id").cast("double").alias("x"))
+    model = TabularPreprocessor(inputCols=["x", "c"]).fit(df)
+    assert len(model.output_names()) == 12_001
+    rows = model.transform(df.limit(50)).collect()
+    names = model.output_names()
+    for r in rows:
+        assert r["features"].size == 12_001 and names[int(r["features"].indices[-1])] == f"c_{r['c']}"
+    unseen = model.transform(spark.createDataFrame([("new", 5.0)], "c string, x double")).first()["features"]
+    assert set(unseen.toArray()[1:]) == {0.0}
 
 
 def test_quotes_in_categories_and_names(spark):
