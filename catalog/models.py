@@ -15,7 +15,7 @@ from riskloom.plans.train import train_job
 from riskloom.session import shared_folder
 
 
-_SUMMARY = f"""SELECT d.*, p.*, m.*, g.*, CASE WHEN 'critical' IN (data_drift_status, prediction_drift_status, performance_status) THEN 'critical'
+_SUMMARY = f"""SELECT d.*, p.*, m.*, g.*, 'lines' AS current_dataset, (SELECT count(*) FROM lineitem) AS current_rows, CASE WHEN 'critical' IN (data_drift_status, prediction_drift_status, performance_status) THEN 'critical'
 WHEN 'warning' IN (data_drift_status, prediction_drift_status, performance_status, fairness_status) THEN 'warning' ELSE 'stable' END AS overall_status
 FROM ({measures_sql()} SELECT CASE WHEN count(*) FILTER (drift_status = 'critical') > 0 OR count(*) FILTER (drift_status IN ('critical', 'warning'))
 / (count(*) + 1) > 0.2 THEN 'critical' WHEN count(*) FILTER (drift_status = 'warning') > 0 THEN 'warning' ELSE 'stable' END AS data_drift_status,
@@ -32,12 +32,13 @@ def _summary(spark, folder):
     df = scored(spark, folder)
     groups = fairness.fairness_report(df, "p", 0.2, _LIMITS, "y", ["l_linestatus", "l_returnflag"])[0]
     return status.monitoring_summary(drift.summarise(_report(spark, folder)), _prediction(spark, folder),
-                                     performance.performance_report(df, "y", "p", 0.2, baseline=BASELINE), groups)
+                                     performance.performance_report(df, "y", "p", 0.2, baseline=BASELINE), groups,
+                                     {"current_dataset": "lines", "current_rows": df.count()})
 
 
 @query("monitoring_summary", _SUMMARY)
 def monitoring_summary(spark, folder):
-    return rounded(_summary(spark, folder))
+    return rounded(_summary(spark, folder).drop("section_statuses"))
 
 
 @query("recommended_actions", f"""WITH z AS ({_SUMMARY}), u AS (
@@ -50,7 +51,7 @@ UNION ALL SELECT 4, 'performance', 'below a floor or the baseline: decide on ret
 UNION ALL SELECT 5, 'fairness', 'group differences exceed the limits: review' FROM z WHERE fairness_status IN ('warning', 'critical'))
 SELECT position::BIGINT AS position, area, action FROM u UNION ALL SELECT 6, 'none', 'no action indicated' WHERE NOT EXISTS (SELECT * FROM u)""")
 def recommended_actions(spark, folder):
-    return rounded(status.recommended_actions(rounded(_summary(spark, folder))))
+    return rounded(status.recommended_actions(rounded(_summary(spark, folder).drop("section_statuses"))))
 
 
 # --- learned models: orders described by their lines, label = a large order -----------------------

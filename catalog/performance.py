@@ -63,15 +63,21 @@ coalesce(string_agg(said, '; ' ORDER BY kind, place), 'all gates passed and no m
 
 
 @query("performance_report", f"""{_PERF} SELECT true AS labels_available, status, reasons, {r('ap', 'average_precision')},
-{r('auc', 'roc_auc')}, {r('tp / (tp + fn)', 'recall')}, {r('(tp + tn) / (tp + tn + fp + fn)', 'accuracy')}, 0.2::DOUBLE AS threshold
-FROM rk, cf, st UNION ALL SELECT false, 'not_available', 'the batch carries no observed outcomes', NULL, NULL, NULL, NULL, NULL""")
+{r('auc', 'roc_auc')}, {r('tp / (tp + fn)', 'recall')}, {r('(tp + tn) / (tp + tn + fp + fn)', 'accuracy')}, 0.2::DOUBLE AS threshold,
+(SELECT string_agg(metric, ',' ORDER BY gi) FROM m JOIN g USING (metric) WHERE value >= floor) AS gates_passed,
+(SELECT string_agg(metric, ',' ORDER BY gi) FROM m JOIN g USING (metric) WHERE value < floor) AS gates_failed,
+(SELECT string_agg(printf('%s %.6f', metric, value - base), ',' ORDER BY bi) FROM m JOIN b USING (metric)) AS compared
+FROM rk, cf, st UNION ALL SELECT false, 'not_available', 'the batch carries no observed outcomes', NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL""")
 def performance_report(spark, folder):
     df = scored(spark, folder)
     with_labels = performance.performance_report(df, "y", "p", 0.2, baseline=BASELINE)
     without = performance.performance_report(df.drop("y"), "y", "p", 0.2)
     both = with_labels.unionByName(without, allowMissingColumns=True)
+    listed = [F.when(F.size(c) > 0, F.array_join(c, ",")).alias(c) for c in ("gates_passed", "gates_failed")]
+    compared = F.transform("baseline_comparison", lambda x: F.format_string("%s %.6f", x["metric"], x["change"]))
     return rounded(performance.normalise_status(both).select(
-        "labels_available", "status", "reasons", "average_precision", "roc_auc", "recall", "accuracy", "threshold"))
+        "labels_available", "status", "reasons", "average_precision", "roc_auc", "recall", "accuracy", "threshold", *listed,
+        F.array_join(compared, ",").alias("compared")))
 
 
 @query("f1_threshold", f"""WITH {METRICS_SQL}, c AS (SELECT p, ctp / (ctp + cfp) AS pr, ctp / (SELECT sum(tp) FROM s) AS rc FROM w),

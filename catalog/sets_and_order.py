@@ -47,7 +47,19 @@ def duplicate_ids(spark, folder):
     return scoring.duplicate_ids(table(spark, folder, "orders"), "o_custkey")
 
 
-@query("batches_identical", "SELECT * FROM (VALUES ('same', true), ('reordered', true), ('shifted', false), ('shorter', false)) v(pair, identical)")
+def _equal(a: str, b: str) -> str:
+    return f"NOT EXISTS ({a} EXCEPT ALL {b}) AND NOT EXISTS ({b} EXCEPT ALL {a}) AS identical"
+
+
+_SHIFTED = "SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders"
+_TWICE = "SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 100 = 0"
+
+
+@query("batches_identical", f"""SELECT 'same' AS pair, {_equal('FROM orders', 'FROM orders')}
+UNION ALL SELECT 'reordered', {_equal('FROM orders', '(FROM orders ORDER BY o_totalprice)')}
+UNION ALL SELECT 'shifted', {_equal('FROM orders', _SHIFTED)}
+UNION ALL SELECT 'repeated', {_equal('FROM orders', '(' + _TWICE + ')')}
+UNION ALL SELECT 'shorter', count(*) = (SELECT count(*) FROM customer) FROM orders""")
 def batches_identical(spark, folder):
     from riskloom.functions.columns import local_rows
 
@@ -55,6 +67,7 @@ def batches_identical(spark, folder):
     rows = [("same", drift.batches_identical(orders, orders)),
             ("reordered", drift.batches_identical(orders, orders.select(*reversed(orders.columns)).repartition(4))),
             ("shifted", drift.batches_identical(orders, orders.withColumn("o_totalprice", F.col("o_totalprice") + 1))),
+            ("repeated", drift.batches_identical(orders, orders.unionByName(orders.filter("o_orderkey % 100 = 0")))),
             ("shorter", drift.batches_identical(orders, table(spark, folder, "customer")))]
     return local_rows(spark, rows, "pair string, identical boolean")
 

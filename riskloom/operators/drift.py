@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+from py4j.protocol import Py4JJavaError
 from pyspark import inheritable_thread_target
 from pyspark.errors import (
     AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, IllegalArgumentException,
@@ -264,6 +265,15 @@ DATA_ERRORS = (AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsExce
                IllegalArgumentException, NumberFormatException, SparkRuntimeException)
 
 
+def data_error(error: Exception) -> bool:
+    """Several stages that fail at once come as one error that carries theirs."""
+    if isinstance(error, DATA_ERRORS):
+        return True
+    inner = list(error.java_exception.getSuppressed()) if isinstance(error, Py4JJavaError) else []
+    names = {kind.__name__.removeprefix("Spark") for kind in DATA_ERRORS}
+    return bool(inner) and all(e.getClass().getSimpleName().removeprefix("Spark") in names for e in inner)
+
+
 def _isolated(measure, reference: DataFrame, current: DataFrame, columns: Sequence[str], kind: str,
               limits: Mapping[str, float]) -> list[DataFrame]:
     """Measure columns in chunks, to the end; a chunk whose data fail is retried in halves, other errors are raised."""
@@ -272,7 +282,9 @@ def _isolated(measure, reference: DataFrame, current: DataFrame, columns: Sequen
     try:
         made = classified(measure(reference, current, columns), limits)
         return [local_rows(reference.sparkSession, [tuple(r) for r in made.collect()], made.schema)]  # a row per feature
-    except DATA_ERRORS as error:
+    except Exception as error:
+        if not data_error(error):
+            raise
         if len(columns) > 1:
             half = len(columns) // 2
             return [r for part in (columns[:half], columns[half:])

@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskloom.functions.columns import count_if, finite, local_rows, named, share
 from riskloom.functions.ranges import running_totals
@@ -162,8 +163,17 @@ def performance_report(df: DataFrame, label: str | None, score: str, threshold:
     # a single row of metrics; the small tables below refer to it, not to the batch
     known = evaluated.first().asDict()
     metrics = metric_rows(local_rows(spark, [tuple(known.values())], evaluated.schema))
-    status = degradation_status(gate_check(metrics, gates), compare_to_baseline(metrics, baseline or {})).first()
-    return local_rows(spark, [tuple(known.values())], evaluated.schema).select(
+    checked, changes = gate_check(metrics, gates), compare_to_baseline(metrics, baseline or {})
+    status = degradation_status(checked, changes).first()
+    place = [F.when(F.col("metric") == m, i) for i, m in enumerate(METRICS)]
+    gate_names = checked.orderBy(F.coalesce(*place)).collect()
+    compared = [tuple(r) for r in changes.orderBy(F.coalesce(*place)).collect()]
+    record = (*known.values(), [r["metric"] for r in gate_names if r["passed"]], [r["metric"] for r in gate_names if not r["passed"]],
+              [dict(zip(("metric", "current", "baseline", "change"), c)) for c in compared])
+    detail = T.StructType.fromDDL("gates_passed array<string>, gates_failed array<string>, "
+                                  "baseline_comparison array<struct<metric: string, current: double, baseline: double, change: double>>")
+    made = local_rows(spark, [record], T.StructType([*evaluated.schema.fields, *detail.fields]))
+    return made.select(
         "*", F.lit(float(threshold)).alias("threshold"), F.lit(status["status"]).alias("status"),
         F.lit(status["reasons"]).alias("reasons"), F.lit(True).alias("labels_available"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -28,8 +29,12 @@ def overall_status(sections: DataFrame) -> DataFrame:
                         F.count(F.lit(1)).alias("sections"))
 
 
-def monitoring_summary(drift: DataFrame, prediction: DataFrame, performance: DataFrame, fairness: DataFrame) -> DataFrame:
-    """One row out of four one-row sections."""
+def monitoring_summary(drift: DataFrame, prediction: DataFrame, performance: DataFrame, fairness: DataFrame,
+                       described: Mapping[str, object] | None = None) -> DataFrame:
+    """One row out of four one-row sections, with a map from section to status.
+
+    ``described`` adds what the sections do not know: names and sizes of the batches, the time of the run.
+    """
     sections = [
         drift.select(F.col("status").alias("data_drift_status"), "monitored_features", "warning_features",
                      "critical_features", "drifted_feature_ratio"),
@@ -46,7 +51,9 @@ def monitoring_summary(drift: DataFrame, prediction: DataFrame, performance: Dat
     worst = F.array_max(F.array(*[
         F.struct(status_rank(F.col(c)).alias("rank"), F.lit(-i).alias("place"), F.col(c).alias("status"))
         for i, c in enumerate(names)]))
-    return joined.withColumn("overall_status", worst["status"])
+    statuses = F.create_map(*[x for c in names for x in (F.lit(c.removesuffix("_status")), F.col(c))])
+    return joined.withColumn("overall_status", worst["status"]).withColumn("section_statuses", statuses).withColumns(
+        {k: F.lit(v) for k, v in (described or {}).items()})
 
 
 def recommended_actions(summary: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from riskloom.functions.columns import named
 from riskloom.operators.attribution import (
     additivity, background_means, explain_rows, importance, linear_attribution, linear_base, local_examples)
 from riskloom.operators.sampling import sample_rows
+from riskloom.operators.scores import threshold_class
 from riskloom.operators.scoring import Scorer, UnusableModel
 from riskloom.operators.training import with_score
 from riskloom.operators.tree_attribution import tree_attribution
@@ -77,6 +78,9 @@ def explain_job(scorer: Scorer, df: DataFrame, label: str | None = None, sample:
     threshold = scorer.deployment.optimal_threshold
     picks = local_examples(made, key, "score", threshold, examples, label if len(keep) > 1 else None)
     local = explain_rows(made.join(F.broadcast(picks), key), "attribution", "values", names, top_n)  # at most `examples`
+    hit = threshold_class(F.col("score"), threshold)
+    local = local.withColumn("predicted_class", hit).withColumn("threshold", F.lit(float(threshold))).withColumn(
+        "actual_class", named(label) if len(keep) > 1 else F.lit(None).cast("int"))
     local = local.withColumn("base_value", F.lit(base)).withColumn("output_space", F.lit(space)).drop(
         "values", "attribution").orderBy("position")
     check = additivity(made, "attribution", F.lit(base), "margin")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 
@@ -35,7 +36,7 @@ def monitor_job(scorer: Scorer, reference: DataFrame, current: DataFrame, label:
                 group_columns: Sequence[str] = GROUP_COLUMNS, drift_limits: Mapping[str, float] = DRIFT_LIMITS,
                 max_drifted_ratio: float = MAX_DRIFTED_RATIO, prediction_limits: Mapping[str, float] = PREDICTION_LIMITS,
                 floors: Mapping[str, float] = MONITORING_FLOORS, fairness_limits: Mapping = FAIRNESS_LIMITS,
-                folder: str | None = None) -> MonitoringResult:
+                folder: str | None = None, names: tuple[str, str] = ("reference", "current")) -> MonitoringResult:
     """All sections over all rows; ``sample`` bounds each side on request only.
 
     Both scored batches are written once to the shared folder, because every section reads them and
@@ -67,7 +68,9 @@ def monitor_job(scorer: Scorer, reference: DataFrame, current: DataFrame, label:
                                      scorer.deployment.test_metrics)
     fairness, groups = fairness_report(after, "DEFAULT_PROBABILITY", threshold, fairness_limits,
                                        label if labelled else None, group_columns)
-    summary = monitoring_summary(drift, prediction, performance, fairness)
+    described = {"reference_dataset": names[0], "current_dataset": names[1], "reference_rows": before.count(),
+                 "current_rows": after.count(), "created_at": datetime.now(timezone.utc)}
+    summary = monitoring_summary(drift, prediction, performance, fairness, described)
     summary = spark.read.parquet(write_parquet(summary, f"{where}/summary"))
     if folder:
         write_csv(features, f"{folder}/feature_drift_csv")

@@ -179,6 +179,7 @@ def test_linear_explanations(spark, signal):
     assert made.importance.orderBy("rank").first()["feature"] == "num_a"
     local = made.examples.collect()
     assert len(local) == 4 and local[0]["reason"] == "highest_risk" and len(local[0]["top_positive"]) <= 2
+    assert local[0]["threshold"] == 0.5 and {r["predicted_class"] for r in local} <= {0, 1} and {r["actual_class"] for r in local} <= {0, 1}
     assert all(c["attribution"] > 0 for c in local[0]["top_positive"])
 
 
@@ -196,6 +197,8 @@ def test_monitoring_job(spark, signal, trained):
     row = result.summary.first()
     assert row["data_drift_status"] == "critical" and row["overall_status"] == "critical" and row["labels_available"]
     assert "data_drift" in [r["area"] for r in result.actions.collect()]
+    assert row["reference_rows"] == signal.count() and row["current_dataset"] == "current" and row["created_at"] is not None
+    assert row["section_statuses"]["data_drift"] == "critical"
     assert result.features.filter("feature = 'num_a'").first()["drift_status"] == "critical"
     quiet = monitor_job(scorer, signal, current.drop(LABEL), LABEL).summary.first()
     assert quiet["performance_status"] == "not_available"

@@ -66,6 +66,25 @@ def test_confusion_counts_refuse_a_missing_score(spark):
         performance.confusion_counts(df, "y", "p", 0.5).collect()
 
 
+def test_a_column_that_fails_at_run_time_loses_only_itself(spark):
+    ref = spark.range(200).select((F.col("id") % 7).cast("double").alias("x"), (F.col("id") % 3).cast("string").alias("c"))
+    cur = ref.withColumn("bad", F.expr("CASE WHEN x = 3 THEN raise_error('broken value') ELSE 'a' END")).withColumn(
+        "worse", F.expr("CASE WHEN x = 3 THEN CAST(raise_error('broken number') AS DOUBLE) ELSE x END"))
+    ref = ref.withColumn("bad", F.lit("a")).withColumn("worse", F.col("x"))
+    report = {r["feature"]: r["drift_status"] for r in drift.drift_report(ref, cur, ["x", "worse"], ["c", "bad"]).collect()}
+    assert report == {"x": "stable", "c": "stable", "bad": "error", "worse": "error"}
+
+
+def test_other_errors_are_raised(spark, monkeypatch):
+    def lost(*_):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(drift, "categorical_drift", lost)
+    df = spark.range(50).select(F.col("id").cast("string").alias("c"))
+    with pytest.raises(RuntimeError, match="executor lost"):
+        drift.drift_report(df, df, [], ["c"])
+
+
 def test_report_without_labels_holds_no_metric(separable):
     _, _, df = separable
     row = performance.performance_report(df.drop("y"), "y", "p", 0.5).first()

@@ -173,3 +173,10 @@ def test_alignment(spark):
         alignment.align_strict(df, [f"c{i}" for i in range(12)])
     with pytest.raises(alignment.SchemaMismatch, match="no rows"):
         alignment.align_strict(df.filter("false"), ["a"])
+
+
+def test_filters_on_doubles_reach_the_files(spark, tiny):
+    from riskloom.sources.tables import read_parquet
+
+    plan = read_parquet(spark, f"{tiny}/customer.parquet").filter("c_acctbal < 0")._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(c_acctbal,0.0)" in plan
