@@ -113,7 +113,21 @@ def warc(spark, folder):
     return found.select(F.col("row_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-@query("op6_embedding_dedup")
+_LINKS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT vec_id AS n, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.n),
+least AS (SELECT n AS vec_id, min(c) AS component_id FROM reach GROUP BY n),
+counts AS (SELECT a AS vec_id, count(*) AS k FROM links GROUP BY a)
+SELECT vec_id, coalesce(k, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN counts USING (vec_id)"""
+
+
+@query("op6_embedding_dedup", _LINKS)
 def embedding_dedup(spark, folder):
     return links(table(spark, folder, "embeddings"))
 
