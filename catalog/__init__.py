@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 MODULES = ("tables", "aggregates", "sets_and_order", "sampling", "contracts", "preprocessing", "drift", "performance",
-           "models", "explanations")
+           "models", "closed_form", "explanations")
 
 
 def everything():

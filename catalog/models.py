@@ -176,13 +176,3 @@ CASE WHEN {PROBABILITY_SQL} >= 0.45 THEN 1 ELSE 0 END::BIGINT AS cls FROM lineit
 def score_linear(spark, folder):
     return rounded(_linear(spark, folder).select("l_orderkey", "l_linenumber", "p",
                                                  scores.threshold_class(F.col("p"), 0.45).alias("cls")))
-
-
-@query("score_requests", """SELECT row_number() OVER (ORDER BY o_orderkey DESC) AS request_pos, o_orderkey AS SK_ID_CURR,
-true AS scored FROM orders""")
-def score_requests(spark, folder):
-    df, scorer = baseline_scorer(spark, folder)
-    top = df.agg(F.max(KEY)).first()[0]
-    asked = df.select(KEY, (F.lit(top) - F.col(KEY) + 1).alias("request_pos"))
-    made = scoring.score_requests(scorer, asked, df)
-    return made.select("request_pos", KEY, F.col("DEFAULT_PROBABILITY").between(0, 1).alias("scored"))

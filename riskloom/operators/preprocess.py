@@ -247,4 +247,5 @@ class TabularPreprocessorModel(Model, _Columns, DefaultParamsReadable, DefaultPa
         if numeric:
             encoded = VectorSizeHint(inputCol="__numbers", size=len(numeric), handleInvalid="optimistic").transform(encoded)
         whole = VectorAssembler(inputCols=["__numbers"] * bool(numeric) + flags, outputCol=self.getOutputCol(), handleInvalid="keep")
-        return whole.transform(encoded).drop(*made, *places, *flags)
+        # without the encoder's marks, which would make trees treat the flags as indexed categories
+        return whole.transform(encoded).drop(*made, *places, *flags).withMetadata(self.getOutputCol(), {})
