@@ -97,10 +97,16 @@ def balanced_cuts(df: DataFrame, ranges: Mapping[str, int]) -> dict[str, list[fl
     return {c: sorted(set(found.get(c, []))) for c in ranges}
 
 
-def range_count(df: DataFrame, rows: int) -> int:
-    """At least as many ranges as the session has shuffle partitions, more for more rows."""
-    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(ACCURACY // 2, max(least, math.ceil(rows / ROWS_PER_RANGE))))
+def sketched_cuts(df: DataFrame, value: str) -> list[float]:
+    """Cut points for ordering a column range by range: at least as many ranges as the session has shuffle partitions,
+    more for more rows. One aggregation counts the rows and proposes more points than are used."""
+    least = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    fine = min(ACCURACY // 2, 8 * least)
+    levels = ", ".join(sql_number(i / fine) for i in range(1, fine))
+    probe = df.selectExpr(f"{sql_finite(df, value)} AS x").selectExpr(
+        "count(x) AS n", f"percentile_approx(x, array({levels}), {ACCURACY}) AS q").first()
+    ranges = min(fine, max(least, math.ceil(probe["n"] / ROWS_PER_RANGE)))
+    return sorted({probe["q"][i * fine // ranges - 1] for i in range(1, ranges)}) if probe["n"] else []
 
 
 def _brackets(low: list[float], high: list[float]) -> list[tuple[float, float]]:
@@ -170,12 +176,12 @@ def running_totals(df: DataFrame, value: str, measures: Mapping[str, Column], ke
     Rows meet first by value, so ties and hot values collapse before anything is ordered. The
     ordering then runs inside balanced ranges whose starting totals come from the range sums.
     """
-    rows = column_profile(df, [value], moments=False)[value]["n"]
-    cuts = balanced_cuts(df, {value: range_count(df, rows)})[value]
+    cuts = sketched_cuts(df, value)
     cells = df.select(*[named(k) for k in keys], F.expr(sql_finite(df, value)).alias("value"),
                       *[expr.alias(m) for m, expr in measures.items()]).filter(F.col("value").isNotNull())
     group = [*keys, "value_at"]
-    counted = locate(cells, {"value": cuts}, "_at").groupBy(*group, "value").agg(*[F.sum(m).alias(m) for m in measures])
+    located = locate(cells, {"value": cuts}, "_at").withColumn("value_at", F.coalesce("value_at", F.lit(0)))  # never NULL: one scan serves both sides
+    counted = located.groupBy(*group, "value").agg(*[F.sum(m).alias(m) for m in measures])
     totals = counted.groupBy(*group).agg(*[F.sum(m).alias(m) for m in measures])
     order, place = (F.col(c).desc() if descending else F.col(c).asc() for c in ("value", "value_at"))
     through = Window.partitionBy(*group).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
