@@ -77,8 +77,7 @@ def connected_components(edges: DataFrame, purpose: str = "components") -> DataF
                  purpose)
     seen = None
     for _ in itertools.count():
-        mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"),
-                       F.count_if(F.col("b") > F.col("a")).alias("odd")).first()
+        mark = now.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if mark["n"] == 0 or (mark["n"], mark["h"]) == seen:
             break
         seen = mark["n"], mark["h"]
