@@ -19,10 +19,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import named
+from riskloom.functions.columns import chunked, named
 from riskloom.session import shared_folder
+from riskloom.sources.sinks import write_parquet
 
 
+#: Leaves that one broadcast holds; some hundred bytes each.
+LEAVES_PER_PASS = 200_000
+
 # One root-to-leaf path: (leaf value, distinct features, low, high, weight share), the last four
 # aligned arrays; the row follows the path at a feature when its value lies in (low, high].
 Leaf = tuple[float, np.ndarray, np.ndarray, np.ndarray, np.ndarray]
@@ -97,24 +101,33 @@ def shapley_values(x: np.ndarray, leaves: list[Leaf]) -> np.ndarray:
     return out
 
 
-def tree_attribution(df: DataFrame, model: Model, features: str = "features", output: str = "attribution"
-                     ) -> tuple[DataFrame, float]:
+def tree_attribution(df: DataFrame, model: Model, features: str = "features", output: str = "attribution",
+                     leaves_per_pass: int = LEAVES_PER_PASS) -> tuple[DataFrame, float]:
     """Add the attribution array to every row; returns the base value beside it.
 
-    Boosted trees are explained in raw-score space, forests in probability space. The node arrays
-    travel to the tasks with the function and are bounded by the model, not by the data.
+    Boosted trees are explained in raw-score space, forests in probability space. Attributions add up over leaves, so a
+    large ensemble is worked off in passes: each sends a bounded number of leaves to the tasks and adds to the sums,
+    which are written between passes.
     """
     spark = df.sparkSession
     leaves, base = ensemble_leaves(spark, model)
-    shipped = spark.sparkContext.broadcast(leaves)
     cloudpickle.register_pickle_by_value(sys.modules[__name__])  # workers need not have the package
+    out = df.withColumn(output, F.lit(None).cast("array<double>"))
+    passes = list(chunked(leaves, leaves_per_pass)) or [[]]
+    for n, own in enumerate(passes):
+        if n:
+            out = spark.read.parquet(write_parquet(out, shared_folder(spark, "attribution-pass")))
+        out = out.withColumn(output, _adding(spark.sparkContext.broadcast(own))(vector_to_array(named(features)), named(output)))
+    return out, base
+
 
+def _adding(shipped):
     @F.pandas_udf("array<double>")
-    def attribute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
+    def attribute(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for batch, so_far in batches:
             if len(batch) == 0:
                 yield pd.Series([], dtype=object)
                 continue
-            yield pd.Series(list(shapley_values(np.stack(batch.to_numpy()), shipped.value)))
-
-    return df.withColumn(output, attribute(vector_to_array(named(features)))), base
+            made = shapley_values(np.stack(batch.to_numpy()), shipped.value)
+            yield pd.Series(list(made if so_far.isna().all() else made + np.stack(so_far.to_numpy())))
+    return attribute

@@ -163,6 +163,9 @@ def test_tree_attribution_is_exact_and_additive(spark, signal, name):
     rows = made.select("features", "attribution", "probability", "rawPrediction").limit(40).toPandas()
     out = [r[1] for r in (rows["probability"] if name == "Random Forest" else rows["rawPrediction"])]
     np.testing.assert_allclose(base + np.stack(rows["attribution"]).sum(axis=1), out, atol=1e-9)
+    passes, _ = tree_attribution(model.transform(data), model, leaves_per_pass=7)
+    some = passes.join(made.select(KEY, F.col("attribution").alias("whole")), KEY).select("attribution", "whole").limit(40).toPandas()
+    np.testing.assert_allclose(np.stack(some["attribution"]), np.stack(some["whole"]), atol=1e-12)
     leaves, _ = ensemble_leaves(spark, model)
     for i in range(3):
         np.testing.assert_allclose(rows["attribution"][i], brute_shapley(rows["features"][i].toArray(), leaves, 3), atol=1e-9)
