@@ -2,9 +2,14 @@
 
 Pass one reads blocks of text between block-level tags and decides each by its link density, length and stop-word
 density. Blocks inside menus, page headers and footers, sidebars, notices, adverts, forms and comment sections are
-decided by where they stand; so are blocks of a page that marks its article, where only link density counts, as an
-article may be written in any style. Pass two gives ambiguous blocks, short ones or those of middling density, the
-label of the nearest decided neighbour; a heading looks at what follows it.
+decided by where they stand. Pass two gives ambiguous blocks, short ones or those of middling density, the label of
+the nearest decided neighbour; a heading looks at what follows it.
+
+An <article> or <main> is evidence that both passes weigh. It is believed if its text is at least as long as the good
+text outside it; the page's only <h1> counts for TITLE characters. In a believed element an article may be written in
+any style: only many links make a block bad, others are good or ambiguous, and pass two drops ambiguous ones that stand
+between bad neighbours. Outside a believed element only blocks of a <main> around or beside the article can be good. An
+element that is not believed, as it is a teaser or a card, changes nothing.
 
 Defined results: null, empty and unparsable pages give the empty string; null ids and urls stay null; repeated rows are
 answered each; unclosed tags, comments, scripts and quotes end where a browser would end them or with the page.
@@ -30,6 +35,7 @@ _STOP = frozenset(w for words in STOP_WORDS.values() for w in words.split())
 MOST_LINKS, ARTICLE_LINKS = 0.2, 0.5
 SHORT, LONG = 70, 200
 FEW_STOPS, MANY_STOPS = 0.20, 0.30
+TITLE = 400
 
 _BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure
     footer form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section
@@ -71,10 +77,10 @@ def _apart(name: str, given: str, inside: bool) -> bool:
 
 
 class Block:
-    __slots__ = ("text", "link", "heading", "apart", "inside")
+    __slots__ = ("text", "link", "heading", "apart", "inside", "title")
 
-    def __init__(self, text: str, link: int, heading: bool, apart: bool, inside: int):
-        self.text, self.link, self.heading, self.apart, self.inside = text, link, heading, apart, inside
+    def __init__(self, text: str, link: int, heading: bool, apart: bool, inside: int, title: bool):
+        self.text, self.link, self.heading, self.apart, self.inside, self.title = text, link, heading, apart, inside, title
 
 
 def blocks(page: str) -> list[Block]:
@@ -95,7 +101,8 @@ def blocks(page: str) -> list[Block]:
             if text:
                 link = sum(len("".join(references.unescape(t).split())) for t, linked in parts if linked)
                 apart, inside = state()
-                found.append(Block(text, link, any(n in _HEADING for n, _, _ in stack[-4:]), apart, inside))
+                found.append(Block(text, link, any(n in _HEADING for n, _, _ in stack[-4:]), apart, inside,
+                                   any(n == "h1" for n, _, _ in stack[-4:])))
             parts.clear()
 
     while True:
@@ -174,15 +181,16 @@ def blocks(page: str) -> list[Block]:
     return found
 
 
-def _decide(block: Block, marked: int) -> str:
+def _links(block: Block) -> float:
+    return block.link / max(1, len(block.text) - block.text.count(" "))
+
+
+def _decide(block: Block) -> str:
     """good, bad, or what pass two settles: short, near."""
     if block.apart:
         return "bad"
     size = len(block.text)
-    links = block.link / max(1, size - block.text.count(" "))
-    if marked:
-        return "good" if block.inside >= marked and links <= ARTICLE_LINKS else "bad"
-    if links > MOST_LINKS:
+    if _links(block) > MOST_LINKS:
         return "bad"
     if size < SHORT:
         return "bad" if block.link else "short"
@@ -193,22 +201,57 @@ def _decide(block: Block, marked: int) -> str:
     return "near" if stops >= FEW_STOPS else "bad"
 
 
+def _believed(own: list[Block], first: list[str]) -> int:
+    """2 if the page's articles hold its main text, 1 if its main element does, 0 if neither or there is none."""
+    titles = [b for b in own if b.title and not b.apart]
+    for level in (2, 1):
+        within = sum(len(b.text) for b in own if b.inside >= level and not b.apart and _links(b) <= ARTICLE_LINKS)
+        outside = sum(len(b.text) for b, label in zip(own, first) if b.inside < level and label == "good")
+        titled = len(titles) == 1 and titles[0].inside >= level
+        if within and within + TITLE * titled >= outside:
+            return level
+    return 0
+
+
+def _prior(block: Block, label: str, believed: int) -> str:
+    """The label of pass one with what the markers tell; ``held`` is ambiguous and good unless its neighbours are bad."""
+    if block.apart or not believed:
+        return label
+    if block.inside >= believed:
+        return label if label == "good" else "bad" if _links(block) > ARTICLE_LINKS else "held"
+    return label if block.inside else "bad"
+
+
 def main_text(page: str | None) -> str:
     if not page:
         return ""
     own = blocks(page)
-    marked = max((b.inside for b in own if not b.apart), default=0)
-    first = [_decide(b, marked) for b in own]
+    first = [_decide(b) for b in own]
+    believed = _believed(own, first)
+    first = [_prior(b, label, believed) for b, label in zip(own, first)]
     decided = [k for k, label in enumerate(first) if label in ("good", "bad")]
-    last, before = None, []
+    # neighbours of a held block are those of its own element; what stands apart in it tells nothing
+    telling = [believed > 0 and b.inside >= believed and not b.apart for b in own]
+    last, before, held_last, held_before = None, [], None, []
     for k, label in enumerate(first):
         before.append(last)
+        held_before.append(held_last)
         last = k if label in ("good", "bad") else last
-    kept, after = [], None
+        if not telling[k] and not own[k].apart:
+            held_last = None
+        elif telling[k] and label != "held":
+            held_last = k
+    kept, after, held_after = [], None, None
     for k in range(len(own) - 1, -1, -1):
         label = first[k]
-        if label in ("good", "bad"):
+        if not telling[k] and not own[k].apart:
+            held_after = None
+        if label == "held":
+            a, b = held_before[k], held_after
+            label = "bad" if a is not None and b is not None and first[a] == first[b] == "bad" else "good"
+        elif label in ("good", "bad"):
             after = k
+            held_after = k if telling[k] else held_after
         else:
             a, b = before[k], after
             if not decided:

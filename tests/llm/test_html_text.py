@@ -56,3 +56,18 @@ def test_edges(spark):
     assert got.columns == ["page_id", "url", "text", "n_chars"]
     assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted([(None, None, "", 0), (1, "u", "", 0), (1, "u", "🎉", 1), (1, "u", "🎉", 1)], key=repr)
     assert extract(pages.limit(0)).count() == 0
+
+
+MARKED = [
+    (f"<article><a href=1>Card</a><p>Tease</p></article><div>{GOOD}</div><div>{GOOD}</div>", f"{GOOD}\n{GOOD}"),  # only on a teaser
+    (f"<div><p>{GOOD}</p><p>{GOOD}</p></div><article><p><a href=1>Read this other one</a></p></article>", f"{GOOD}\n{GOOD}"),  # misleading
+    (f"<main><article><p>Card text</p></article><p>{GOOD}</p><p>{GOOD}</p></main><div>{GOOD}</div>", f"Card text\n{GOOD}\n{GOOD}"),
+    (f"<main><p>{GOOD}</p><article><h1>Title</h1><p>{GOOD}</p><p>{GOOD}</p></article></main><div>{GOOD}</div>", f"{GOOD}\nTitle\n{GOOD}\n{GOOD}"),  # main beside an article
+    (f"<article><p>{GOOD}</p><p><a href=1>One link of a list</a></p><p>Related</p><p><a href=2>Two links of a list</a></p><p>{GOOD}</p></article>", f"{GOOD}\n{GOOD}"),
+    (f"<div><p>{GOOD}</p><p>Short one.</p><p>{GOOD}</p></div><div><a href=1>Home and away</a></div>", f"{GOOD}\nShort one.\n{GOOD}"),  # no markers
+]
+
+
+@pytest.mark.parametrize("page, text", MARKED)
+def test_markers_are_evidence(page, text):
+    assert main_text(page) == text
