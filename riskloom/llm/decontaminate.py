@@ -27,7 +27,6 @@ from riskloom.llm.common import id_and_text, map_arrow, original_id, stored
 WINDOW = 10
 SHARD_WORDS = 2_000_000
 PAD = 64  # free positions between documents; also the largest proximity
-ROW_BITS = 16  # a shard has fewer than SHARD_WORDS / PAD + 1 documents
 #: Words of the test items that one broadcast holds.
 SLICE_WORDS = 2_000_000
 
@@ -55,7 +54,7 @@ def _postings(vocabulary):
     def over(batches):
         context = TaskContext.get()
         shard, terms = context.partitionId() << 24, vocabulary.value
-        ids, lengths, found = [], [], []
+        rows, ids, lengths, found = [], [], [], []
 
         def whole():
             nonlocal shard
@@ -72,16 +71,16 @@ def _postings(vocabulary):
             packed = [pack(x) for x in lists]
             n = len(packed)
             yield {"shard": [shard] * (n + 1), "term": [-1, *(every[np.r_[0, cuts]].tolist() if n else [])],
-                   "positions": [np.array([ids, lengths], "<i8").tobytes(), *packed]}
+                   "positions": [np.array([rows, ids, lengths], "<i8").tobytes(), *packed]}
             shard += 1
-            ids.clear(), lengths.clear(), found.clear()
+            rows.clear(), ids.clear(), lengths.clear(), found.clear()
 
         total = 0
         for batch in batches:
-            for i, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for row, i, body in zip(*(batch.column(c).to_pylist() for c in ("row", "id", "body"))):
                 get = terms.get
                 own = np.array([get(w, -1) for w in words(body)], np.int32)
-                ids.append(i), lengths.append(len(own)), found.append(own)
+                rows.append(row), ids.append(i), lengths.append(len(own)), found.append(own)
                 total += len(own) + PAD
                 if total >= SHARD_WORDS:
                     yield from whole()
@@ -90,10 +89,10 @@ def _postings(vocabulary):
 
     schema = pa.schema([("shard", pa.int64()), ("term", pa.int32()), ("positions", pa.binary())])
 
-    def rows(batches):
+    def made(batches):
         for columns in over(batches):
             yield pa.RecordBatch.from_pydict({f.name: pa.array(columns[f.name], f.type) for f in schema}, schema=schema)
-    return rows
+    return made
 
 
 def pack(positions: np.ndarray) -> bytes:
@@ -108,7 +107,7 @@ def unpack(held: bytes) -> np.ndarray:
 
 
 def build_index(docs: DataFrame, vocabulary: dict[bytes, int]) -> DataFrame:
-    """Store (shard, term, positions); term -1 has the ids and lengths of the shard's documents."""
+    """Store (shard, term, positions) of (row, id, body); term -1 has the rows, ids and lengths of the shard's documents."""
     terms = docs.sparkSession.sparkContext.broadcast(vocabulary)
     return stored(docs.mapInArrow(_postings(terms), "shard long, term int, positions binary"), "postings")
 
@@ -147,10 +146,9 @@ def _search(queries, within: int | None):
     def search(group):
         terms, held = group.column("term").to_pylist(), group.column("positions").to_pylist()
         lists = dict(zip(terms, held))
-        ids, lengths = np.frombuffer(lists.pop(-1), "<i8").reshape(2, -1)
+        rows, _, lengths = np.frombuffer(lists.pop(-1), "<i8").reshape(3, -1)
         size = {t: (len(b) - 1) // b[0] for t, b in lists.items()}
         starts = np.cumsum(np.r_[0, lengths[:-1] + PAD]) if len(lengths) else np.zeros(0, int)
-        shard = group.column("shard")[0].as_py()
         out = [], [], [], []
         for item, text in queries.value:
             width = min(WINDOW, len(text))
@@ -167,7 +165,7 @@ def _search(queries, within: int | None):
             fresh = np.r_[True, (np.diff(at) > width) | (np.diff(doc) > 0)]  # overlapping occurrences become one stretch
             first = np.flatnonzero(fresh)
             last = np.r_[first[1:] - 1, len(at) - 1]
-            out[0].extend(((shard << ROW_BITS) + doc[first]).tolist())
+            out[0].extend(rows[doc[first]].tolist())
             out[1].extend([item] * len(first))
             out[2].extend((at[first] - starts[doc[first]]).tolist())
             out[3].extend((at[last] - starts[doc[first]] + width).tolist())
@@ -177,9 +175,9 @@ def _search(queries, within: int | None):
 
 
 def _documents(batch: pa.RecordBatch):
-    for shard, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        ids, lengths = np.frombuffer(held, "<i8").reshape(2, -1)
-        yield {"row": (shard << ROW_BITS) + np.arange(len(ids)), "id": ids, "n_words": lengths}
+    for held in batch.column(0).to_pylist():
+        rows, ids, lengths = np.frombuffer(held, "<i8").reshape(3, -1)
+        yield {"row": rows, "id": ids, "n_words": lengths}
 
 
 def matches(docs: DataFrame, items: DataFrame, item_key: str = "item_id", item_text: str = "text",
@@ -190,15 +188,16 @@ def matches(docs: DataFrame, items: DataFrame, item_key: str = "item_id", item_t
         raise ValueError(f"terms can be found near each other up to {PAD} words")
     spark, everything, rows = docs.sparkSession, None, None
     slices = item_slices(items, item_key, item_text)
+    docs = docs.withColumn("row", F.monotonically_increasing_id())
     if next(slices) > 1:
-        docs = stored(docs, "documents")  # so that each slice sees the same rows in the same order
+        docs = stored(docs, "documents")  # with their rows, as each slice may find them dealt to other tasks
     for own in slices:
         vocabulary = {w: n for n, w in enumerate(sorted({w for _, text in own for w in text}))}
         queries = spark.sparkContext.broadcast([(item, [vocabulary[w] for w in text]) for item, text in own])
         index = build_index(docs, vocabulary)
         found = index.groupBy("shard").applyInArrow(_search(queries, within), "row long, item string, start long, stop long")
         if rows is None:
-            rows = map_arrow(index.filter("term = -1").select("shard", "positions"), _documents, "row long, id long, n_words long")
+            rows = map_arrow(index.filter("term = -1").select("positions"), _documents, "row long, id long, n_words long")
         everything = found if everything is None else everything.unionByName(found)
     return rows, everything
 

@@ -72,3 +72,23 @@ def test_packing_lists():
     for gaps in ([0], [0, 1, 255, 256], [5, 70_000, 1], [2**33]):
         at = np.cumsum(np.array(gaps))
         assert (unpack(pack(at)) == at).all()
+
+
+def test_rows_keep_their_number_between_slices(spark, monkeypatch):
+    """The stored documents are read in other splits for each slice, as after a change of the session's cores."""
+    monkeypatch.setattr(decontaminate.item_slices, "__defaults__", (3,))
+    build, sizes = decontaminate.build_index, iter(["128m", "1k", "64m", "2k"] * 50)
+    was = spark.conf.get("spark.sql.files.maxPartitionBytes")
+
+    def built(docs, vocabulary):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", next(sizes))
+        return build(docs, vocabulary)
+
+    monkeypatch.setattr(decontaminate, "build_index", built)
+    rows = DOCS + [(i, f"filler {i} " * 400) for i in range(100, 140)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    try:
+        found = contamination(docs, spark.createDataFrame(ITEMS, "item_id long, text string")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", was)
+    assert sorted(((r.doc_id, r.n_words, r.n_hit, r["items"]) for r in found), key=repr) == brute(rows, ITEMS)
