@@ -17,6 +17,7 @@ from riskloom.llm.packing import pack_documents
 from riskloom.llm.pii import personal_data
 from riskloom.llm.quality import classify
 from riskloom.llm.simhash import near_duplicates
+from riskloom.llm.substring_dedup import dedup_substrings
 from riskloom.llm.warc import archive
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +141,21 @@ def language_model(spark, folder):
 @query("op10_quality")
 def quality(spark, folder):
     return classify(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+_PASSAGES = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+spots AS (SELECT doc_id, s, array_to_string(w[s:s + 12], ' ') AS k
+          FROM (SELECT doc_id, w, unnest(range(1, greatest(0, len(w) - 12) + 1)) AS s FROM d)),
+least AS (SELECT k, min(doc_id) AS first FROM spots GROUP BY k HAVING count(DISTINCT doc_id) > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 13)) AS p FROM spots JOIN least USING (k) WHERE doc_id > first),
+kept AS (SELECT doc_id, count(*)::BIGINT AS n, string_agg(word, ' ' ORDER BY p) AS t
+         FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d) ANTI JOIN gone USING (doc_id, p)
+         GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op12_substring_dedup", _PASSAGES)
+def substring_dedup(spark, folder):
+    return dedup_substrings(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
