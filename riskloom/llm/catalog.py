@@ -16,6 +16,7 @@ from riskloom.llm.line_dedup import kept_lines
 from riskloom.llm.packing import pack_documents
 from riskloom.llm.pii import personal_data
 from riskloom.llm.quality import classify
+from riskloom.llm.ranked_search import search
 from riskloom.llm.simhash import near_duplicates
 from riskloom.llm.substring_dedup import dedup_substrings
 from riskloom.llm.warc import archive
@@ -159,3 +160,25 @@ FROM d LEFT JOIN kept USING (doc_id)"""
 @query("op12_substring_dedup", _PASSAGES)
 def substring_dedup(spark, folder):
     return dedup_substrings(table(spark, folder, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+_RANKED = f"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_WORDS} AS w FROM documents),
+every AS (SELECT count(*)::BIGINT AS docs, sum(len(w))::BIGINT AS words FROM d WHERE len(w) > 0),
+asked AS (SELECT item_id, text, term, count(*)::BIGINT AS q
+          FROM (SELECT item_id, text, unnest({_WORDS}) AS term FROM (SELECT DISTINCT item_id, text FROM benchmark)) GROUP BY ALL),
+tf AS (SELECT row, doc_id, n, term, count(*)::BIGINT AS tf
+       FROM (SELECT row, doc_id, len(w)::BIGINT AS n, unnest(w) AS term FROM d) SEMI JOIN asked USING (term) GROUP BY ALL),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS weight
+            FROM tf, every GROUP BY term, docs),
+scores AS (SELECT item_id, text, row, doc_id,
+                  sum(q * weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // words)))))::BIGINT AS score
+           FROM asked JOIN tf USING (term) JOIN weights USING (term), every GROUP BY item_id, text, row, doc_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id, text ORDER BY score DESC, doc_id)::INTEGER AS rank
+           FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20"""
+
+
+@query("op13_ranked_search", _RANKED)
+def ranked_search(spark, folder):
+    return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
