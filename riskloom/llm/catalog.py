@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskloom.llm.collocations import collocations
 from riskloom.llm.common import table
 from riskloom.llm.decontaminate import contamination
 from riskloom.llm.embedding_dedup import links
@@ -182,3 +183,33 @@ SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20"""
 @query("op13_ranked_search", _RANKED)
 def ranked_search(spark, folder):
     return search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+_COLLOCATIONS = f"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS p
+                FROM documents),
+spoken AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (SELECT lang, n, array_to_string(w[s:s + n - 1], ' ') AS phrase
+          FROM (SELECT lang, w, n, unnest(range(1, greatest(0, len(w) - n + 1) + 1)) AS s FROM spoken, (VALUES (1), (2), (3)) v(n))),
+f AS (SELECT lang, n, phrase, count(*)::BIGINT AS a FROM grams GROUP BY ALL),
+total AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE n = 1 GROUP BY lang),
+whole AS (SELECT * FROM f WHERE n > 1 AND a >= 10),
+cuts AS (SELECT lang, phrase, n, a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS first,
+                array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS rest
+         FROM (SELECT *, unnest(range(1, n)) AS k FROM whole)),
+scored AS (SELECT c.lang, c.phrase, c.n, c.a, c.k, x.a AS l, y.a AS r,
+                  ((1000000::HUGEINT * c.a * c.a) // (x.a::HUGEINT * y.a))::BIGINT AS score
+           FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = c.first JOIN f y ON y.lang = c.lang AND y.phrase = c.rest),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT lang, phrase, max(longer) AS longer
+           FROM (SELECT lang, unnest([array_to_string(string_split(phrase, ' ')[1:2], ' '), array_to_string(string_split(phrase, ' ')[2:3], ' ')]) AS phrase,
+                        a AS longer FROM whole WHERE n = 3) GROUP BY ALL),
+kept AS (SELECT w.* FROM weakest w LEFT JOIN inside i ON w.n = 2 AND w.lang = i.lang AND w.phrase = i.phrase
+         WHERE longer IS NULL OR 100 * longer < 50 * a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, t.n, score FROM ranked JOIN total t USING (lang) WHERE rank <= 2000"""
+
+
+@query("op11_collocations", _COLLOCATIONS)
+def phrase_collocations(spark, folder):
+    return collocations(table(spark, folder, "documents"))
