@@ -262,10 +262,10 @@ def collocations(df: DataFrame, text: str = "text", lang: str = "lang", longest:
     measured = cuts.join(left, ["lang", "first"]).join(right, ["lang", "rest"]).withColumn("top", exact("a") * exact("a")).withColumn(
         "below", exact("l") * exact("r")).withColumn("score", F.expr("(CAST(1000000 AS DECIMAL(7,0)) * CAST(top AS DECIMAL(31,0))) div below"))
     weakest = measured.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "a", "l", "r")).alias("c")).select("lang", "phrase", "c.*")
-    spans = [F.struct(F.array_join(F.slice(parts, i, n), " ").alias("inner"), F.lit(i + n - 1).alias("last"))
+    spans = [F.struct(F.array_join(F.slice(parts, i, n), " ").alias("inner"), F.lit(i + n - 1).alias("last"), F.lit(n).alias("words"))
              for n in range(2, longest) for i in range(1, longest - n + 2)]
     if spans:
-        inside = whole.filter("size > 2").withColumn("s", F.explode(F.filter(F.array(*spans), lambda s: s["last"] <= F.col("size"))))
+        inside = whole.filter("size > 2").withColumn("s", F.explode(F.filter(F.array(*spans), lambda s: (s["last"] <= F.col("size")) & (s["words"] < F.col("size")))))
         inside = inside.groupBy("lang", F.col("s.inner").alias("phrase")).agg(F.max("a").alias("longer"))
         weakest = weakest.join(inside, ["lang", "phrase"], "left").filter(
             F.col("longer").isNull() | (100 * F.col("longer") < covered_percent * F.col("a")))
