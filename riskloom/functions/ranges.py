@@ -8,6 +8,7 @@ from those counts. Counting combines on the map side, so a value held by a third
 
 from __future__ import annotations
 
+import dataclasses
 import math
 from collections.abc import Mapping, Sequence
 
@@ -19,7 +20,12 @@ from pyspark.sql import functions as F
 from riskloom.functions.columns import chunked, flat_map, local_rows, named, sql_finite, sql_missing, sql_number
 
 ACCURACY = 10_000  # a sketched rank is off by about rows / ACCURACY
-ROWS_PER_RANGE = 500_000  # what a task orders at a time, as far as ACCURACY can tell ranges apart
+ROWS_PER_RANGE = 500_000  # what a task orders at a time
+ORDERED_ROWS = 500_000  # of a bracket or an open range, what a task orders at a time
+SKETCHED_ROWS = 20_000  # up to so many rows are ordered without a sketch
+SPREAD = 4 / ACCURACY  # to both sides of a wanted fraction
+CHILDREN = 32  # a range that is too large is cut into so many
+SPAN = 4 * CHILDREN  # a range's number is its parent's times SPAN and its place there
 COLUMNS_PER_SCAN = 50
 
 
@@ -97,21 +103,44 @@ def balanced_cuts(df: DataFrame, ranges: Mapping[str, int]) -> dict[str, list[fl
     return {c: sorted(set(found.get(c, []))) for c in ranges}
 
 
-def sketched_cuts(df: DataFrame, value: str) -> list[float]:
-    """Cut points for ordering a column range by range: at least as many ranges as the session has shuffle partitions,
-    more for more rows. One aggregation counts the rows and proposes more points than are used."""
+def range_cuts(df: DataFrame, value: str, keys: Sequence[str] = (), rows_per_range: int | None = None) -> list[float]:
+    """Cut points for ordering a column range by range, for each key apart: no key has more than about
+    ``rows_per_range`` rows with different values between two of them.
+
+    One aggregation counts the rows of every key and proposes its cuts; the cut points of all keys together cut each
+    key at least as finely as its own. At least as many ranges as the session has shuffle partitions, more for more
+    rows. Where a sketch cannot tell ranges of that size apart, the ranges that are too large propose cuts of their
+    own, and so on.
+    """
+    rows_per_range = rows_per_range or ROWS_PER_RANGE
     least = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     fine = min(ACCURACY // 2, 8 * least)
     levels = ", ".join(sql_number(i / fine) for i in range(1, fine))
-    probe = df.selectExpr(f"{sql_finite(df, value)} AS x").selectExpr(
-        "count(x) AS n", f"percentile_approx(x, array({levels}), {ACCURACY}) AS q").first()
-    ranges = min(fine, max(least, math.ceil(probe["n"] / ROWS_PER_RANGE)))
-    return sorted({probe["q"][i * fine // ranges - 1] for i in range(1, ranges)}) if probe["n"] else []
-
-
-def _brackets(low: list[float], high: list[float]) -> list[tuple[float, float]]:
+    cells = df.select(*[named(k) for k in keys], F.expr(sql_finite(df, value)).alias("x")).filter("x IS NOT NULL")
+    probes = cells.groupBy(*[named(k) for k in keys]).agg(
+        F.count("x").alias("n"), F.expr(f"percentile_approx(x, array({levels}), {ACCURACY})").alias("q")).collect()
+    points: set[float] = set()
+    widest = 0.0
+    for probe in (r for r in probes if r["n"]):
+        ranges = min(fine, max(2, math.ceil(least / len(probes)), math.ceil(probe["n"] / rows_per_range)))
+        points.update(probe["q"][i * fine // ranges - 1] for i in range(1, ranges))
+        widest = max(widest, probe["n"] / ranges + 2 * probe["n"] / ACCURACY)
+    while widest > 1.5 * rows_per_range:
+        inner = ", ".join(sql_number(i / CHILDREN) for i in range(1, CHILDREN))
+        large = locate(cells, {"x": sorted(points)}, "_at").groupBy(*[named(k) for k in keys], "x_at").agg(
+            F.count("x").alias("n"), F.min("x").alias("low"), F.max("x").alias("high"),
+            F.expr(f"percentile_approx(x, array({inner}), {ACCURACY})").alias("q")
+        ).filter((F.col("n") > rows_per_range) & (F.col("low") < F.col("high"))).select("low", "q").collect()
+        for r in large:  # at most rows / rows_per_range of them; a value that fills a range gets one of its own
+            points.update({v for v in r["q"] if v > r["low"]} or {math.nextafter(r["low"], math.inf)})
+        if not large:
+            break
+    return sorted(points)
+
+
+def _merged(intervals: list[tuple[float, float]]) -> list[tuple[float, float]]:
     out: list[tuple[float, float]] = []
-    for a, b in sorted(zip(low, high)):
+    for a, b in sorted(intervals):
         if out and a <= out[-1][1]:
             out[-1] = (out[-1][0], max(out[-1][1], b))
         else:
@@ -119,39 +148,141 @@ def _brackets(low: list[float], high: list[float]) -> list[tuple[float, float]]:
     return out
 
 
-def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]], profile: Mapping[str, dict]
-                     ) -> dict[str, dict[int, float]]:
-    """The values at the given 0-based ranks of the non-null values of each column.
+@dataclasses.dataclass(frozen=True)
+class Bracket:
+    """Between two values, both outside, lie ``rows`` rows; ``ranks`` are sought there."""
+
+    low: float
+    high: float
+    rows: int
+    ranks: tuple[int, ...]
+    below: int = 0  # rows up to and with ``low``
+    missed: bool = False  # an earlier attempt did not hold all ranks
+
+
+def _propose(df: DataFrame, brackets: Sequence[tuple[str, Bracket]]) -> list[list[tuple[float, float]]]:
+    """Per bracket, values around each of its ranks: two fractions of the sketch of the bracket's own rows."""
+    if not brackets:
+        return []
+    inside, wanted = [], {}
+    for i, (c, b) in enumerate(brackets):
+        x = sql_finite(df, c)
+        open_ = b.low == -math.inf and b.high == math.inf
+        inside.append(f"{x} AS b{i}" if open_ else f"CASE WHEN {x} > {sql_number(b.low)} AND {x} < {sql_number(b.high)} THEN {x} END AS b{i}")
+        near = [(k - b.below + 0.5) / b.rows for k in b.ranks]
+        wanted[f"b{i}"] = [min(max(p + d, 0.0), 1.0) for p in near for d in (-SPREAD, SPREAD)]
+    values = sketched(df.selectExpr(*inside), wanted)
+    out = []
+    for i, (_, b) in enumerate(brackets):
+        pairs = list(zip(values[f"b{i}"][0::2], values[f"b{i}"][1::2]))
+        near = zip(wanted[f"b{i}"][0::2], wanted[f"b{i}"][1::2])
+        out.append([(b.low if p <= 0 else float(v), b.high if q >= 1 else float(w)) for (v, w), (p, q) in zip(pairs, near)])
+    return out
+
+
+def values_inside(df: DataFrame, intervals: Mapping[str, Sequence[tuple[float, float]]]) -> DataFrame:
+    """``(c, j, x, rows)`` for the columns in their order: the rows of each value in the closed interval 2j+1, and those
+    between two intervals together (``x`` NULL). What is grouped and ordered is one entry a value."""
+    structs = []
+    for i, own in enumerate(intervals.values()):
+        cases = []
+        for j, (a, b) in enumerate(own):
+            cases.append(f"WHEN x{i} < {sql_number(a)} THEN named_struct('c', {i}, 'j', {2 * j}, 'x', CAST(NULL AS DOUBLE))")
+            cases.append(f"WHEN x{i} <= {sql_number(b)} THEN named_struct('c', {i}, 'j', {2 * j + 1}, 'x', x{i})")
+        structs.append(F.expr(f"CASE {' '.join(cases)} END"))
+    base = df.selectExpr(*[f"{sql_finite(df, c)} AS x{i}" for i, c in enumerate(intervals)])
+    return flat_map(base, structs).groupBy("c", "j", "x").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def _read(df: DataFrame, intervals: Mapping[str, Sequence[tuple[float, float]]], ranks: Mapping[str, Sequence[int]]
+          ) -> dict[str, dict[int, float]]:
+    """The values of those ranks that lie in the intervals. Each interval is ordered apart; sums carry over."""
+    names, spark = list(intervals), df.sparkSession
+    counted = values_inside(df, intervals)
+    earlier = Window.partitionBy("c").orderBy("j").rowsBetween(Window.unboundedPreceding, -1)
+    sums = counted.groupBy("c", "j").agg(F.sum("rows").alias("rows")).select(  # one row per interval
+        "c", "j", F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("start"), "rows")
+    wanted = local_rows(spark, [(i, k) for i, c in enumerate(names) for k in ranks[c]], "c int, k long")
+    held = sums.join(F.broadcast(wanted), "c").filter((F.col("k") >= F.col("start")) & (F.col("k") < F.col("start") + F.col("rows")))
+    through = Window.partitionBy("c", "j").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+    upto = counted.filter("x IS NOT NULL").withColumn("upto", F.sum("rows").over(through))
+    here = upto.join(F.broadcast(held.select("c", "j", "k", "start")), ["c", "j"])  # one row per wanted rank
+    k = F.col("k") - F.col("start")
+    out: dict[str, dict[int, float]] = {c: {} for c in names}
+    for v in here.filter((k < F.col("upto")) & (k >= F.col("upto") - F.col("rows"))).select("c", "k", "x").collect():
+        out[names[v["c"]]][int(v["k"])] = float(v["x"])
+    return out
+
 
-    Each rank gets a bracket of sketched values around it. Values inside brackets are counted one by one,
-    those between brackets together, and the running count tells which value holds a rank. A rank that fell
-    outside its bracket is sought again in a wider one, in the end in the whole column.
+def _narrow(df: DataFrame, cuts: Mapping[str, Sequence[float]], ranks: Mapping[str, Sequence[int]]
+            ) -> tuple[dict[str, dict[int, float]], dict[str, list[Bracket]]]:
+    """Count the rows at and between cut points: ranks that fall on one are found, the others get a smaller bracket."""
+    base = df.selectExpr(*[f"{sql_finite(df, c)} AS x{i}" for i, c in enumerate(cuts)])
+    base = locate(base, {f"x{i}": own for i, own in enumerate(cuts.values())}, "_at")
+    cells = [F.expr(f"CASE WHEN x{i} IS NOT NULL THEN named_struct('c', {i}, 'at', 2 * x{i}_at - CAST(x{i}_at > 0 AND x{i} = "
+                    f"array({', '.join(map(sql_number, own))})[greatest(x{i}_at - 1, 0)] AS INT)) END") for i, own in enumerate(cuts.values())]
+    counts: dict[int, dict[int, int]] = {i: {} for i in range(len(cuts))}
+    for r in flat_map(base, cells).groupBy("c", "at").agg(F.count(F.lit(1)).alias("rows")).collect():  # two per cut point
+        counts[r["c"]][r["at"]] = r["rows"]
+    found: dict[str, dict[int, float]] = {c: {} for c in cuts}
+    left: dict[str, list[Bracket]] = {c: [] for c in cuts}
+    for i, (c, own) in enumerate(cuts.items()):
+        places = sorted(counts[i])
+        ends = np.cumsum([counts[i][p] for p in places])
+        at = np.searchsorted(ends, ranks[c], side="right")
+        for n in sorted(set(at.tolist())):
+            inside, place = tuple(k for k, m in zip(ranks[c], at) if m == n), places[n]
+            if place % 2:
+                found[c] |= dict.fromkeys(inside, own[place // 2])
+            else:
+                edge = place // 2
+                left[c].append(Bracket(own[edge - 1] if edge else -math.inf, own[edge] if edge < len(own) else math.inf,
+                                       counts[i][place], inside, int(ends[n]) - counts[i][place]))
+    return found, left
+
+
+def order_statistics(df: DataFrame, ranks: Mapping[str, Sequence[int]], profile: Mapping[str, dict],
+                     ordered_rows: int | None = None) -> dict[str, dict[int, float]]:
+    """The values at the given 0-based ranks of the non-null values of each column, by nested brackets.
+
+    A sketch of a bracket's rows proposes an interval around each rank. Intervals of at most ``ordered_rows`` rows are
+    ordered value by value, each in a task of its own; larger ones become brackets once the rows at and between their
+    ends are counted, and are sketched anew. What a task orders is bounded at any size: a level divides the rows by
+    about a thousand. A rank that an interval does not hold is sought again in a counted bracket.
     """
+    limit = ordered_rows or ORDERED_ROWS
     found: dict[str, dict[int, float]] = {c: {} for c in ranks}
-    spread = 4 / ACCURACY
-    while missing := {c: left for c, ks in ranks.items() if profile[c]["n"] and (left := [k for k in ks if k not in found[c]])}:
-        for part in chunked(list(missing), COLUMNS_PER_SCAN):
-            near = {c: [((k + 0.5) / profile[c]["n"] - spread, (k + 0.5) / profile[c]["n"] + spread) for k in missing[c]] for c in part}
-            values = sketched(df, {c: [min(max(p, 0.0), 1.0) for pair in near[c] for p in pair] for c in part})
-            structs, wanted = [], []
-            for i, c in enumerate(part):
-                low = [profile[c]["low"] if p[0] <= 0 else v for p, v in zip(near[c], values[c][0::2])]
-                high = [profile[c]["high"] if p[1] >= 1 else v for p, v in zip(near[c], values[c][1::2])]
-                cases = []
-                for j, (a, b) in enumerate(_brackets([float(v) for v in low], [float(v) for v in high])):
-                    cases.append(f"WHEN x{i} < {sql_number(a)} THEN named_struct('c', {i}, 'j', {j}, 'x', CAST(NULL AS DOUBLE))")
-                    cases.append(f"WHEN x{i} <= {sql_number(b)} THEN named_struct('c', {i}, 'j', {j}, 'x', x{i})")
-                structs.append(F.expr(f"CASE {' '.join(cases)} END"))
-                wanted += [(i, k) for k in missing[c]]
-            base = df.select(*[F.expr(f"{sql_finite(df, c)} AS x{i}") for i, c in enumerate(part)])
-            through = Window.partitionBy("c").orderBy("j", F.col("x").asc_nulls_first())
-            counted = flat_map(base, structs).groupBy("c", "j", "x").agg(F.count(F.lit(1)).alias("rows"))
-            held = counted.withColumn("upto", F.sum("rows").over(through)).join(
-                F.broadcast(local_rows(df.sparkSession, wanted, "c int, k long")), "c")  # one row per wanted rank
-            for v in held.filter((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("rows"))
-                                 & F.col("x").isNotNull()).select("c", "k", "x").collect():
-                found[part[v["c"]]][int(v["k"])] = float(v["x"])
-        spread *= 10
+    open_ = {c: [Bracket(-math.inf, math.inf, profile[c]["n"], tuple(sorted(set(ks))))] for c, ks in ranks.items() if profile[c]["n"] and ks}
+    while open_:
+        for part in chunked(list(open_), COLUMNS_PER_SCAN):
+            read: dict[str, list[tuple[float, float]]] = {}
+            cut: dict[str, set[float]] = {}
+            sketchy = [(c, b) for c in part for b in open_[c] if b.rows > min(limit, SKETCHED_ROWS)]
+            proposed = dict(zip(sketchy, _propose(df, sketchy)))
+            for c, b in ((c, b) for c in part for b in open_[c]):
+                intervals = _merged(proposed.get((c, b), [(b.low, b.high)]))
+                rows = b.rows if (c, b) not in proposed else b.rows * (2 * SPREAD + 2 / ACCURACY) * len(b.ranks) / len(intervals)
+                if rows <= limit and not b.missed:
+                    read.setdefault(c, []).extend(intervals)
+                else:
+                    cut.setdefault(c, set()).update(v for pair in intervals for v in pair if b.low < v < b.high)
+            todo = {c: [b for b in open_.pop(c)] for c in part}
+            sought = {c: [k for b in own for k in b.ranks] for c, own in todo.items()}
+            if read:
+                for c, values in _read(df, {c: _merged(own) for c, own in read.items()}, sought).items():
+                    found[c] |= values
+            again = {c: [k for k in own if k not in found[c]] for c, own in sought.items()}
+            narrowing = {c: sorted(cut[c]) for c in part if again[c] and cut.get(c)}
+            if narrowing:
+                points, left = _narrow(df, narrowing, again)
+                for c, own in left.items():
+                    found[c] |= points[c]
+                    if own:
+                        open_[c] = own
+            for c in part:  # what an interval missed, in the next round by counting
+                if again[c] and c not in narrowing:
+                    open_[c] = [dataclasses.replace(b, ranks=tuple(k for k in b.ranks if k in again[c]), missed=True)
+                                for b in todo[c] if any(k in again[c] for k in b.ranks)]
     return found
 
 
@@ -170,13 +301,13 @@ def quantiles(df: DataFrame, wanted: Mapping[str, Sequence[float]], profile: Map
 
 
 def running_totals(df: DataFrame, value: str, measures: Mapping[str, Column], keys: Sequence[str] = (),
-                   descending: bool = False) -> DataFrame:
+                   descending: bool = False, rows_per_range: int | None = None) -> DataFrame:
     """Per distinct value: its measures, their running sums ``cum_*`` and grand sums ``all_*``.
 
     Rows meet first by value, so ties and hot values collapse before anything is ordered. The
-    ordering then runs inside balanced ranges whose starting totals come from the range sums.
+    ordering then runs inside ranges that are balanced for each key; their starting totals come from the range sums.
     """
-    cuts = sketched_cuts(df, value)
+    cuts = range_cuts(df, value, keys, rows_per_range)
     cells = df.select(*[named(k) for k in keys], F.expr(sql_finite(df, value)).alias("value"),
                       *[expr.alias(m) for m, expr in measures.items()]).filter(F.col("value").isNotNull())
     group = [*keys, "value_at"]
@@ -198,14 +329,27 @@ def running_totals(df: DataFrame, value: str, measures: Mapping[str, Column], ke
     )
 
 
-def largest_gaps(df: DataFrame, columns: Sequence[str], side: str, profile: Mapping[str, dict]) -> dict[str, float]:
-    """Largest distance between the two cumulative distributions of each column (side 0 vs 1).
+def _gaps(own, whole: Mapping[str, float], start: Mapping[str, np.ndarray], best: float):
+    """Of consecutive ranges with counts ``ref`` and ``cur``: the largest gap at their ends, and for each range the
+    largest that its rows could make inside, with the counts before it."""
+    upto = {k: start[k] + own[k].cumsum().to_numpy() for k in whole}
+    before = {k: upto[k] - own[k].to_numpy() for k in whole}
+    best = max(best, float(np.abs(upto["ref"] / whole["ref"] - upto["cur"] / whole["cur"]).max(initial=0.0)))
+    reach = np.maximum(upto["ref"] / whole["ref"] - before["cur"] / whole["cur"], upto["cur"] / whole["cur"] - before["ref"] / whole["ref"])
+    return best, reach, before
 
-    The distance is known exactly at every range end. A range can beat the best of those only if
-    its own rows suffice to, so only the rows of such ranges are grouped by value.
+
+def largest_gaps(df: DataFrame, columns: Sequence[str], side: str, profile: Mapping[str, dict],
+                 ordered_rows: int | None = None) -> dict[str, float]:
+    """Largest distance between the two cumulative distributions of each column (side 0 vs 1), by branch and bound.
+
+    The distance is known exactly at every range end. A range can beat the best of those only if its own rows suffice
+    to. Such a range of more than ``ordered_rows`` rows is cut into CHILDREN by a sketch of its own rows, at and between
+    the cut points, again and again; the others are grouped by value in the end, each ordered by one task.
     """
+    limit, spark = ordered_rows or ORDERED_ROWS, df.sparkSession
     best = {c: 0.0 for c in columns if profile[c]["n"]}
-    spark = df.sparkSession
+    sides = [F.count_if(F.col("side") == 0).alias("ref"), F.count_if(F.col("side") == 1).alias("cur")]
     for part in chunked(list(best), COLUMNS_PER_SCAN):
         ranges = {c: max(64, min(ACCURACY // 5, profile[c]["n"] // 50_000)) for c in part}
         cuts = balanced_cuts(df, ranges)
@@ -213,25 +357,52 @@ def largest_gaps(df: DataFrame, columns: Sequence[str], side: str, profile: Mapp
         base = locate(base, {f"x{i}": cuts[c] for i, c in enumerate(part)}, "_at")
         cells = flat_map(base, [F.expr(f"CASE WHEN x{i} IS NOT NULL THEN named_struct('c', {i}, 'r', x{i}_at, 'x', x{i}) END")
                                 for i in range(len(part))], [F.col("side")])
-        sides = [F.count_if(F.col("side") == 0).alias("ref"), F.count_if(F.col("side") == 1).alias("cur")]
-        counts = cells.groupBy("c", "r").agg(*sides).toPandas()  # columns x ranges
-        opened = []
-        for i, c in enumerate(part):
-            own = counts[counts["c"] == i].sort_values("r")
-            n = {k: max(float(own[k].sum()), 1.0) for k in ("ref", "cur")}
-            upto = {k: own[k].cumsum().to_numpy() for k in n}
-            start = {k: np.concatenate([[0], v[:-1]]) for k, v in upto.items()}
-            ends = np.abs(upto["ref"] / n["ref"] - upto["cur"] / n["cur"])
-            best[c] = float(ends.max(initial=0.0))
-            reach = np.maximum(upto["ref"] / n["ref"] - start["cur"] / n["cur"], upto["cur"] / n["cur"] - start["ref"] / n["ref"])
-            for r in np.flatnonzero(reach > best[c]):
-                opened.append((i, int(own["r"].iloc[r]), int(start["ref"][r]), int(start["cur"][r]), n["ref"], n["cur"]))
-        within = cells.join(F.broadcast(local_rows(  # one row per range that may hold the largest gap
-            spark, opened, "c int, r int, ref0 long, cur0 long, n_ref double, n_cur double")), ["c", "r"])
-        known = ["ref0", "cur0", "n_ref", "n_cur"]
-        values = within.groupBy("c", "r", *known, "x").agg(*sides)
-        through = Window.partitionBy("c", "r").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-        at = {k: (F.sum(k).over(through) + F.col(f"{k}0")) / F.col(f"n_{k}") for k in ("ref", "cur")}
-        for row in values.select("c", F.abs(at["ref"] - at["cur"]).alias("gap")).groupBy("c").agg(F.max("gap").alias("gap")).collect():
-            best[part[row["c"]]] = max(best[part[row["c"]]], float(row["gap"]))
+        whole: dict[int, dict[str, float]] = {}
+        levels: list[tuple[DataFrame, list[tuple]]] = []
+        counts, parents = cells.groupBy("c", "r").agg(*sides).toPandas(), None
+        while True:
+            opened = []
+            for key, own in counts.groupby("c" if parents is None else ["c", "parent"]):
+                i, node = (key, None) if parents is None else key
+                own = own.sort_values("r")
+                if node is None:
+                    whole[i] = {k: max(float(own[k].sum()), 1.0) for k in ("ref", "cur")}
+                start = dict.fromkeys(("ref", "cur"), 0) if node is None else dict(zip(("ref", "cur"), parents[i, node]))
+                c = part[i]
+                best[c], reach, before = _gaps(own, whole[i], start, best[c])
+                inside = np.ones(len(own), bool) if node is None else own["r"].to_numpy() % 2 == 0  # odd ones are single values
+                for n in np.flatnonzero(inside):
+                    opened.append((int(i), node, int(own["r"].iloc[n]), int(before["ref"][n]), int(before["cur"][n]),
+                                   int(own["ref"].iloc[n] + own["cur"].iloc[n]), float(reach[n])))
+            opened = [o for o in opened if o[-1] > best[part[o[0]]]]
+            small = [(i, r if node is None else node * SPAN + r, a, b, rows, reach) for i, node, r, a, b, rows, reach in opened if rows <= limit]
+            large = [(i, r if node is None else node * SPAN + r, a, b, rows, reach) for i, node, r, a, b, rows, reach in opened if rows > limit]
+            levels.append((cells, small))
+            if not large:
+                break
+            numbered = {(i, r): n for n, (i, r, *_) in enumerate(large)}
+            parents = {(i, n): large[n][2:4] for (i, _), n in numbered.items()}
+            within = cells.join(local_rows(spark, [(i, r, n) for (i, r), n in numbered.items()], "c int, r int, node int"), ["c", "r"])
+            inner = ", ".join(sql_number(n / CHILDREN) for n in range(1, CHILDREN))
+            found = within.groupBy("node").agg(F.expr(f"array_distinct(percentile_approx(x, array({inner}), {ACCURACY}))").alias("cuts")).collect()
+            known = local_rows(spark, [(n, list(cuts_)) for n, cuts_ in found], "node int, cuts array<double>")
+            place = F.expr("2 * size(filter(cuts, v -> v < x)) + CAST(array_contains(cuts, x) AS INT)")
+            cells = within.drop("r").join(known, "node").select("c", "node", (F.col("node") * SPAN + place).alias("r"), "x", "side")
+            counts = cells.groupBy("c", F.col("node").alias("parent"), F.expr(f"r - node * {SPAN}").alias("r")).agg(*sides).toPandas()
+            cells = cells.drop("node")
+        values = None
+        for at, small in levels:  # what the best gap so far leaves open
+            left = [o for o in small if o[-1] > best[part[o[0]]]]
+            if not left:
+                continue
+            nodes = local_rows(spark, [(i, r, a, b) for i, r, a, b, *_ in left], "c int, r int, ref0 long, cur0 long")
+            own = at.join(nodes, ["c", "r"]).groupBy("c", "r", "ref0", "cur0", "x").agg(*sides)
+            through = Window.partitionBy("c", "r").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
+            own = own.select("c", *[(F.sum(k).over(through) + F.col(f"{k}0")).alias(k) for k in ("ref", "cur")])
+            values = own if values is None else values.unionByName(own)
+        if values is not None:
+            totals = local_rows(spark, [(i, w["ref"], w["cur"]) for i, w in whole.items()], "c int, n_ref double, n_cur double")
+            gap = F.max(F.abs(F.col("ref") / F.col("n_ref") - F.col("cur") / F.col("n_cur")))
+            for row in values.join(F.broadcast(totals), "c").groupBy("c").agg(gap.alias("gap")).collect():  # one row per column
+                best[part[row["c"]]] = max(best[part[row["c"]]], float(row["gap"]))
     return best

@@ -100,3 +100,73 @@ def test_ordered_work_never_meets_in_one_partition(frame):
     # the only unpartitioned step orders the totals of the ranges, not the rows
     assert text.count("Exchange SinglePartition") <= 2
     assert "hashpartitioning(value_at" in text
+
+
+def test_no_task_orders_more_than_the_bound(frame, monkeypatch):
+    """100 copies of every row and distinct noise: three levels of brackets, none of which is ordered beyond the bound."""
+    from riskloom.functions import ranges
+
+    data, _ = frame
+    spark = frame[1].sparkSession
+    base = spark.createDataFrame(data[["heavy", "ties", "hot"]])
+    df = base.crossJoin(spark.range(100)).withColumn("noisy", F.col("heavy") + F.col("id") * 1e-7).repartition(8)
+    seen, rounds = [], []
+    real, narrow = ranges.values_inside, ranges._narrow
+
+    def watched(d, intervals):
+        counted = real(d, intervals)
+        seen.append(counted.filter("x IS NOT NULL").groupBy("c", "j").count().agg(F.max("count")).first()[0] or 0)
+        return counted
+
+    monkeypatch.setattr(ranges, "values_inside", watched)
+    monkeypatch.setattr(ranges, "_narrow", lambda *a: rounds.append(1) or narrow(*a))
+    monkeypatch.setattr(ranges, "SPREAD", 0.02)
+    monkeypatch.setattr(ranges, "ACCURACY", 100)
+    profile = column_profile(df, ["heavy", "ties", "hot", "noisy"])
+    ranks = {c: [0, 1, 123_456, 199_999, 200_000, 399_999] for c in profile}
+    found = order_statistics(df, ranks, profile, ordered_rows=300)
+    whole = df.select("heavy", "ties", "hot", "noisy").toPandas()
+    for c in ranks:
+        assert [found[c][k] for k in ranks[c]] == np.sort(whole[c])[ranks[c]].tolist()
+    assert max(seen) <= 300 and len(rounds) >= 2
+
+
+def test_ks_splits_open_ranges_again(spark, monkeypatch):
+    """Equal distributions leave most ranges open; with a low bound they are cut over three levels."""
+    from riskloom.functions import ranges
+
+    rng = np.random.default_rng(8)
+    draw = lambda n: pd.DataFrame({"same": rng.normal(0, 1, n), "ties": rng.integers(0, 40, n) * 1.0,
+                                   "hot": np.where(rng.random(n) < 0.5, 3.0, rng.normal(3, 1, n))})
+    a, b = draw(40_000), draw(30_000)
+    levels = []
+    real = ranges.local_rows
+    monkeypatch.setattr(ranges, "local_rows", lambda s, rows, schema: levels.append(len(rows)) or real(s, rows, schema)
+                        if "node int, cuts" in str(schema) else real(s, rows, schema))
+    monkeypatch.setattr(ranges, "CHILDREN", 4)
+    monkeypatch.setattr(ranges, "SPAN", 16)
+    both = drift.two_sided(spark.createDataFrame(a), spark.createDataFrame(b), list(a.columns))
+    profile = {c: {"n": 70_000} for c in a.columns}
+    found = ranges.largest_gaps(both, list(a.columns), "side", profile, ordered_rows=40)
+    for c in a.columns:
+        assert found[c] == pytest.approx(brute_ks(a[c].to_numpy(), b[c].to_numpy()), abs=1e-12)
+    assert len(levels) >= 3
+
+
+def test_ranges_are_balanced_for_each_key(spark, monkeypatch):
+    """Keys with disjoint values, one with a hot value: no range of a key has more different values than the bound."""
+    from riskloom.functions import ranges
+
+    rng = np.random.default_rng(4)
+    data = pd.concat([pd.DataFrame({"m": f"m{k}", "p": k / 1000 + rng.random(n) / 1000}) for k, n in enumerate((9000, 500, 3000))]
+                     + [pd.DataFrame({"m": "m3", "p": np.where(rng.random(4000) < 0.7, 0.5, rng.random(4000))})])
+    df = spark.createDataFrame(data).repartition(4)
+    monkeypatch.setattr(ranges, "ACCURACY", 50)
+    out = running_totals(df, "p", {"n": F.lit(1).cast("long")}, ["m"], rows_per_range=100).toPandas().sort_values(["m", "value"])
+    for m, own in data.groupby("m"):
+        want = own.groupby("p").size().cumsum()
+        got = out[out["m"] == m]
+        assert got["cum_n"].tolist() == want.tolist() and set(got["all_n"]) == {len(own)}
+    cuts = ranges.range_cuts(df, "p", ["m"], 100)
+    at = np.searchsorted(cuts, data["p"], side="right")
+    assert data.assign(at=at).groupby(["m", "at"])["p"].nunique().max() <= 100
