@@ -183,14 +183,14 @@ def _propose(df: DataFrame, brackets: Sequence[tuple[str, Bracket]]) -> list[lis
 def values_inside(df: DataFrame, intervals: Mapping[str, Sequence[tuple[float, float]]]) -> DataFrame:
     """``(c, j, x, rows)`` for the columns in their order: the rows of each value in the closed interval 2j+1, and those
     between two intervals together (``x`` NULL). What is grouped and ordered is one entry a value."""
-    structs = []
-    for i, own in enumerate(intervals.values()):
-        cases = []
-        for j, (a, b) in enumerate(own):
-            cases.append(f"WHEN x{i} < {sql_number(a)} THEN named_struct('c', {i}, 'j', {2 * j}, 'x', CAST(NULL AS DOUBLE))")
-            cases.append(f"WHEN x{i} <= {sql_number(b)} THEN named_struct('c', {i}, 'j', {2 * j + 1}, 'x', x{i})")
-        structs.append(F.expr(f"CASE {' '.join(cases)} END"))
+    cuts = {f"x{i}": [v for a, b in own for v in (a, math.nextafter(b, math.inf))] for i, own in enumerate(intervals.values())}
     base = df.selectExpr(*[f"{sql_finite(df, c)} AS x{i}" for i, c in enumerate(intervals)])
+    base = locate(base, {c: [v for v in own if math.isfinite(v)] for c, own in cuts.items()}, "_at")  # a binary search
+    structs = []
+    for i, own in enumerate(cuts.values()):
+        j = f"(x{i}_at + {int(own[0] == -math.inf)})"
+        structs.append(F.expr(f"CASE WHEN x{i} IS NOT NULL AND {j} < {len(own)} THEN "
+                              f"named_struct('c', {i}, 'j', {j}, 'x', CASE WHEN {j} % 2 = 1 THEN x{i} END) END"))
     return flat_map(base, structs).groupBy("c", "j", "x").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -205,11 +205,11 @@ def _read(df: DataFrame, intervals: Mapping[str, Sequence[tuple[float, float]]],
     wanted = local_rows(spark, [(i, k) for i, c in enumerate(names) for k in ranks[c]], "c int, k long")
     held = sums.join(F.broadcast(wanted), "c").filter((F.col("k") >= F.col("start")) & (F.col("k") < F.col("start") + F.col("rows")))
     through = Window.partitionBy("c", "j").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    upto = counted.filter("x IS NOT NULL").withColumn("upto", F.sum("rows").over(through))
+    upto = counted.withColumn("upto", F.sum("rows").over(through))  # a filter here would keep both uses from one exchange
     here = upto.join(F.broadcast(held.select("c", "j", "k", "start")), ["c", "j"])  # one row per wanted rank
     k = F.col("k") - F.col("start")
     out: dict[str, dict[int, float]] = {c: {} for c in names}
-    for v in here.filter((k < F.col("upto")) & (k >= F.col("upto") - F.col("rows"))).select("c", "k", "x").collect():
+    for v in here.filter((k < F.col("upto")) & (k >= F.col("upto") - F.col("rows")) & F.col("x").isNotNull()).select("c", "k", "x").collect():
         out[names[v["c"]]][int(v["k"])] = float(v["x"])
     return out
 
@@ -350,8 +350,9 @@ def largest_gaps(df: DataFrame, columns: Sequence[str], side: str, profile: Mapp
     limit, spark = ordered_rows or ORDERED_ROWS, df.sparkSession
     best = {c: 0.0 for c in columns if profile[c]["n"]}
     sides = [F.count_if(F.col("side") == 0).alias("ref"), F.count_if(F.col("side") == 1).alias("cur")]
+    several = (F.min("x") < F.max("x")).alias("several")  # one value has no inside
     for part in chunked(list(best), COLUMNS_PER_SCAN):
-        ranges = {c: max(64, min(ACCURACY // 5, profile[c]["n"] // 50_000)) for c in part}
+        ranges = {c: max(16, min(ACCURACY // 5, profile[c]["n"] // 1000)) for c in part}
         cuts = balanced_cuts(df, ranges)
         base = df.select(*[F.expr(f"{sql_finite(df, c)} AS x{i}") for i, c in enumerate(part)], named(side).alias("side"))
         base = locate(base, {f"x{i}": cuts[c] for i, c in enumerate(part)}, "_at")
@@ -359,7 +360,7 @@ def largest_gaps(df: DataFrame, columns: Sequence[str], side: str, profile: Mapp
                                 for i in range(len(part))], [F.col("side")])
         whole: dict[int, dict[str, float]] = {}
         levels: list[tuple[DataFrame, list[tuple]]] = []
-        counts, parents = cells.groupBy("c", "r").agg(*sides).toPandas(), None
+        counts, parents = cells.groupBy("c", "r").agg(*sides, several).toPandas(), None
         while True:
             opened = []
             for key, own in counts.groupby("c" if parents is None else ["c", "parent"]):
@@ -370,8 +371,7 @@ def largest_gaps(df: DataFrame, columns: Sequence[str], side: str, profile: Mapp
                 start = dict.fromkeys(("ref", "cur"), 0) if node is None else dict(zip(("ref", "cur"), parents[i, node]))
                 c = part[i]
                 best[c], reach, before = _gaps(own, whole[i], start, best[c])
-                inside = np.ones(len(own), bool) if node is None else own["r"].to_numpy() % 2 == 0  # odd ones are single values
-                for n in np.flatnonzero(inside):
+                for n in np.flatnonzero(own["several"]):
                     opened.append((int(i), node, int(own["r"].iloc[n]), int(before["ref"][n]), int(before["cur"][n]),
                                    int(own["ref"].iloc[n] + own["cur"].iloc[n]), float(reach[n])))
             opened = [o for o in opened if o[-1] > best[part[o[0]]]]
@@ -388,7 +388,7 @@ def largest_gaps(df: DataFrame, columns: Sequence[str], side: str, profile: Mapp
             known = local_rows(spark, [(n, list(cuts_)) for n, cuts_ in found], "node int, cuts array<double>")
             place = F.expr("2 * size(filter(cuts, v -> v < x)) + CAST(array_contains(cuts, x) AS INT)")
             cells = within.drop("r").join(known, "node").select("c", "node", (F.col("node") * SPAN + place).alias("r"), "x", "side")
-            counts = cells.groupBy("c", F.col("node").alias("parent"), F.expr(f"r - node * {SPAN}").alias("r")).agg(*sides).toPandas()
+            counts = cells.groupBy("c", F.col("node").alias("parent"), F.expr(f"r - node * {SPAN}").alias("r")).agg(*sides, several).toPandas()
             cells = cells.drop("node")
         values = None
         for at, small in levels:  # what the best gap so far leaves open

@@ -6,7 +6,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from riskloom.functions.columns import count_if, finite, local_rows, named, share
 from riskloom.functions.ranges import running_totals
@@ -26,6 +25,10 @@ MONITORING_FLOORS = {
 }
 FALL_WARNING, FALL_CRITICAL = 0.02, 0.05
 
+#: The column that holds each metric.
+NAMES = {"Average Precision": "average_precision", "ROC-AUC": "roc_auc", "Accuracy": "accuracy", "Precision": "precision",
+         "Recall": "recall", "F1": "f1"}
+
 
 def confusion_counts(df: DataFrame, label: str, score: str, threshold: float, keys: Sequence[str] = ()) -> DataFrame:
     """Counts per key. A score that is missing or not finite stops the job rather than vanish from the counts."""
@@ -101,9 +104,7 @@ def evaluate(df: DataFrame, label: str, score: str, threshold: float = 0.5, keys
 
 def metric_rows(evaluated: DataFrame) -> DataFrame:
     """One evaluated row as ``(metric, value)`` under the names that gates and baselines use."""
-    names = {"Average Precision": "average_precision", "ROC-AUC": "roc_auc", "Accuracy": "accuracy",
-             "Precision": "precision", "Recall": "recall", "F1": "f1"}
-    return evaluated.select(*[F.col(c).alias(m) for m, c in names.items()]).unpivot([], list(names), "metric", "value")
+    return evaluated.select(*[F.col(c).alias(m) for m, c in NAMES.items()]).unpivot([], list(NAMES), "metric", "value")
 
 
 def small_table(spark, values: Mapping[str, float], schema: str) -> DataFrame:
@@ -124,29 +125,44 @@ def compare_to_baseline(metrics: DataFrame, baseline: Mapping[str, float]) -> Da
         "metric", F.col("value").alias("current"), "baseline", (F.col("value") - F.col("baseline")).alias("change"))
 
 
-def _order(spark) -> DataFrame:
-    return local_rows(spark, [(m, i) for i, m in enumerate(METRICS)], "metric string, place int")
-
-
-def degradation_status(gates: DataFrame, changes: DataFrame) -> DataFrame:
-    """One row ``(status, reasons)``: a failed floor or a deep fall is critical, a smaller fall a warning."""
-    spark = gates.sparkSession
-    drop = -F.col("change")
-    # Fixed formats: the wording of reasons in the performance report.
-    failed = gates.filter(~F.col("passed")).select(
-        F.lit(0).alias("kind"), "metric", F.lit(2).alias("rank"),
-        F.format_string("below floor: %s %.4f vs floor %.4f", "metric", "value", "floor").alias("said"))
-    fallen = changes.filter(drop >= FALL_WARNING).select(
-        F.lit(1).alias("kind"), "metric", F.when(drop >= FALL_CRITICAL, 2).otherwise(1).alias("rank"),
-        F.concat(F.format_string("%s fell %.4f below the champion's test baseline ", F.col("metric"), drop),
-                 F.when(drop >= FALL_CRITICAL, F.lit(f"(critical at {FALL_CRITICAL})"))
-                 .otherwise(F.lit(f"(warning at {FALL_WARNING})"))).alias("said"))
-    found = failed.unionByName(fallen).join(_order(spark), "metric", "left")
-    lines = F.transform(F.array_sort(F.collect_list(F.struct("kind", "place", "said"))), lambda s: s["said"])
-    rank = F.coalesce(F.max("rank"), F.lit(0))
-    return found.agg(rank.alias("rank"), lines.alias("lines")).select(
-        F.when(F.col("rank") == 2, CRITICAL).when(F.col("rank") == 1, WARNING).otherwise(HEALTHY).alias("status"),
-        F.when(F.size("lines") > 0, F.concat_ws("; ", "lines"))
+def _drop(change: Column) -> Column:
+    return -change
+
+
+# Fixed formats: the wording of reasons in the performance report.
+def _said_floor(g: Column) -> Column:
+    return F.format_string("below floor: %s %.4f vs floor %.4f", g["metric"], g["value"], g["floor"])
+
+
+def _said_fall(c: Column) -> Column:
+    drop = _drop(c["change"])
+    return F.concat(F.format_string("%s fell %.4f below the champion's test baseline ", c["metric"], drop),
+                    F.when(drop >= FALL_CRITICAL, F.lit(f"(critical at {FALL_CRITICAL})"))
+                    .otherwise(F.lit(f"(warning at {FALL_WARNING})")))
+
+
+def _judged(evaluated: DataFrame, gates: Mapping[str, float], baseline: Mapping[str, float]) -> DataFrame:
+    """One row of metrics with its gates, changes, status and reasons. All come from expressions over that row: nothing
+    is joined or shuffled beyond what the metrics need. A failed floor or a deep fall is critical, a smaller fall a warning."""
+    floors = {GATES[g]: float(v) for g, v in gates.items() if g in GATES}
+    known = {k: float(v) for k, v in baseline.items() if k in METRICS and isinstance(v, (int, float))}
+    checks = [F.struct(F.lit(m).alias("metric"), F.col(NAMES[m]).alias("value"), F.lit(floors[m]).alias("floor"))
+              for m in METRICS if m in floors]
+    changes = [F.struct(F.lit(m).alias("metric"), F.col(NAMES[m]).alias("current"), F.lit(known[m]).alias("baseline"),
+                        (F.col(NAMES[m]) - F.lit(known[m])).alias("change")) for m in METRICS if m in known]
+    empty = {"checks": "array<struct<metric: string, value: double, floor: double>>",
+             "baseline_comparison": "array<struct<metric: string, current: double, baseline: double, change: double>>"}
+    columns = {k: F.array(*own) if own else F.array().cast(empty[k]) for k, own in (("checks", checks), ("baseline_comparison", changes))}
+    held = evaluated.withColumns(columns).withColumn("checks", F.filter("checks", lambda g: g["value"].isNotNull()))
+    passed = lambda g: g["value"] >= g["floor"]
+    failed, fallen = F.filter("checks", lambda g: ~passed(g)), F.filter("baseline_comparison", lambda c: _drop(c["change"]) >= FALL_WARNING)
+    lines = F.concat(F.transform(failed, _said_floor), F.transform(fallen, _said_fall))
+    worst = (F.size(failed) > 0) | F.exists("baseline_comparison", lambda c: F.coalesce(_drop(c["change"]) >= FALL_CRITICAL, F.lit(False)))
+    return held.select(
+        *evaluated.columns, F.transform(F.filter("checks", passed), lambda g: g["metric"]).alias("gates_passed"),
+        F.transform(failed, lambda g: g["metric"]).alias("gates_failed"), "baseline_comparison",
+        F.when(worst, CRITICAL).when(F.size(fallen) > 0, WARNING).otherwise(HEALTHY).alias("status"),
+        F.when(F.size(lines) > 0, F.concat_ws("; ", lines))
         .otherwise(F.lit("all gates passed and no material degradation")).alias("reasons"))
 
 
@@ -159,23 +175,10 @@ def performance_report(df: DataFrame, label: str | None, score: str, threshold:
         return local_rows(spark, [(False, NOT_AVAILABLE, "the batch carries no observed outcomes")],
                                      "labels_available boolean, status string, reasons string")
     require(check_scored(df, label, score))
-    evaluated = evaluate(df, label, score, threshold)
-    # a single row of metrics; the small tables below refer to it, not to the batch
-    known = evaluated.first().asDict()
-    metrics = metric_rows(local_rows(spark, [tuple(known.values())], evaluated.schema))
-    checked, changes = gate_check(metrics, gates), compare_to_baseline(metrics, baseline or {})
-    status = degradation_status(checked, changes).first()
-    place = [F.when(F.col("metric") == m, i) for i, m in enumerate(METRICS)]
-    gate_names = checked.orderBy(F.coalesce(*place)).collect()
-    compared = [tuple(r) for r in changes.orderBy(F.coalesce(*place)).collect()]
-    record = (*known.values(), [r["metric"] for r in gate_names if r["passed"]], [r["metric"] for r in gate_names if not r["passed"]],
-              [dict(zip(("metric", "current", "baseline", "change"), c)) for c in compared])
-    detail = T.StructType.fromDDL("gates_passed array<string>, gates_failed array<string>, "
-                                  "baseline_comparison array<struct<metric: string, current: double, baseline: double, change: double>>")
-    made = local_rows(spark, [record], T.StructType([*evaluated.schema.fields, *detail.fields]))
-    return made.select(
-        "*", F.lit(float(threshold)).alias("threshold"), F.lit(status["status"]).alias("status"),
-        F.lit(status["reasons"]).alias("reasons"), F.lit(True).alias("labels_available"))
+    made = _judged(evaluate(df, label, score, threshold), gates, baseline or {})
+    record = local_rows(spark, [tuple(made.first().asDict(recursive=True).values())], made.schema)  # read again without the batch
+    kept = [c for c in record.columns if c not in ("status", "reasons")]
+    return record.select(*kept, F.lit(float(threshold)).alias("threshold"), "status", "reasons", F.lit(True).alias("labels_available"))
 
 
 def normalise_status(df: DataFrame, column: str = "status") -> DataFrame:
