@@ -107,3 +107,24 @@ def transform_frozen(spark, folder):
     preprocess.TabularPreprocessor(inputCols=COLUMNS).fit(_train(df)).write().overwrite().save(path)
     model = preprocess.TabularPreprocessorModel.load(path)
     return rounded(model.transform_columns(model.align(df, ["SK_ID_CURR"]), ["SK_ID_CURR"]))
+
+
+@query("one_hot_wide", """WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'common' ELSE 'k' || (o_orderkey // 4) END AS code, o_orderpriority FROM orders),
+f AS (SELECT * FROM o WHERE o_orderkey % 5 <> 0),
+c AS (SELECT code, row_number() OVER (ORDER BY encode(code)) - 1 AS place FROM (SELECT DISTINCT code FROM f)),
+p AS (SELECT o_orderpriority, row_number() OVER (ORDER BY o_orderpriority) - 1 AS place FROM (SELECT DISTINCT o_orderpriority FROM f))
+SELECT o_orderkey, (SELECT count(*) FROM c) + (SELECT count(*) FROM p) AS size, c.place::BIGINT AS code_at, (p.place + (SELECT count(*) FROM c))::BIGINT AS priority_at
+FROM o LEFT JOIN c USING (code) LEFT JOIN p USING (o_orderpriority)""")
+def one_hot_wide(spark, folder):
+    """A near-unique column, a third of whose rows share one value, fitted on four fifths of the rows: its levels are a
+    table, never a list in the driver."""
+    code = F.when(F.col("o_orderkey") % 3 == 0, "common").otherwise(F.concat(F.lit("k"), F.floor(F.col("o_orderkey") / 4).cast("string")))
+    df = table(spark, folder, "orders").select("o_orderkey", code.alias("code"), "o_orderpriority")
+    model = preprocess.TabularPreprocessor(inputCols=["code", "o_orderpriority"], heldLevels=100).fit(df.filter(F.col("o_orderkey") % 5 != 0))
+    made = model.transform(df)
+    wide = model.getOrDefault(model.wide)["code"][0]
+    shown = F.regexp_extract(F.col("features").cast("string"), r"\[([0-9,]*)\]", 1)  # the places of a sparse vector
+    at = F.transform(F.filter(F.split(shown, ","), lambda i: i != ""), lambda i: i.cast("long"))
+    return made.select("o_orderkey", F.lit(model.output_size()).cast("long").alias("size"), at.alias("at")).select(
+        "o_orderkey", "size", F.element_at(F.filter("at", lambda i: i < wide), 1).alias("code_at"),
+        F.element_at(F.filter("at", lambda i: i >= wide), 1).alias("priority_at"))

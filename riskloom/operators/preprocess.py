@@ -15,17 +15,20 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler, VectorSizeHint
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.functions.columns import (
-    category_cells, chunked, flat_map, named, numeric_columns, other_columns, quoted, sql_number, sql_string)
+from riskloom.functions.columns import chunked, local_rows, named, numeric_columns, other_columns, quoted, sql_number, sql_string
 from riskloom.functions.ranges import column_profile, order_statistics, quantiles
 from riskloom.operators.alignment import align_lenient
+from riskloom.operators.dictionary import build_dictionary, level_counts, level_summary, read_dictionary, with_places
 
 log = logging.getLogger(__name__)
 
+#: Levels of a column that a model holds itself; beyond that they are a table.
+HELD_LEVELS = 50_000
+
 
 def medians(df: DataFrame, columns: Sequence[str], profile: dict | None = None) -> dict[str, float | None]:
     return {c: q[0] for c, q in quantiles(df, {c: [0.5] for c in columns}, profile).items()}
@@ -107,24 +110,32 @@ def _sql_clipped(value: str, low: float, high: float) -> str:
     return f"greatest(least({value}, {sql_number(high)}), {sql_number(low)})"
 
 
-def _category_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    return flat_map(df, category_cells(columns, "name")).groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
-
-
 def category_modes(df: DataFrame, columns: Sequence[str]) -> dict[str, str]:
     """Most frequent value per column, the smallest among ties; columns without values are left out."""
-    best = F.min_by("value", F.struct(-F.col("n"), F.col("value")))
-    return {r["name"]: r["mode"] for r in _category_counts(df, columns).groupBy("name").agg(best.alias("mode")).collect()}
+    return {r["name"]: r["mode"] for r in level_summary(level_counts(df, columns)).collect()}
 
 
-def category_levels(df: DataFrame, columns: Sequence[str]) -> tuple[dict[str, str], dict[str, list[str]]]:
-    """Mode (smallest among ties) and sorted levels per column. The levels become names of model columns and so are
-    part of the model, whatever their number."""
+def category_levels(df: DataFrame, columns: Sequence[str], held: int = HELD_LEVELS
+                    ) -> tuple[dict[str, str], dict[str, list[str]], dict[str, tuple[int, int]], str | None]:
+    """Mode (smallest among ties) per column; sorted levels of the columns with at most ``held`` of them; of the others
+    the numbers of levels and rows, and the path of their dictionary. At most ``held`` values a column reach the driver."""
+    counts = level_counts(df, columns)
+    some = counts.limit(held * len(columns) + 1).toArrow()
     found: dict[str, dict[str, int]] = {c: {} for c in columns}
-    for name, value, n in zip(*_category_counts(df, columns).toArrow().to_pydict().values()):
-        found[name][value] = n
-    return ({c: min(v, key=lambda k: (-v[k], k)) for c, v in found.items() if v},
-            {c: sorted(v) for c, v in found.items() if v})
+    if some.num_rows <= held * len(columns):
+        for name, value, n in zip(*some.to_pydict().values()):
+            found[name][value] = n
+    if some.num_rows <= held * len(columns) and all(len(v) <= held for v in found.values()):
+        return ({c: min(v, key=lambda k: (-v[k], k)) for c, v in found.items() if v},
+                {c: sorted(v) for c, v in found.items() if v}, {}, None)
+    seen = {r["name"]: r for r in level_summary(counts).collect()}
+    wide = {c: (r["levels"], r["rows"]) for c, r in seen.items() if r["levels"] > held}
+    levels: dict[str, list[str]] = {c: [] for c in seen if c not in wide}
+    if levels:
+        for name, value, _ in zip(*level_counts(df, list(levels)).toArrow().to_pydict().values()):
+            levels[name].append(value)
+    return ({c: r["mode"] for c, r in seen.items()}, {c: sorted(v) for c, v in levels.items()}, wide,
+            build_dictionary(level_counts(df, list(wide))))
 
 
 class _Columns(Params):
@@ -139,14 +150,16 @@ class _Columns(Params):
 
 
 class TabularPreprocessor(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
-    """Learns every constant the model needs; four small result sets reach the driver."""
+    """Learns every constant the model needs; small result sets reach the driver, of a categorical column at most
+    ``heldLevels`` levels. The levels of wider columns are a ranked table that the model points to."""
 
     iqrFactor = Param(Params._dummy(), "iqrFactor", "width of the Tukey fences", TypeConverters.toFloat)
+    heldLevels = Param(Params._dummy(), "heldLevels", "levels of a column that the model itself holds", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, inputCols=None, outputCol="features", iqrFactor=1.5):
+    def __init__(self, *, inputCols=None, outputCol="features", iqrFactor=1.5, heldLevels=HELD_LEVELS):
         super().__init__()
-        self._setDefault(outputCol="features", iqrFactor=1.5)
+        self._setDefault(outputCol="features", iqrFactor=1.5, heldLevels=HELD_LEVELS)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> TabularPreprocessorModel:
@@ -159,22 +172,39 @@ class TabularPreprocessor(Estimator, _Columns, DefaultParamsReadable, DefaultPar
         numeric = [c for c in numeric if centre[c] is not None]
         spread = moments(frame, {c: _sql_clipped(_sql_filled(c, centre[c]), *fences[c]) for c in numeric}
                          ) if numeric else {}
-        mode, levels = category_levels(frame, categorical) if categorical else ({}, {})
+        mode, levels, wide, path = category_levels(frame, categorical, self.getOrDefault(self.heldLevels)) if categorical else ({}, {}, {}, None)
         model = TabularPreprocessorModel()
         model._set(
             inputCols=columns, outputCol=self.getOutputCol(), numericCols=numeric,
             medians=[centre[c] for c in numeric], lower=[fences[c][0] for c in numeric],
             upper=[fences[c][1] for c in numeric], means=[spread[c][0] for c in numeric],
             deviations=[spread[c][1] for c in numeric],
-            categoricalCols=[c for c in categorical if c in levels], modes=[mode[c] for c in categorical if c in levels],
-            levels=[levels[c] for c in categorical if c in levels],
+            categoricalCols=[c for c in categorical if c in mode], modes=[mode[c] for c in categorical if c in mode],
+            levels=[levels.get(c) for c in categorical if c in mode], wide={c: list(v) for c, v in wide.items()}, dictionaryPath=path or "",
             types={f.name: f.dataType.simpleString() for f in frame.schema.fields},
         )
         return model
 
 
+class _ModelWriter(DefaultParamsWriter):
+    """The dictionary of wide columns goes with the constants."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        if own := self.instance.getOrDefault(self.instance.dictionaryPath):
+            read_dictionary(self.sparkSession, own).write.partitionBy("name").parquet(f"{path}/dictionary")
+
+
+class _ModelReader(DefaultParamsReader):
+    def load(self, path: str):
+        model = super().load(path)
+        if model.getOrDefault(model.dictionaryPath):
+            model._set(dictionaryPath=f"{path}/dictionary")
+        return model
+
+
 class TabularPreprocessorModel(Model, _Columns, DefaultParamsReadable, DefaultParamsWritable):
-    """Applies stored constants only; one projection, no job."""
+    """Applies stored constants only: one projection, no job; wide columns are joined with their dictionary."""
 
     numericCols = Param(Params._dummy(), "numericCols", "numeric inputs", TypeConverters.toListString)
     medians = Param(Params._dummy(), "medians", "imputation values", TypeConverters.toListFloat)
@@ -184,9 +214,18 @@ class TabularPreprocessorModel(Model, _Columns, DefaultParamsReadable, DefaultPa
     deviations = Param(Params._dummy(), "deviations", "scales", TypeConverters.toListFloat)
     categoricalCols = Param(Params._dummy(), "categoricalCols", "categorical inputs", TypeConverters.toListString)
     modes = Param(Params._dummy(), "modes", "imputation categories", TypeConverters.toListString)
-    levels = Param(Params._dummy(), "levels", "categories per column", TypeConverters.identity)
+    levels = Param(Params._dummy(), "levels", "categories per column, null where a dictionary has them", TypeConverters.identity)
+    wide = Param(Params._dummy(), "wide", "numbers of levels and rows of the columns in the dictionary", TypeConverters.identity)
+    dictionaryPath = Param(Params._dummy(), "dictionaryPath", "where the dictionary is, if any", TypeConverters.toString)
     types = Param(Params._dummy(), "types", "input types", TypeConverters.identity)
 
+    def write(self):
+        return _ModelWriter(self)
+
+    @classmethod
+    def read(cls):
+        return _ModelReader(cls)
+
     def feature_types(self) -> tuple[list[str], list[str]]:
         """(numeric, categorical) as fitted, which is what monitoring must go by."""
         return list(self.getOrDefault(self.numericCols)), list(self.getOrDefault(self.categoricalCols))
@@ -194,7 +233,34 @@ class TabularPreprocessorModel(Model, _Columns, DefaultParamsReadable, DefaultPa
     def input_names(self) -> list[str]:
         return self.getInputCols()
 
+    def output_size(self) -> int:
+        wide = self.getOrDefault(self.wide)
+        return len(self.feature_types()[0]) + sum(
+            wide[c][0] if vs is None else len(vs) for c, vs in zip(self.feature_types()[1], self.getOrDefault(self.levels)))
+
+    def output_table(self, spark) -> DataFrame:
+        """``(position, name)`` of every output, also those of wide columns."""
+        numeric, categorical = self.feature_types()
+        rows, wide, at = [(n, c) for n, c in enumerate(numeric)], [], len(numeric)
+        for c, vs in zip(categorical, self.getOrDefault(self.levels)):
+            if vs is None:
+                wide.append((c, at))
+            rows += [(at + n, f"{c}_{v}") for n, v in enumerate(vs or [])]
+            at += self.getOrDefault(self.wide)[c][0] if vs is None else len(vs)
+        out = local_rows(spark, rows, "position long, name string")
+        if wide:
+            levels = read_dictionary(spark, self.getOrDefault(self.dictionaryPath)).join(
+                local_rows(spark, wide, "name string, start long"), "name")
+            out = out.unionByName(levels.select((F.col("start") + F.col("place")).alias("position"),
+                                                F.concat_ws("_", "name", "value").alias("name")))
+        return out
+
+    def _held_only(self) -> None:
+        if names := [c for c, vs in zip(self.feature_types()[1], self.getOrDefault(self.levels)) if vs is None]:
+            raise ValueError(f"columns with too many levels to name one by one: {names}; use transform and output_table")
+
     def output_names(self) -> list[str]:
+        self._held_only()
         numeric, categorical = self.feature_types()
         return numeric + [f"{c}_{v}" for c, vs in zip(categorical, self.getOrDefault(self.levels)) for v in vs]
 
@@ -208,6 +274,7 @@ class TabularPreprocessorModel(Model, _Columns, DefaultParamsReadable, DefaultPa
         return out
 
     def sql_expressions(self) -> dict[str, str]:
+        self._held_only()
         out = self.numeric_expressions()
         for c, mode, levels in zip(*[self.getOrDefault(p) for p in (self.categoricalCols, self.modes, self.levels)]):
             value = f"coalesce(CAST({quoted(c)} AS STRING), {sql_string(mode)})"
@@ -240,8 +307,19 @@ class TabularPreprocessorModel(Model, _Columns, DefaultParamsReadable, DefaultPa
             made["__numbers"] = numbers
         places, flags = ([f"__{k}{i}" for i in range(len(categorical))] for k in ("place", "flag"))
         indexed = dataset.withColumns(made)
-        for i, levels in enumerate(self.getOrDefault(self.levels)):  # one by one: lists of unequal length would be filled up
-            indexed = StringIndexerModel.from_labels(levels, f"__value{i}", places[i], "keep").transform(indexed)
+        every, wide = self.getOrDefault(self.levels), self.getOrDefault(self.wide)
+        sought = {places[i]: (c, F.col(f"__value{i}")) for i, c in enumerate(categorical) if every[i] is None}
+        if sought:
+            dictionary = read_dictionary(dataset.sparkSession, self.getOrDefault(self.dictionaryPath))
+            indexed = with_places(indexed, sought, dictionary, {c: rows for c, (_, rows) in wide.items()})
+        for i, levels in enumerate(every):  # one by one: lists of unequal length would be filled up
+            size = wide[categorical[i]][0] if levels is None else len(levels)
+            if levels is None:
+                indexed = indexed.withColumn(places[i], F.coalesce(F.col(places[i]), F.lit(size)).cast("double"))
+            else:
+                indexed = StringIndexerModel.from_labels(levels, f"__value{i}", places[i], "keep").transform(indexed)
+            # the number of places without their names, of which an empty one would be refused
+            indexed = indexed.withMetadata(places[i], {"ml_attr": {"type": "nominal", "num_vals": size + 1}})
         # the place behind the last level, that of unseen values, is the one that the encoder drops
         encoded = OneHotEncoder(inputCols=places, outputCols=flags, dropLast=True).fit(indexed).transform(indexed)
         if numeric:
