@@ -197,6 +197,23 @@ def lookup_missing(spark, folder):
     return scoring.lookup_features(asked, _store(spark, folder), "id")[1]
 
 
+def _clustered(spark, folder):
+    from riskloom.session import shared_folder
+    from riskloom.sources.feature_store import FeatureStore
+
+    path = shared_folder(spark, "feature-store")
+    FeatureStore.write(_store(spark, folder), path, "id", rows_per_bucket=50)
+    return FeatureStore.open(spark, path), table(spark, folder, "nation").select(F.col("n_nationkey").cast("long").alias("id"), "n_name")
+
+
+@query("lookup_store", f"""SELECT n_nationkey::BIGINT AS id, n_name, events, {r('top', 'top')} FROM nation JOIN ({_STORE}) s ON s.id = n_nationkey
+UNION ALL SELECT n_nationkey::BIGINT, n_name, NULL, NULL FROM nation WHERE n_nationkey NOT IN (SELECT user_id FROM events)""")
+def lookup_store(spark, folder):
+    store, asked = _clustered(spark, folder)
+    found, unknown = store.lookup(asked)
+    return rounded(found.unionByName(unknown, allowMissingColumns=True))
+
+
 CAT = ("l_returnflag", "l_linestatus", "mode")
 COUNTS_SQL = "k AS (" + " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {c} AS part, count(*) FILTER (side = 0) AS ref, count(*) FILTER (side = 1) AS cur "
