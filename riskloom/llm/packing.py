@@ -12,6 +12,7 @@ packed each; other columns are not carried.
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -23,11 +24,10 @@ from riskloom.llm.common import id_and_text, original_id, stored
 
 LENGTH, CLOSING = 4096, 1
 GROUP = 50_000
-#: Entries of a worker's memory of words; it starts anew when full, so its size is bounded.
-MEMORY = 250_000
+#: Bytes of each of the two generations of a worker's memory of words, and what an entry takes beside its bytes.
+MEMORY, ENTRY = 150_000_000, 160
 
-_LETTERS = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+")
-_MARKS = re.compile(r"[!-/:-@\[-`{-~]*")
+_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -37,6 +37,28 @@ def _byte_letters() -> dict[int, str]:
     return table | {b: chr(256 + n) for n, b in enumerate(b for b in range(256) if b not in table)}
 
 
+class Recent:
+    """A dictionary of bounded size in two generations: when the younger is full the older goes, and what is asked for
+    moves to the younger. Frequent entries are never lost."""
+
+    def __init__(self, limit: int = MEMORY):
+        self.limit, self.size, self.young, self.old = limit, 0, {}, {}
+
+    def find(self, key) -> bytes | None:
+        value = self.young.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.keep(key, value)
+        return value
+
+    def keep(self, key, value: bytes) -> None:
+        if len(key) > 64:
+            return
+        if self.size >= self.limit:
+            self.size, self.young, self.old = 0, {}, self.young
+        self.young[key] = value
+        self.size += ENTRY + len(key) + len(value)
+
+
 class WordIds:
     """Token ids of white-space separated chunks, remembered. The tokenizer splits at white space before all else, so
     a text's ids are those of its chunks in a row; a chunk of Latin letters and closing marks is a word and its marks."""
@@ -47,42 +69,39 @@ class WordIds:
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
         self.letters = _byte_letters()
-        self.chunks: dict[bytes, bytes] = {}
-        self.parts: dict[str, bytes] = {}
+        self.chunks, self.parts = Recent(), Recent()
 
     def _part(self, part: str, letters: bool) -> bytes:
-        ids = self.parts.get(part)
+        ids = self.parts.find(part)
         if ids is None:
             if letters:
                 shown = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
                 found = [t.id for t in self.model.tokenize(shown)]
             else:
                 found = self.whole.encode(part, add_special_tokens=False).ids
-            ids = np.array(found, "<u4").tobytes()
-            if len(self.parts) >= MEMORY:
-                self.parts.clear()
-            if len(part) <= 64:
-                self.parts[part] = ids
+            ids = struct.pack(f"<{len(found)}I", *found)
+            self.parts.keep(part, ids)
         return ids
 
     def _chunk(self, chunk: bytes) -> bytes:
+        ids = self.chunks.find(chunk)
+        if ids is not None:
+            return ids
         text = chunk.decode("utf-8", "replace")
-        word = _LETTERS.match(text)
-        if word and _MARKS.fullmatch(text, word.end()):
-            ids = self._part(word.group().lower(), True)
-            if word.end() < len(text):
-                ids += self._part(text[word.end() :], False)
+        word = _WORD.fullmatch(text)
+        if word:
+            letters, marks = word.groups()
+            ids = self._part(letters.lower(), True)
+            if marks:
+                ids += self._part(marks, False)
         else:
             ids = self._part(text, False)
-        if len(self.chunks) >= MEMORY:
-            self.chunks.clear()
-        if len(chunk) <= 64:
-            self.chunks[chunk] = ids
+        self.chunks.keep(chunk, ids)
         return ids
 
     def __call__(self, body: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids. Bytes split at ASCII white space, which the tokenizer drops."""
-        get, chunk = self.chunks.get, self._chunk
+        get, chunk = self.chunks.young.get, self._chunk
         return b"".join([get(w) or chunk(w) for w in body.split()])
 
 
