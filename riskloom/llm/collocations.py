@@ -36,7 +36,7 @@ from riskloom.llm.rolling import BASES, arrays, by_bucket, each, mixed, rolling,
 LONGEST, LEAST_COUNT, TOP, COVERED_PERCENT = 3, 10, 2000, 50
 #: One pair of tokens in so many starts a chunk.
 EVERY = 16
-BLOCK_WORDS = 1_000_000
+BLOCK_WORDS = 600_000
 #: About as many n-grams meet in a bucket, by WORD_BYTES a word.
 BUCKET_NGRAMS, WORD_BYTES = 4_000_000, 6
 UNKNOWN = "und"
