@@ -67,3 +67,14 @@ def each(key: str, work: Callable[[pa.Table], Iterator[dict]]) -> Callable[[pa.T
 def arrays(group: pa.Table, name: str, kind: str) -> list[np.ndarray]:
     """The packed numbers of a binary column, one array a row."""
     return [np.frombuffer(b or b"", kind) for b in group.column(name).to_pylist()]
+
+
+def planes(ascending: np.ndarray) -> bytes:
+    """Ascending numbers below 2^32 as gaps, their low bytes first and then the higher ones, mostly zeros that the
+    shuffle's compression removes."""
+    return np.diff(ascending, prepend=0).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def from_planes(held: bytes | None) -> np.ndarray:
+    low = np.frombuffer(held or b"", np.uint8).reshape(4, -1).T
+    return np.cumsum(np.ascontiguousarray(low).view("<u4").ravel(), dtype=np.int64)

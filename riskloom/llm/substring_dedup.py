@@ -28,13 +28,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import group_bounds, id_and_text, map_arrow, original_id, runs, stored
-from riskloom.llm.rolling import BASES, arrays, by_bucket, each, rolling, word_values
+from riskloom.llm.rolling import BASES, arrays, by_bucket, each, from_planes, planes, rolling, word_values
 
 WINDOW = 13
 #: Words of a block; a longer document is a block of its own.
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 1_000_000
 #: About as many windows meet in a bucket, by WORD_BYTES a word.
-BUCKET_WINDOWS, WORD_BYTES = 4_000_000, 6
+BUCKET_WINDOWS, WORD_BYTES = 1_000_000, 6
 
 _SENT = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("hashes", pa.binary()), ("places", pa.binary()),
                    ("ids", pa.binary()), ("counts", pa.binary()), ("marks", pa.binary())])
@@ -56,12 +56,12 @@ def _block_rows(block: int, docs: list[tuple[int, bytes]], texts: list[list[byte
     holder = ids[owner[at[by]]]
     first = holder[fresh][np.cumsum(fresh) - 1]
     open_ = np.sort(by[holder == first])
-    yield {"key": -1 - block, "block": block, "places": at[by[holder != first]].astype("<u4").tobytes(),
+    yield {"key": -1 - block, "block": block, "places": planes(np.sort(at[by[holder != first]])),
            "ids": ids.tobytes(), "counts": lengths.tobytes(), "marks": b"".join(docs[k][1] for k in order)}
     for bucket, own in by_bucket((two[open_] % np.uint64(buckets)).astype(np.int64), buckets):
         own = open_[own]
         docs_of, counts = np.unique(owner[at[own]], return_counts=True)
-        yield {"key": bucket, "block": block, "hashes": one[own].tobytes(), "places": at[own].astype("<u4").tobytes(),
+        yield {"key": bucket, "block": block, "hashes": one[own].tobytes(), "places": planes(at[own]),
                "ids": ids[docs_of].tobytes(), "counts": counts.astype(np.int64).tobytes()}
 
 
@@ -96,7 +96,7 @@ def _meet(group: pa.Table):
     if group.column("key")[0].as_py() < 0:
         yield {n: group.column(n).combine_chunks() for n in ("block", "places", "ids", "counts", "marks")}
         return
-    hashes, places = arrays(group, "hashes", "<u8"), arrays(group, "places", "<u4")
+    hashes, places = arrays(group, "hashes", "<u8"), [from_planes(p) for p in group.column("places").to_pylist()]
     ids = np.concatenate([np.repeat(i, c) for i, c in zip(arrays(group, "ids", "<i8"), arrays(group, "counts", "<i8"))])
     every = np.concatenate(hashes)
     order = np.argsort(every, kind="stable")
@@ -104,7 +104,7 @@ def _meet(group: pa.Table):
     least = np.empty_like(ids)
     least[order] = np.repeat(np.minimum.reduceat(ids[order], bounds[:-1]), np.diff(bounds))
     lost = np.split(ids > least, np.cumsum([len(h) for h in hashes])[:-1])
-    found = [(b, p[x].tobytes()) for b, p, x in zip(group.column("block").to_pylist(), places, lost) if x.any()]
+    found = [(b, planes(p[x])) for b, p, x in zip(group.column("block").to_pylist(), places, lost) if x.any()]
     if found:
         nothing = [None] * len(found)
         yield {"block": [b for b, _ in found], "places": [p for _, p in found], "ids": nothing, "counts": nothing, "marks": nothing}
@@ -121,7 +121,7 @@ def _merge(window: int):
         marks = group.column("marks").to_pylist()
         own = next(k for k, m in enumerate(marks) if m is not None)
         ids, lengths = (arrays(group.slice(own, 1), n, "<i8")[0] for n in ("ids", "counts"))
-        places = np.sort(np.concatenate(arrays(group, "places", "<u4")).astype(np.int64))
+        places = np.sort(np.concatenate([from_planes(p) for p in group.column("places").to_pylist()]))
         offsets = np.cumsum(np.r_[0, lengths])
         cuts = np.searchsorted(places, offsets)
         out = {"id": [], "mark": [], "starts": [], "ends": []}
