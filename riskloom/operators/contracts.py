@@ -63,6 +63,10 @@ def extra_columns(df: DataFrame, expected: Sequence[str]) -> list[str]:
     return [c for c in df.columns if c not in set(expected)]
 
 
+#: The name under which row counts travel with the checks.
+ROWS = "rows"
+
+
 def _violation(table: str, check: str, column: str | None, n: Column) -> Column:
     return F.struct(F.lit(table).alias("table_name"), F.lit(check).alias("check"),
                     F.lit(column).cast("string").alias("column_name"), n.cast("long").alias("n"))
@@ -76,8 +80,9 @@ def _unfold(summary: DataFrame, checks: Sequence[Column]) -> DataFrame:
     return summary.select(F.inline(F.array(*checks))).filter("n > 0")
 
 
-def aggregate_checks(df: DataFrame, table: str, keys: Sequence[str] = (), label: str | None = None) -> DataFrame:
-    """Emptiness, key nulls and label domain out of a single aggregation."""
+def aggregate_checks(df: DataFrame, table: str, keys: Sequence[str] = (), label: str | None = None,
+                     with_rows: bool = False) -> DataFrame:
+    """Emptiness, key nulls and label domain out of a single aggregation; on request also the row count, as check ``rows``."""
     plan, checks = [F.count(F.lit(1)).alias("rows")], [
         _violation(table, "empty", None, F.when(F.col("rows") == 0, 1).otherwise(0))]
     for i, key in enumerate(keys):
@@ -93,6 +98,8 @@ def aggregate_checks(df: DataFrame, table: str, keys: Sequence[str] = (), label:
         checks += [_violation(table, "label_null", label, F.col("label_null")),
                    _violation(table, "label_domain", label, F.col("label_bad")),
                    _violation(table, "label_single_class", label, F.when(single, 1).otherwise(0))]
+    if with_rows:
+        checks.append(_violation(table, ROWS, None, F.col("rows")))
     return _unfold(df.agg(*plan), checks)
 
 
@@ -120,7 +127,7 @@ def check_key_unique(df: DataFrame, table: str, key: str | Sequence[str]) -> Dat
                           ).filter("n > 0")
 
 
-def check_table(df: DataFrame, table: str, contract: TableContract) -> DataFrame:
+def check_table(df: DataFrame, table: str, contract: TableContract, with_rows: bool = False) -> DataFrame:
     spark = df.sparkSession
     known = [(table, "column_missing", c, 1) for c in missing_columns(df, contract.required)]
     known += [(table, "key_missing", k, 1) for k in contract.keys if k not in df.columns]
@@ -128,16 +135,16 @@ def check_table(df: DataFrame, table: str, contract: TableContract) -> DataFrame
         known.append((table, "label_missing", contract.label, 1))
     parts = [_known(spark, known)] if known else []
     label = contract.label if contract.label in df.columns else None
-    parts.append(aggregate_checks(df, table, [k for k in contract.keys if k in df.columns], label))
+    parts.append(aggregate_checks(df, table, [k for k in contract.keys if k in df.columns], label, with_rows))
     if contract.unique and contract.unique in df.columns:
         parts.append(check_key_unique(df, table, contract.unique))
     return reduce(DataFrame.unionByName, parts)
 
 
-def check_tables(tables: Mapping[str, DataFrame], contracts: Mapping[str, TableContract] = CREDIT_TABLES
-                 ) -> DataFrame:
+def check_tables(tables: Mapping[str, DataFrame], contracts: Mapping[str, TableContract] = CREDIT_TABLES,
+                 with_rows: bool = False) -> DataFrame:
     """All violations of all tables; a required table that was not loaded is one of them."""
-    parts = [check_table(df, name, contracts.get(name, TableContract())) for name, df in tables.items()]
+    parts = [check_table(df, name, contracts.get(name, TableContract()), with_rows) for name, df in tables.items()]
     absent = [(name, "table_missing", None, 1) for name, c in contracts.items()
               if name not in tables and not c.optional]
     if absent:
@@ -154,19 +161,31 @@ def table_profile(tables: Mapping[str, DataFrame]) -> DataFrame:
     ])
 
 
-def require(violations: DataFrame) -> None:
-    """Raise once, with every problem on its own line."""
-    rows = violations.collect()  # bounded by tables x checks x columns
+def _refuse(rows: Sequence) -> None:
     if rows:
         lines = [f"{r['table_name']}: {r['check']}" + (f" {r['column_name']}" if r["column_name"] else "")
                  + f" (n={r['n']})" for r in rows]
         raise ContractViolation(f"{len(rows)} problem(s):\n  " + "\n  ".join(lines))
 
 
+def require(violations: DataFrame) -> None:
+    """Raise once, with every problem on its own line."""
+    _refuse(violations.collect())  # bounded by tables x checks x columns
+
+
+def _validated(tables: Mapping[str, DataFrame], contracts: Mapping[str, TableContract]) -> DataFrame:
+    """The profile of tables that keep their contracts. The row counts come with the checks, not from a further scan."""
+    found = check_tables(tables, contracts, with_rows=True).collect()
+    _refuse([r for r in found if r["check"] != ROWS])
+    counts = {r["table_name"]: r["n"] for r in found}
+    spark = next(iter(tables.values())).sparkSession
+    return local_rows(spark, [(name, counts.get(name, 0), len(df.columns)) for name, df in tables.items()],
+                      "table_name string, n_rows long, n_columns long")
+
+
 def validate_training_tables(tables: Mapping[str, DataFrame],
                              contracts: Mapping[str, TableContract] = CREDIT_TABLES) -> DataFrame:
-    require(check_tables(tables, contracts))
-    return table_profile(tables)
+    return _validated(tables, contracts)
 
 
 def validate_inference_tables(tables: Mapping[str, DataFrame],
@@ -174,8 +193,7 @@ def validate_inference_tables(tables: Mapping[str, DataFrame],
                               application: str = "application_test") -> DataFrame:
     needed = inference_contracts(contracts, application)
     used = {name: df for name, df in tables.items() if name in needed}
-    require(check_tables(used, needed))
-    return table_profile(used)
+    return _validated(used, needed)
 
 
 def require_frame(df: DataFrame, table: str, required: Sequence[str] = ()) -> None:
