@@ -74,7 +74,8 @@ def write(df: DataFrame, folder: str, key: str = "page_id", url: str = "url", ht
     """
     pages = df.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{url}`").alias("url"),
                       F.coalesce(F.col(f"`{html}`"), F.lit("")).cast("binary").alias("body"))
-    pages = pages.withColumn("row", F.xxhash64("id", "url", "body"))
+    marks = [F.xxhash64(F.lit(seed), F.col("id").isNull(), "id", F.col("url").isNull(), "url", "body") for seed in (1, 2)]
+    pages = pages.withColumn("row", F.concat_ws("-", *[F.hex(m) for m in marks]))  # 128 bits tell rows apart
     found = stored(revisits(pages).distinct(), "revisits")
 
     def responses(batches):
@@ -86,8 +87,8 @@ def write(df: DataFrame, folder: str, key: str = "page_id", url: str = "url", ht
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["row", "id", "url", "size", "digest", "member"])
 
-    kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
-    made = pages.select("row", "id", "url", "body").mapInArrow(responses, "row long, id long, url string, size long, digest string, member binary")
+    kinds = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.binary()]
+    made = pages.select("row", "id", "url", "body").mapInArrow(responses, "row string, id long, url string, size long, digest string, member binary")
 
     def files(batches):
         store = out = name = None
@@ -194,7 +195,8 @@ def read(spark: SparkSession, files: DataFrame, range_bytes: int = RANGE) -> Dat
     payload_bytes and payload_digest (of the full payload), refers_to."""
     starts = F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("long")))
     tasks = files.filter("bytes > 0").select("name", "bytes", starts.alias("start"))
-    tasks = tasks.repartition(F.xxhash64("name", "start"))
+    ranges = files.agg(F.sum(F.ceil(F.col("bytes") / range_bytes))).first()[0] or 1
+    tasks = tasks.repartition(int(ranges), F.xxhash64("name", "start"))  # a stated number: small rows, but long tasks
     schema = pa.schema([("row_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload", pa.binary()),
                         ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64())])
 

@@ -47,3 +47,12 @@ def test_false_magic_and_cut_files():
     for size in (7, 50, len(blob)):
         got = [c for s in range(0, len(blob), size) for c in warc._Members(io.BytesIO(blob), len(blob), s, s + size)]
         assert len(got) == 2 and [p for c in got for _, p in warc.parse(c)] == [b"hello"] * 2
+
+
+def test_ranges_are_read_by_many_tasks(spark, tiny):
+    from pyspark.sql import functions as F
+
+    files = warc.write(spark.read.parquet(f"{tiny}/pages.parquet"), shared_folder(spark, "warc"))
+    size = max(1000, files.agg(F.sum("bytes")).first()[0] // 16)
+    back = warc.read(spark, files, size).withColumn("task", F.spark_partition_id())
+    assert back.select("task").distinct().count() >= 6
