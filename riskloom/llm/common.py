@@ -36,6 +36,19 @@ def id_and_text(df: DataFrame, key: str, text: str) -> DataFrame:
                      F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("body"))
 
 
+def text_mark(body):
+    """128 bits that tell texts apart."""
+    return F.unhex(F.md5(body))
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each behind as many underscores as make it differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while taken & {*names}:
+        names = tuple(f"_{n}" for n in names)
+    return list(names)
+
+
 def original_id(c: str = "id"):
     return F.when(F.col(c) != NO_ID, F.col(c))
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import id_and_text, map_arrow, original_id, stored
+from riskloom.llm.common import id_and_text, map_arrow, original_id, stored, unused
 
 WINDOW = 10
 SHARD_WORDS = 2_000_000
@@ -221,10 +221,11 @@ def _report(rows: DataFrame, stretches: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(df: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``df`` in which no window of any item occurs, all columns as they are. Rows are told apart by
-    their id and text."""
+    """The rows of ``df`` in which no window of any item occurs, all columns as they are. Rows are numbered in a
+    written copy, so none is taken for another."""
+    row, = unused(df, "row")
+    numbered = stored(df.withColumn(row, F.monotonically_increasing_id()), "numbered")
     body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
-    marked = df.withColumn("__mark", F.xxhash64(F.col(f"`{key}`"), body))
-    rows, stretches = matches(marked.select(F.col("__mark").alias("id"), body.alias("body")), items)
-    gone = rows.join(stretches.select("row").distinct(), "row", "left_semi").select(F.col("id").alias("__mark")).distinct()
-    return marked.join(gone, "__mark", "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    rows, stretches = matches(numbered.select(F.col(row).alias("id"), body.alias("body")), items)
+    gone = rows.join(stretches.select("row").distinct(), "row", "left_semi").select(F.col("id").alias(row))
+    return numbered.join(gone, row, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import NO_ID, id_and_text, lookup, map_arrow, original_id, stored
+from riskloom.llm.common import NO_ID, id_and_text, lookup, map_arrow, original_id, stored, unused
 
 SPACE = b" \t\n\x0b\x0c\r"
 MIN_CHARS = 10
@@ -169,9 +169,10 @@ def kept_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` with repeated lines taken out of ``text``; all other columns as they are."""
-    lost = lines_to_drop(id_and_text(df, key, text)).select(F.col("id").alias("__id"), F.col("lost").alias("__lost"))
+    number, gone = unused(df, "id", "lost")
+    lost = lines_to_drop(id_and_text(df, key, text)).select(F.col("id").alias(number), F.col("lost").alias(gone))
     own = [F.col(f"`{c}`") for c in df.columns]
-    joined = df.withColumn("__id", F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID))).join(lost, "__id", "left")
+    joined = df.withColumn(number, F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID))).join(lost, number, "left")
     schema, at = df.schema, df.columns.index(text)
 
     def over(batches):
@@ -182,4 +183,4 @@ def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataF
             new = pa.array([None if b is None else x.decode("utf-8", "replace") for b, x in zip(bodies, texts)], batch.column(at).type)
             yield pa.RecordBatch.from_arrays([new if i == at else batch.column(i) for i in range(len(schema))], names=schema.names)
 
-    return joined.select(*own, "__lost").mapInArrow(over, schema)
+    return joined.select(*own, gone).mapInArrow(over, schema)

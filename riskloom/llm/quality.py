@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import NO_ID, lookup, map_arrow, original_id, stored
+from riskloom.llm.common import NO_ID, lookup, map_arrow, original_id, stored, text_mark, unused
 
 SAMPLE = 20_000
 INDICATORS, LEAST_WEIGHT = 2000, 2.0
@@ -207,7 +207,7 @@ def judged(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "t
         yield columns | {f"own_{q}": found[:, k] for k, q in enumerate(QUESTIONS)} | {q: chance[:, k] for k, q in enumerate(QUESTIONS)}
 
     numbers = ", ".join([f"own_{q} double" for q in QUESTIONS] + [f"{q} double" for q in QUESTIONS])
-    scored = map_arrow(docs.select("id", F.xxhash64("body").alias("mark"), "host", "path", "body"), evidence, f"id long, mark long, host string, path string, {numbers}")
+    scored = map_arrow(docs.select("id", text_mark(F.col("body")).alias("mark"), "host", "path", "body"), evidence, f"id long, mark binary, host string, path string, {numbers}")
     scored = stored(scored.withColumn("site", F.xxhash64("host", "path")), "scored")
     total = scored.count()
     out = lookup(scored, site_rates(scored), "site", "path_rows", total)
@@ -225,7 +225,8 @@ def classify(df: DataFrame, labels: DataFrame, key: str = "doc_id", **columns) -
 
 def keep_accepted(df: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", **columns) -> DataFrame:
     """The accepted rows of ``df``, all columns as they are."""
-    rejected = judged(df, labels, key, text, **columns).filter("NOT accepted").select(F.col("id").alias("__id"), F.col("mark").alias("__mark")).distinct()
-    body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
-    marked = df.withColumn("__id", F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID))).withColumn("__mark", F.xxhash64(body))
-    return marked.join(rejected, ["__id", "__mark"], "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+    own, mark = unused(df, "id", "mark")
+    rejected = judged(df, labels, key, text, **columns).filter("NOT accepted").select(F.col("id").alias(own), F.col("mark").alias(mark)).distinct()
+    marked = df.withColumn(own, F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID)))
+    marked = marked.withColumn(mark, text_mark(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")))
+    return marked.join(rejected, [own, mark], "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])

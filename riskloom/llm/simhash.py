@@ -7,11 +7,6 @@ Fingerprints of a list tally the positional bytes they share; pairs with six or
 counting bits. Equal fingerprints are one entry. Lists of many fingerprints are cut into blocks that meet in pairs of
 blocks, and a task returns a spanning forest of the links it found rather than all of them.
 
-The pipeline's stage has its own setting: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or
-more are near copies. At that similarity about 15 of 100 SimHash bits differ, at any width, so no whole byte is sure to
-be shared; candidates come from BANDS lists of MIN_HASHES minima each (a pair at the threshold meets with a probability
-of 0.9998), and the similarity of candidates is computed from their whole sets.
-
 Defined results: null or empty text has fingerprint zero and is linked like any other; fewer words than a shingle are
 one shingle; a null id counts as one that comes after all others; rows that repeat an id keep a row each.
 """
@@ -27,14 +22,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import (NO_ID, cells, connected_components, group_bounds, id_and_text, lookup, map_arrow,
-                                 original_id, runs, stored)
+                                 original_id, runs, stored, text_mark, unused)
 
 WORDS, SEED, BITS = 3, 42, 2
 BLOCK = 4096  # fingerprints of a list that a task compares at once with as many others
 PIECE = 1 << 16  # shingles counted at once
-COPY_WORDS, SIMILARITY = 5, 0.8  # of the pipeline's stage
-BANDS, MIN_HASHES = 16, 4
-COPY_BLOCK = 512  # as BLOCK, for whole sets of shingles
 
 
 def fingerprint(body: bytes) -> int:
@@ -61,7 +53,7 @@ def _prints(batch: pa.RecordBatch):
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """(id, print, mark) per row of (id, body); ``mark`` tells rows apart that share an id."""
-    return map_arrow(docs.withColumn("mark", F.xxhash64("body")), _prints, "id long, print long, mark long")
+    return map_arrow(docs.withColumn("mark", text_mark(F.col("body"))), _prints, "id long, print long, mark binary")
 
 
 def _forest(prints: np.ndarray, bits: int) -> tuple[list, list]:
@@ -143,104 +135,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", bits
                       original_id("component").alias("component_id"))
 
 
-def shingle_set(body: bytes, words: int = COPY_WORDS) -> np.ndarray:
-    """Sorted 64-bit hashes of the distinct shingles."""
-    found = body.lower().split()  # bytes: A-Z and ASCII white space only
-    if not found:
-        return np.zeros(0, np.uint64)
-    text = b" ".join(found)
-    ends = list(accumulate(map(len, found), lambda a, n: a + 1 + n))
-    starts = [0, *(e + 1 for e in ends[:-1])]
-    hashed = xxhash.xxh64_intdigest
-    return np.unique(np.fromiter((hashed(text[a:b], SEED) for a, b in zip(starts, ends[words - 1 :] or ends[-1:])), np.uint64))
-
-
-_RNG = np.random.default_rng(SEED)
-_FLIP = _RNG.integers(0, 2**64, (BANDS * MIN_HASHES, 1), np.uint64)
-_TIMES = _RNG.integers(0, 2**64, (BANDS * MIN_HASHES, 1), np.uint64) | np.uint64(1)
-
-
-def band_keys(own: np.ndarray) -> bytes:
-    """A long for each band, of its minima over the set."""
-    least = np.full(BANDS * MIN_HASHES, 2**64 - 1, np.uint64)
-    for k in range(0, len(own), 2048):
-        least = np.minimum(least, ((own[k : k + 2048] ^ _FLIP) * _TIMES).min(axis=1))
-    return b"".join(xxhash.xxh64_digest(part.tobytes(), n) for n, part in enumerate(least.reshape(BANDS, MIN_HASHES)))
-
-
-def _sets(batch: pa.RecordBatch):
-    sets, bands = [], []
-    for body in batch.column(1).to_pylist():
-        own = shingle_set(body)
-        sets.append(xxhash.xxh64_intdigest(own.tobytes(), SEED))
-        bands.append(np.frombuffer(band_keys(own), "<i8").tolist())
-    yield {"id": batch.column(0), "same": np.array(sets, np.uint64).view(np.int64), "bands": bands, "mark": batch.column(2)}
-
-
-def _whole(batch: pa.RecordBatch):
-    yield {"same": batch.column(0), "shingles": [shingle_set(body).tobytes() for body in batch.column(1).to_pylist()]}
-
-
-def _copies(similarity: float):
-    def run(group: pa.Table):
-        keys, same = group.column("cell").to_numpy(), group.column("same").to_numpy()
-        held = group.column("shingles")
-        bounds = group_bounds(keys)
-        a, b = [], []
-        for i, j in zip(bounds[:-1], bounds[1:]):
-            sets = [np.frombuffer(held[k].as_py(), np.uint64) for k in range(i, j)]
-            sizes = np.array([len(x) for x in sets])
-            every = np.concatenate(sets)
-            owner = np.repeat(np.arange(j - i), sizes)
-            order = np.argsort(every, kind="stable")
-            every, owner = every[order], owner[order]
-            left = np.ones(j - i, bool)
-            for root in range(j - i):
-                if not left[root]:
-                    continue
-                left[root] = False
-                queue = [root]
-                while queue and left.any():
-                    one = queue.pop()
-                    from_, to = np.searchsorted(every, sets[one]), np.searchsorted(every, sets[one], side="right")
-                    many = to - from_
-                    at = np.repeat(from_ - np.r_[0, np.cumsum(many)[:-1]], many) + np.arange(many.sum())
-                    shared = np.bincount(owner[at], minlength=j - i)
-                    near = np.flatnonzero(left & (shared >= similarity * (sizes + sizes[one] - shared)))
-                    left[near] = False
-                    queue.extend(near.tolist())
-                    a += same[i + near].tolist()
-                    b += [int(same[i + one])] * len(near)
-        yield {"a": a, "b": b}
-    return run
-
-
-def copy_components(docs: DataFrame, similarity: float = SIMILARITY, block: int = COPY_BLOCK) -> DataFrame:
-    """(id, mark, component) of rows of (id, body): the smallest id within reach by links of ``similarity`` or more."""
-    docs = docs.withColumn("mark", F.xxhash64("body"))
-    prints = stored(map_arrow(docs, _sets, "id long, same long, bands array<long>, mark long"), "sets")
-    classes = prints.groupBy("same").agg(F.count("*").alias("rows"), F.min("id").alias("first"), F.min(F.struct("id", "mark")).alias("one"),
-                                         F.first("bands").alias("bands"))
-    classes = stored(classes, "classes")  # equal sets are one entry
-    lists = classes.select("same", F.explode("bands").alias("list"))
-    celled = stored(cells(lists, "list", "same", block).select("cell", "same"), "celled")
-    met = celled.groupBy("same").agg(F.count("*").alias("cells"))
-    own = classes.join(met, "same").select("same", F.col("one.id").alias("id"), F.col("one.mark").alias("mark"), "cells")
-    bodies = docs.join(own, ["id", "mark"]).dropDuplicates(["same"])
-    whole = map_arrow(bodies.select("same", "body"), _whole, "same long, shingles binary")
-    links = runs(celled.join(stored(whole, "whole"), "same").select("cell", "same", "shingles"), "cell", _copies(similarity), "a long, b long")
-    nodes = stored(connected_components(links), "nodes")
-    joined = stored(classes.join(nodes.withColumnRenamed("node", "same"), "same", "left").select(
-        "same", "rows", "first", F.coalesce("component", "same").alias("component")), "joined")
-    least = stored(joined.groupBy("component").agg(F.min("first").alias("least"), F.count("*").alias("many")), "least")
-    answer = lookup(joined, least, "component", "many", joined.count()).select("same", "rows", F.col("least").alias("component"))
-    return lookup(prints.select("id", "same", "mark"), stored(answer, "answer"), "same", "rows", prints.count()).select("id", "mark", "component")
-
-
-def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """The row of the smallest id of each group of near copies, all columns as they are. Equal rows of that id are one row."""
-    kept = copy_components(id_and_text(df, key, text), similarity).filter("id = component")
-    kept = kept.select(F.col("id").alias("__id"), F.col("mark").alias("__mark")).distinct()
-    body = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
-    marked = df.withColumn("__id", F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID))).withColumn("__mark", F.xxhash64(body))
-    return marked.join(kept, ["__id", "__mark"], "left_semi").dropDuplicates(["__id", "__mark"]).select(*[F.col(f"`{c}`") for c in df.columns])
+def drop_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", bits: int = BITS) -> DataFrame:
+    """The row of the smallest id of each component, all columns as they are. Rows of that id with equal texts are one row."""
+    prints = stored(fingerprints(id_and_text(df, key, text)), "prints")
+    own, mark = unused(df, "id", "mark")
+    kept = components(prints, bits).filter("id = component").select(F.col("id").alias(own), F.col("mark").alias(mark)).distinct()
+    marked = df.withColumn(own, F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID)))
+    marked = marked.withColumn(mark, text_mark(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")))
+    return marked.join(kept, [own, mark], "left_semi").dropDuplicates([own, mark]).select(*[F.col(f"`{c}`") for c in df.columns])

@@ -52,3 +52,16 @@ def test_run_and_empty(spark, tiny):
     empty = table(spark, tiny, "documents").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, tiny).count() == 0
+
+
+def test_columns_of_any_name_come_back(spark, tiny):
+    docs = table(spark, tiny, "documents").limit(60)
+    names = ["__id", "__mark", "__lost", "id", "mark", "row", "_ROW", "lost", "_id", "body", "component"]
+    wide = docs.select("*", *[(docs.doc_id + n).alias(name) for n, name in enumerate(names)])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        want = {r.doc_id for r in stage(spark, docs, tiny).collect()}
+        out = stage(spark, wide, tiny)
+        assert out.columns == wide.columns, name
+        rows = out.collect()
+        assert {r.doc_id for r in rows} == want, name
+        assert all(r[name] == r.doc_id + n for r in rows for n, name in enumerate(names))

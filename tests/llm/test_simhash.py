@@ -1,10 +1,8 @@
 import collections
-import random
 
 import xxhash
 from pyspark.sql import functions as F
 
-from riskloom.llm import simhash
 from riskloom.llm.simhash import components, drop_near_duplicates, fingerprint, near_duplicates
 
 
@@ -65,36 +63,3 @@ def test_lists_cut_into_blocks(spark):
     far = rows.withColumn("print", F.shiftleft("print", 48) + F.shiftleft("print", 32))
     assert components(far, 0, 4).select("component").distinct().count() == rows.count()
 
-
-def copies(rows):
-    """The smallest id each text reaches by links of Jaccard similarity 0.8 over five-word shingles, by all pairs."""
-    sets = {}
-    for i, t in rows:
-        w = "".join(c.lower() if c.isascii() else c for c in t).split()
-        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))}
-    links = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
-    low = {i: i for i in sets}
-    for _ in sets:
-        for a, b in links:
-            low[a] = low[b] = min(low[a], low[b])
-    return low, links
-
-
-def test_stage_finds_copies_many_bits_apart(spark):
-    rng = random.Random(3)
-    rows = []
-    for n in range(30):
-        words = [f"w{rng.randrange(900)}" for _ in range(rng.randrange(60, 200))]
-        for k in range(6):
-            rows.append((len(rows), " ".join(words)))
-            words = list(words)
-            for _ in range(rng.randrange(1, 4)):  # a chain: each copy differs from the one before
-                words[rng.randrange(len(words))] = f"x{rng.randrange(900)}"
-    low, links = copies(rows)
-    text = dict(rows)
-    assert sum((fingerprint(text[a].encode()) ^ fingerprint(text[b].encode())).bit_count() > 2 for a, b in links) > 50
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    want = sorted(i for i in low if low[i] == i)
-    assert sorted(r.doc_id for r in drop_near_duplicates(docs).collect()) == want
-    found = simhash.copy_components(simhash.id_and_text(docs, "doc_id", "text"), block=2)
-    assert {r.id: r.component for r in found.collect()} == low
