@@ -24,7 +24,7 @@ def line_dedup(spark, docs, sf_dir):
 
 
 def simhash_near_dedup(spark, docs, sf_dir):
-    """Of each group of near copies the document with the smallest id."""
+    """Of each component of fingerprints (three-word shingles, at most two differing bits) the document with the smallest id."""
     return drop_near_duplicates(docs)
 
 
