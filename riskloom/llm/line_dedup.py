@@ -4,24 +4,29 @@ Method: two Bloom filters, one for hashes seen once and one for hashes seen twic
 its lines set and the bits they set again; merged by filter chunk, a bit set by two tasks counts as set twice. Only
 lines all of whose bits were set twice are suspects and shuffle; a grouping of their 128-bit digests confirms true
 repeats and picks the first document. The filters are cut into slices of the hash space, as many as the number of
-lines asks for, so that the filter which is broadcast has a fixed size at any scale and each slice reads its own lines.
+lines asks for; one job merges all of them into the shared folder, where a task reads the filters of the slices whose
+lines it holds, a few at a time. No filter passes through the driver.
 
 Defined results: null and empty text is one empty line; null ids act as one document after all others; rows that
-repeat an id are one document, each row filtered alike; other columns pass through ``dedup_lines`` untouched.
+repeat an id are one document, each row filtered alike, and what a row loses is gathered for its own text; other columns pass through ``dedup_lines`` untouched.
 """
 
 from __future__ import annotations
 
 import hashlib
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import xxhash
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.llm.common import NO_ID, id_and_text, lookup, map_arrow, original_id, stored, unused
+from riskloom.session import shared_folder
 
 SPACE = b" \t\n\x0b\x0c\r"
 MIN_CHARS = 10
@@ -29,6 +34,8 @@ MIN_CHARS = 10
 BITS_PER_LINE, CHUNK = 16, 1 << 16
 #: Lines of a slice; its filter takes BITS_PER_LINE bits for each, 16 MB in all.
 SLICE_LINES = 8_000_000
+#: Lines whose bits a task folds before it sends them, and filters that it holds at once.
+FOLDED, HELD = 1 << 20, 4
 
 
 def line_key(line: bytes) -> bytes:
@@ -45,13 +52,14 @@ def digest(key: bytes) -> bytes:
 
 def _pairs(slices: int):
     def run(batch: pa.RecordBatch):
-        ids, found = [], []
-        for i, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        rows, found = [], []
+        for n, body in enumerate(batch.column(2).to_pylist()):
             own = {digest(k) for x in body.lower().split(b"\n") if len(x) >= MIN_CHARS and long_enough(k := x.strip(SPACE))}
-            ids += [i] * len(own)
+            rows += [n] * len(own)
             found += own
         where = np.frombuffer(b"".join(found), dtype="<u4").reshape(-1, 4)[:, 3] % slices if found else np.zeros(0)
-        yield {"line": found, "id": ids, "slice": where.astype(np.int32)}
+        rows = pa.array(rows, pa.int32())
+        yield {"line": found, "id": batch.column(0).take(rows), "mark": batch.column(1).take(rows), "slice": where.astype(np.int32)}
     return run
 
 
@@ -65,73 +73,92 @@ def _bits(lines: pa.Array, size: int) -> np.ndarray:
 
 
 def _marks(size: int):
-    """Per batch and filter chunk: the bits set, and whether each was set again."""
-    def run(batch: pa.RecordBatch):
-        if not batch.num_rows:
-            return
-        bits = _bits(batch.column(0), size)
-        at, times = np.unique(bits, return_counts=True)
+    """Per filter slice and chunk: the bits that a task's lines set, and whether each was set again."""
+    def fold(held):
+        at, times = np.unique(np.concatenate(held), return_counts=True)
         cuts = np.flatnonzero(np.diff(at // CHUNK)) + 1
         parts, again = np.split((at % CHUNK).astype("<u2"), cuts), np.split(times > 1, cuts)
-        yield {"chunk": [int(x) for x in at[np.r_[0, cuts]] // CHUNK], "bits": [x.tobytes() for x in parts],
-               "again": [np.packbits(x).tobytes() for x in again]}
+        first = at[np.r_[0, cuts]]
+        return pa.RecordBatch.from_pydict({
+            "slice": pa.array(first // size, pa.int32()), "chunk": pa.array(first % size // CHUNK, pa.int32()),
+            "bits": pa.array([x.tobytes() for x in parts], pa.binary()), "again": pa.array([np.packbits(x).tobytes() for x in again], pa.binary())})
+
+    def run(batches):
+        held, lines = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append((_bits(batch.column(0), size) + batch.column(1).to_numpy()[:, None].astype(np.int64) * size).ravel())
+                lines += batch.num_rows
+            if lines >= FOLDED:
+                yield fold(held)
+                held, lines = [], 0
+        if held:
+            yield fold(held)
     return run
 
 
 def _merge(key, group):
-    """The two filters of a chunk, folded over the batches; the once-seen one is needed no longer afterwards."""
+    """The two filters of a chunk, folded over the tasks; the once-seen one is needed no longer afterwards."""
     once, twice = np.zeros(CHUNK, bool), np.zeros(CHUNK, bool)
     for bits, again in zip(group.column("bits").to_pylist(), group.column("again").to_pylist()):
         at = np.frombuffer(bits, "<u2")
         twice[at] |= once[at] | np.unpackbits(np.frombuffer(again, np.uint8))[: len(at)].astype(bool)
         once[at] = True
-    return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "twice": pa.array([np.packbits(twice).tobytes()], pa.binary())})
+    return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "chunk": pa.array([key[1].as_py()], pa.int32()),
+                     "twice": pa.array([np.packbits(twice).tobytes()], pa.binary())})
 
 
-def _suspects(filter_bytes, size: int):
-    def run(batch: pa.RecordBatch):
-        if not batch.num_rows:
-            return
-        twice = np.frombuffer(filter_bytes.value, np.uint8)
-        bits = _bits(batch.column(0), size)
-        hit = ((twice[bits >> 3] >> (7 - (bits & 7))) & 1).all(axis=1)
-        kept = batch.filter(pa.array(hit))
-        yield {"line": kept.column(0), "id": kept.column(1)}
+def _read_filter(folder: str, size: int):
+    """Reads the twice-seen filter of a slice from the shared folder."""
+    def read(number: int) -> np.ndarray:
+        system, path = fs.FileSystem.from_uri(folder) if ":" in folder.split("/")[0] else (fs.LocalFileSystem(), folder)
+        twice = np.zeros(size // 8, np.uint8)
+        for chunk, bits in zip(*pq.read_table(f"{path}/slice={number}", filesystem=system, columns=["chunk", "twice"]).to_pydict().values()):
+            twice[chunk * CHUNK // 8 : (chunk + 1) * CHUNK // 8] = np.frombuffer(bits, np.uint8)
+        return twice
+    return read
+
+
+def _suspects(read, size: int):
+    def run(batches):
+        held = lru_cache(HELD)(read)
+        for batch in batches:
+            slices = batch.column(1).to_numpy()
+            for number in np.unique(slices).tolist():
+                own = batch.filter(pa.array(slices == number))
+                twice, bits = held(number), _bits(own.column(0), size)
+                hit = ((twice[bits >> 3] >> (7 - (bits & 7))) & 1).all(axis=1)
+                yield own.filter(pa.array(hit)).select(["line", "id", "mark"])
     return run
 
 
 def suspected_lines(docs: DataFrame, slice_lines: int = SLICE_LINES) -> DataFrame:
-    """(line digest, id) of each line that the twice-seen filter holds. ``docs`` has ``id`` and ``body``."""
-    spark = docs.sparkSession
+    """(line digest, id, mark) of each line that the twice-seen filter holds. ``docs`` has ``id`` and ``body``; ``mark``
+    is a hash of the body."""
     text = F.col("body").cast("string")
     ends = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     lines = docs.agg(F.sum(ends)).first()[0] or 0
     slices = max(1, math.ceil(lines / slice_lines))
     size = max(CHUNK, math.ceil(math.ceil(lines / slices) * BITS_PER_LINE / CHUNK) * CHUNK)
-    pairs = stored(map_arrow(docs, _pairs(slices), "line binary, id long, slice int"), "lines", "slice")
-    out = []
-    for k in range(slices):
-        own = pairs.filter(F.col("slice") == k).select("line", "id")
-        marks = map_arrow(own.select("line"), _marks(size), "chunk int, bits binary, again binary")
-        merged = marks.groupBy("chunk").applyInArrow(_merge, "chunk int, twice binary")
-        twice = bytearray(size // 8)
-        for row in merged.collect():
-            twice[row["chunk"] * CHUNK // 8 : (row["chunk"] + 1) * CHUNK // 8] = row["twice"]
-        out.append(map_arrow(own, _suspects(spark.sparkContext.broadcast(bytes(twice)), size), "line binary, id long"))
-    found = out[0]
-    for more in out[1:]:
-        found = found.unionByName(more)
+    rows = docs.select("id", F.xxhash64("body").alias("mark"), "body")
+    pairs = stored(map_arrow(rows, _pairs(slices), "line binary, id long, mark long, slice int"), "lines", "slice")
+    marks = pairs.select("line", "slice").mapInArrow(_marks(size), "slice int, chunk int, bits binary, again binary")
+    merged = marks.groupBy("slice", "chunk").applyInArrow(_merge, "slice int, chunk int, twice binary")
+    folder = shared_folder(docs.sparkSession, "filters")
+    merged.write.partitionBy("slice").parquet(folder)
+    found = pairs.select("line", "slice", "id", "mark").mapInArrow(_suspects(_read_filter(folder, size), size), "line binary, id long, mark long")
     return stored(found, "suspects")
 
 
 def lines_to_drop(docs: DataFrame, slice_lines: int = SLICE_LINES) -> DataFrame:
-    """``id`` and the digests of the lines that it loses, ``lost``."""
+    """``id``, ``mark`` and the digests of the lines that rows with this id and text lose, ``lost``. A line goes from all
+    rows of an id or from none, so texts whose marks meet by chance lose no other lines."""
     suspects = suspected_lines(docs, slice_lines)
     repeats = suspects.groupBy("line").agg(F.min("id").alias("first"), F.max("id").alias("last"), F.count("*").alias("rows"))
     repeats = stored(repeats.filter("first < last").drop("last"), "repeats")
     total = suspects.count()
     lost = lookup(suspects, repeats, "line", "rows", total).filter("id > first")
-    return lost.groupBy("id").agg(F.collect_set("line").alias("lost"))
+    return lost.groupBy("id", "mark").agg(F.collect_set("line").alias("lost"))
 
 
 def _keep(batch: pa.RecordBatch):
@@ -156,7 +183,7 @@ def _keep(batch: pa.RecordBatch):
 def kept_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: the id, ``kept_text``, ``n_lines``, ``n_dropped``, and the SHA-256 of the kept text."""
     docs = id_and_text(df, key, text)
-    joined = docs.join(lines_to_drop(docs), "id", "left")
+    joined = docs.withColumn("mark", F.xxhash64("body")).join(lines_to_drop(docs), ["id", "mark"], "left").select("id", "body", "lost")
 
     def run(batch):
         for texts, count, dropped in _keep(batch):
@@ -169,10 +196,12 @@ def kept_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
 
 def dedup_lines(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``df`` with repeated lines taken out of ``text``; all other columns as they are."""
-    number, gone = unused(df, "id", "lost")
-    lost = lines_to_drop(id_and_text(df, key, text)).select(F.col("id").alias(number), F.col("lost").alias(gone))
+    number, mark, gone = unused(df, "id", "mark", "lost")
+    lost = lines_to_drop(id_and_text(df, key, text)).select(F.col("id").alias(number), F.col("mark").alias(mark), F.col("lost").alias(gone))
     own = [F.col(f"`{c}`") for c in df.columns]
-    joined = df.withColumn(number, F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID))).join(lost, number, "left")
+    named = df.withColumn(number, F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(NO_ID)))
+    named = named.withColumn(mark, F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")))
+    joined = named.join(lost, [number, mark], "left")
     schema, at = df.schema, df.columns.index(text)
 
     def over(batches):
