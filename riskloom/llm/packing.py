@@ -25,7 +25,7 @@ from riskloom.llm.common import id_and_text, original_id, stored
 LENGTH, CLOSING = 4096, 1
 GROUP = 50_000
 #: Bytes of each of the two generations of a worker's memory of words, and what an entry takes beside its bytes.
-MEMORY, ENTRY = 150_000_000, 160
+MEMORY, ENTRY = 60_000_000, 160
 
 _WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
