@@ -3,20 +3,29 @@
 Method: words have context and target vectors of DIMENSIONS numbers; a target's score after a context word is the
 product of the context's vector, turned by a matrix, with the target's vector, plus the target's bias. Training in numpy
 contrasts what follows each context in the training documents with unigram noise; the expectation over the noise is
-taken exactly, by matrix products, from the counts of all adjacent pairs. One more product and a row-wise normalisation
-give every log-probability. The model's own vocabulary is the VOCABULARY most frequent training tokens, so pair counts,
-parameters and the table of log-probabilities are bounded by its square. Other tokens share one class whose members are
-told apart by their add-one counts, with one more place for the unseen: probabilities of all texts sum to one.
+taken exactly, by matrix products, from the counts of all adjacent pairs.
+
+Nothing bounds the vocabulary: it is the WORDS * sqrt(N) most frequent of N training tokens, so the pairs of words that
+the model weighs are as many as the tokens, and one pass over them costs the same per token at every size. Pair counts
+stay in Spark as tiles of SIDE contexts by SIDE targets, words dealt in turn so that frequent ones spread over all
+tiles. A step of the training is one job: tasks turn tiles into slopes, which are added by Spark; the driver holds the
+parameters, their moments and one sum of slopes, which grow with the square root of the corpus. A further job over the
+tiles gives each context its normaliser, so the probability of a token is one product of two vectors. Other tokens
+share one class whose members are told apart by their add-one counts, with one more place for the unseen: probabilities
+of all texts sum to one.
 
 Counts cover every training document and token. Documents are dealt to shards of bounded size; a shard numbers its own
 tokens, and only its distinct tokens are shuffled to meet their counts in the whole corpus and to come back as numbers.
+A token has at most one row a shard there, so no token outweighs others.
 
 Defined results: null and empty texts are the end token alone; a null id belongs to the training part; repeated rows
-each count and are each scored; with no training documents every token is unseen.
+each count and are each scored; with no training documents every token is unseen. Slopes are added in any order, so
+scores of two runs may differ in their last digits.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
@@ -26,9 +35,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from riskloom.llm.common import NO_ID, id_and_text, original_id, stored
+from riskloom.llm.common import NO_ID, group_bounds, id_and_text, original_id, stored
 
-VOCABULARY, DIMENSIONS, NOISE, STEPS, RATE, DECAY = 1000, 24, 8, 100, 0.05, 20.0
+WORDS = 1.0  # words of the model for each square root of the training tokens
+DIMENSIONS, NOISE, STEPS, RATE, DECAY = 24, 8, 40, 0.1, 20.0
+SIDE = 512  # contexts and targets of a tile
 FOLDS, HELD_OUT = 7, 2
 SHARD_TOKENS = 4_000_000
 END = b""  # no word is empty
@@ -113,39 +124,147 @@ def counted(parts: DataFrame) -> DataFrame:
                              (F.octet_length("token") == 0).alias("ends")), "counted")
 
 
+def _slopes(cells, times, predicted, target, bias, false, unigram):
+    """Of a tile, the slopes towards ``predicted`` and towards (target, bias). ``cells`` are the places of pairs that
+    were seen, ``times`` their shares of all pairs; ``false`` and ``unigram`` make up the shares of the noise."""
+    true = predicted @ target.T
+    true += bias - np.log(unigram)
+    np.clip(true, -30, 30, out=true)
+    np.negative(true, out=true)
+    np.exp(true, out=true)
+    true += 1
+    np.reciprocal(true, out=true)  # chance that a pair is data
+    seen = times * (1 - true.ravel()[cells])
+    error = true
+    error *= -false[:, None]
+    error *= unigram
+    error.ravel()[cells] += seen
+    return error @ target, np.column_stack([error.T @ predicted, error.sum(axis=0)])
+
+
+class Matrix:
+    """Pair counts held as one matrix; the plain counterpart of ``Tiles``."""
+
+    def __init__(self, pairs: np.ndarray):
+        contexts, outputs = pairs.shape
+        self.cells = np.flatnonzero(pairs)
+        self.times = pairs.ravel()[self.cells].astype(float)
+        self.before, self.follows = pairs.sum(axis=1).astype(float), pairs.sum(axis=0).astype(float)
+
+    def slopes(self, predicted, target, bias, false, unigram):
+        total = max(self.before.sum(), 1)
+        return _slopes(self.cells, self.times / total, predicted, target, bias, false, unigram)
+
+
+def _added(batches):
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for key, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            part = np.frombuffer(part, "<f8")
+            sums[key] = sums[key] + part if key in sums else part
+    yield from _parts(sums)
+
+
+def _parts(sums):
+    yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["part", "sums"])
+
+
+class Tiles:
+    """Pair counts as a stored table of tiles. Context c lies in tile row c mod ``down``, target t in tile column t mod
+    ``across``."""
+
+    def __init__(self, tiles: DataFrame, contexts: int, outputs: int):
+        self.tiles, self.contexts, self.outputs = tiles, contexts, outputs
+        self.down, self.across = -(-contexts // SIDE), -(-outputs // SIDE)
+        self.before, self.follows = (x[:, 0] for x in self._sums(_marginals, None, 1, 1))
+
+    def _sums(self, work, held, high: int, wide: int):
+        """Sums over all tiles of what ``work`` returns: one array for the tile's contexts, one for its targets."""
+        down, across, contexts, outputs = self.down, self.across, self.contexts, self.outputs
+
+        def over(batches):
+            sums: dict[int, np.ndarray] = {}
+            for batch in batches:
+                for tile, cells, times in zip(*(batch.column(c).to_pylist() for c in range(3))):
+                    row, column = divmod(tile, across)
+                    found = work(np.frombuffer(cells, "<i4"), np.frombuffer(times, "<i8"), held and held.value, slice(row, contexts, down), slice(column, outputs, across))
+                    for key, x in zip((row, down + column), found):
+                        x = x.astype(float).ravel()
+                        sums[key] = sums[key] + x if key in sums else x
+            yield from _parts(sums)
+
+        kinds = "part long, sums binary"
+        found = self.tiles.mapInArrow(over, kinds).repartition("part").mapInArrow(_added, kinds).toArrow()
+        first, second = np.zeros((contexts, high)), np.zeros((outputs, wide))
+        for key, part in zip(found.column("part").to_pylist(), found.column("sums").to_pylist()):
+            part = np.frombuffer(part, "<f8")
+            own = first[key::down] if key < down else second[key - down :: across]
+            own[:] = part.reshape(own.shape)
+        return first, second
+
+    def slopes(self, predicted, target, bias, false, unigram):
+        held = self.tiles.sparkSession.sparkContext.broadcast(
+            (max(self.before.sum(), 1), *(x.astype(np.float32) for x in (predicted, target, bias, false, unigram))))
+        found = self._sums(_tile_slopes, held, predicted.shape[1], target.shape[1] + 1)
+        held.unpersist()
+        return found
+
+    def normalisers(self, predicted, target, bias) -> np.ndarray:
+        """The logarithm of each context's sum over all targets."""
+        shift = (predicted @ target.mean(axis=0)) + bias.max()
+        held = self.tiles.sparkSession.sparkContext.broadcast((predicted, target, bias, shift))
+        return shift + np.log(self._sums(_tile_norms, held, 1, 0)[0][:, 0])
+
+
+def _side(part: slice) -> int:
+    return len(range(part.start, part.stop, part.step))
+
+
+def _marginals(cells, times, held, own, to):
+    wide = _side(to)
+    return np.bincount(cells // wide, times, _side(own)), np.bincount(cells % wide, times, wide)
+
+
+def _tile_slopes(cells, times, held, own, to):
+    total, predicted, target, bias, false, unigram = held
+    return _slopes(cells, (times / total).astype(np.float32), predicted[own], target[to], bias[to], false[own], unigram[to])
+
+
+def _tile_norms(cells, times, held, own, to):
+    predicted, target, bias, shift = held
+    return np.exp(np.clip(predicted[own] @ target[to].T + bias[to] - shift[own, None], -700, 700)).sum(axis=1), np.zeros(0)
+
+
 class LogBilinear:
-    """Log-probabilities of ``outputs`` targets after each of ``contexts`` contexts."""
+    """Log-probabilities of targets after contexts, from a matrix of pair counts or from ``Tiles``."""
 
-    def __init__(self, pairs: np.ndarray, dimensions: int = DIMENSIONS, noise: int = NOISE, steps: int = STEPS, rate: float = RATE,
+    def __init__(self, pairs, dimensions: int = DIMENSIONS, noise: int = NOISE, steps: int = STEPS, rate: float = RATE,
                  decay: float = DECAY, seed: int = 7):
-        contexts, outputs = pairs.shape
+        pairs = pairs if isinstance(pairs, Tiles) else Matrix(pairs)
         rng = np.random.default_rng(seed)
-        follows = pairs.sum(axis=0)
-        unigram = (follows + 1) / (follows.sum() + outputs)
-        before = pairs.sum(axis=1)
-        total = max(pairs.sum(), 1)
+        contexts, outputs = len(pairs.before), len(pairs.follows)
+        total = max(pairs.before.sum(), 1)
+        unigram = (pairs.follows + 1) / (pairs.follows.sum() + outputs)
         self.context = 0.1 * rng.standard_normal((contexts, dimensions))
         self.turn = np.eye(dimensions)
         self.target = 0.1 * rng.standard_normal((outputs, dimensions))
         self.bias = np.log(unigram)
         loss = decay / total  # of squared vectors, so that few pairs change little
-        data, false = pairs / total, noise * np.outer(before / total, unigram)
-        against = np.log(noise * unigram)
         held = [self.context, self.turn, self.target, self.bias]
         first, second = [np.zeros_like(x) for x in held], [np.zeros_like(x) for x in held]
         for step in range(1, steps + 1):
-            predicted = self.context @ self.turn
-            true = 1 / (1 + np.exp(-np.clip(predicted @ self.target.T + self.bias - against, -30, 30)))  # chance that a pair is data
-            error = data * (1 - true) - false * true
-            back = error @ self.target
-            slopes = [back @ self.turn.T - loss * self.context, self.context.T @ back, error.T @ predicted - loss * self.target, error.sum(axis=0)]
+            back, toward = pairs.slopes(self.predicted(), self.target, self.bias, pairs.before / total, noise * unigram)
+            slopes = [back @ self.turn.T - loss * self.context, self.context.T @ back, toward[:, :-1] - loss * self.target, toward[:, -1]]
             for x, g, m, v in zip(held, slopes, first, second):
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 x += rate * (1 - step / (steps + 1)) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
 
+    def predicted(self) -> np.ndarray:
+        return self.context @ self.turn
+
     def log10(self) -> np.ndarray:
-        scores = self.context @ self.turn @ self.target.T + self.bias
+        scores = self.predicted() @ self.target.T + self.bias
         top = scores.max(axis=1, keepdims=True)
         return (scores - top - np.log(np.exp(scores - top).sum(axis=1, keepdims=True))) / np.log(10)
 
@@ -172,23 +291,54 @@ def _before(sequence: np.ndarray, lengths: np.ndarray, begin: int) -> np.ndarray
     return context
 
 
-def _pairs(bound: int):
-    """Training pair counts of a shard. Numbers: words up to bound, bound for others, bound + 1 the start."""
+def _pairs(bound: int, down: int, across: int):
+    """Training pairs of a shard by tile. Numbers: words up to bound, bound for others, bound + 1 the start."""
+    contexts, outputs = bound + 2, bound + 1
+
     def run(vocabulary, documents):
-        made = np.zeros((bound + 2) * (bound + 1), np.int64)
+        found = []
         for _, out, lengths, local in _each(documents):
             sequence = _words(vocabulary, int(local.max()) + 1 if len(local) else 0, bound)[local]
-            code = _before(sequence, lengths, bound + 1) * (bound + 1) + sequence
-            made += np.bincount(code[np.repeat(~out, lengths)], minlength=len(made))
-        at = np.flatnonzero(made)
-        return pa.table({"pair": pa.array(at, pa.int64()), "times": pa.array(made[at], pa.int64())})
+            keep = np.repeat(~out, lengths)
+            before, after = _before(sequence, lengths, bound + 1)[keep], sequence[keep]
+            row, column = before % down, after % across
+            wide = (outputs - column + across - 1) // across
+            found.append((row * across + column) << 32 | (before // down) * wide + after // across)
+        code, times = np.unique(np.concatenate(found) if found else np.zeros(0, np.int64), return_counts=True)
+        edges = group_bounds(code >> 32)
+        parts = [_narrow(times[s:e]) for s, e in zip(edges[:-1], edges[1:])]
+        return pa.table({"tile": pa.array((code >> 32)[edges[:-1]] if len(code) else [], pa.int64()),
+                         "cells": pa.array([(code[s:e] & 0xFFFFFFFF).astype("<i4").tobytes() for s, e in zip(edges[:-1], edges[1:])], pa.binary()),
+                         "short": pa.array([x for x, _ in parts], pa.binary()), "wide": pa.array([x for _, x in parts], pa.binary())})
     return run
 
 
+def _tile(group):
+    """One row of a tile's rows from all shards."""
+    rows = [*zip(*(group.column(c).to_pylist() for c in ("cells", "short", "wide")))]
+    cells = np.concatenate([np.frombuffer(c, "<i4") for c, _, _ in rows])
+    times = np.concatenate([_widen(s, w) for _, s, w in rows])
+    cells, place = np.unique(cells, return_inverse=True)
+    sums = np.zeros(len(cells), "<i8")
+    np.add.at(sums, place, times)
+    return pa.table({"tile": group.column("tile")[:1], "cells": pa.array([cells.astype("<i4").tobytes()], pa.binary()), "times": pa.array([sums.tobytes()], pa.binary())})
+
+
+def tiles(named: DataFrame, documents: DataFrame, bound: int) -> Tiles:
+    """All training pairs; tiles without any have a row too, as the noise falls on them."""
+    down, across = -(-(bound + 2) // SIDE), -(-(bound + 1) // SIDE)
+    kinds = "tile long, cells binary, short binary, wide binary"
+    own = named.filter("word IS NOT NULL").groupBy("shard").cogroup(documents.groupBy("shard")).applyInArrow(_pairs(bound, down, across), kinds)
+    none = F.lit(b"")
+    every = named.sparkSession.range(down * across).select(F.col("id").alias("tile"), none.alias("cells"), none.alias("short"), none.alias("wide"))
+    made = own.unionByName(every).groupBy("tile").applyInArrow(_tile, "tile long, cells binary, times binary")
+    return Tiles(stored(made, "tiles"), bound + 2, bound + 1)
+
+
 def _score(table, bound: int, total: int, types: int, other_tokens: int, other_types: int):
     def run(vocabulary, documents):
         rows = [], [], [], [], [], []
-        logs = table.value
+        predicted, target, bias, norms = table.value
         for ids, out, lengths, local in _each(documents):
             if not len(ids):
                 continue
@@ -203,33 +353,37 @@ def _score(table, bound: int, total: int, types: int, other_tokens: int, other_t
             rows[0].extend(ids.tolist()), rows[1].extend(out.tolist()), rows[2].extend(lengths.tolist())
             rows[3].extend(np.add.reduceat((count > 0)[local].astype(np.int64), starts).tolist())
             rows[4].extend(np.add.reduceat(base[local], starts).tolist())
-            rows[5].extend(np.add.reduceat(logs[_before(sequence, lengths, bound + 1), sequence] + own[local], starts).tolist())
+            before, logs = _before(sequence, lengths, bound + 1), np.empty(len(local))
+            for s in range(0, len(local), 50_000):
+                b, w = before[s : s + 50_000], sequence[s : s + 50_000]
+                logs[s : s + 50_000] = (np.einsum("ij,ij->i", predicted[b], target[w]) + bias[w] - norms[b]) / math.log(10)
+            rows[5].extend(np.add.reduceat(logs + own[local], starts).tolist())
         names = ("id", "held_out", "n_tokens", "n_known", "base_score", "score")
         kinds = (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
         return pa.table({n: pa.array(r, k) for n, r, k in zip(names, rows, kinds)})
     return run
 
 
-def score(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: int = VOCABULARY, **training) -> DataFrame:
+def score(df: DataFrame, key: str = "doc_id", text: str = "text", words: float = WORDS, **training) -> DataFrame:
     """Per row: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = df.sparkSession
     parts = shards(id_and_text(df, key, text))
     known = counted(parts)
     per_token = known.filter("first")
     sums = per_token.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.count_if(F.col("count") > 0).alias("v")).first()
-    # the end token and the most frequent others; a bounded list
+    # the end token and the most frequent others; they grow with the square root of the training tokens
+    vocabulary = 1 + math.ceil(words * math.sqrt(sums["n"]))
     chosen = per_token.filter("count > 0 OR ends").orderBy(F.col("ends").desc(), F.col("count").desc(), "mark").limit(vocabulary).select("mark", "count").collect()
     bound = len(chosen)
     listed = spark.createDataFrame([(r["mark"], n) for n, r in enumerate(chosen)], "mark long, word int")
     named = known.select("shard", "local", "count", "mark").join(F.broadcast(listed), "mark", "left").drop("mark")
     documents = parts.filter("docs IS NOT NULL").select("shard", "docs", "short", "wide")
-    pairs = named.filter("word IS NOT NULL").groupBy("shard").cogroup(documents.groupBy("shard")).applyInArrow(_pairs(bound), "pair long, times long")
-    cells = pairs.groupBy("pair").agg(F.sum("times").alias("times")).toArrow()  # at most (bound + 2) * (bound + 1) rows
-    matrix = np.zeros((bound + 2) * (bound + 1))
-    matrix[cells.column("pair").to_numpy()] = cells.column("times").to_numpy()
-    table = LogBilinear(matrix.reshape(bound + 2, bound + 1), **training).log10()
+    pairs = tiles(named, documents, bound)
+    model = LogBilinear(pairs, **training)
+    norms = pairs.normalisers(model.predicted(), model.target, model.bias)
+    table = spark.sparkContext.broadcast((model.predicted(), model.target, model.bias, norms))
     in_model = sum(r["count"] for r in chosen)
-    work = _score(spark.sparkContext.broadcast(table), bound, sums["n"], sums["v"], sums["n"] - in_model, sums["v"] - sum(r["count"] > 0 for r in chosen))
+    work = _score(table, bound, sums["n"], sums["v"], sums["n"] - in_model, sums["v"] - sum(r["count"] > 0 for r in chosen))
     out = named.groupBy("shard").cogroup(documents.groupBy("shard")).applyInArrow(
         work, "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.select(original_id().alias(key), "held_out", "n_tokens", "n_known", F.lit(sums["n"]).cast("long").alias("train_tokens"), "base_score", "score")

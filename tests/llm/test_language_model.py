@@ -5,6 +5,7 @@ import zlib
 
 import numpy as np
 import pytest
+import xxhash
 
 from riskloom.llm import language_model
 from riskloom.llm.language_model import LogBilinear, score
@@ -56,7 +57,7 @@ def test_probabilities_sum_to_one(spark):
     rows = [(i, t) for i, t in enumerate(["a b", "a c", "b b d", "a"] * 5) if zlib.crc32(str(i).encode()) % 7 != 2]
     vocabulary = ["a", "b", "c", "d", "unseen"]
     probes = [(i, w) for i, w in zip((k for k in range(1000, 9999) if zlib.crc32(str(k).encode()) % 7 == 2), vocabulary)]
-    found = {r.doc_id: r.score for r in score(spark.createDataFrame(rows + probes, "doc_id long, text string"), vocabulary=3).collect()}
+    found = {r.doc_id: r.score for r in score(spark.createDataFrame(rows + probes, "doc_id long, text string"), words=0.25).collect()}
     total = sum(10 ** found[i] for i, _ in probes)
     assert 0 < total < 1
 
@@ -72,3 +73,56 @@ def test_model_learns_pairs():
     assert fitted > unigram + 0.25
     with pytest.raises(ValueError):
         LogBilinear(np.zeros(3))
+
+
+def plain_scores(rows, words, **training):
+    """From texts to scores with dictionaries and one matrix of pairs."""
+    out = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    seen = collections.Counter(w for i, t in rows if not out(i) for w in plain(t))
+    every = {w for _, t in rows for w in plain(t)}
+    n, v = sum(seen.values()), len(seen)
+    mark = lambda w: (xxhash.xxh64((w or "").encode(), seed=42).intdigest() + 2**63) % 2**64  # noqa: E731  signed order
+    ranked = sorted((w for w in every if seen[w] or w is None), key=lambda w: (w is not None, -seen[w], mark(w)))
+    number = {w: k for k, w in enumerate(ranked[: 1 + math.ceil(words * math.sqrt(n))])}
+    bound = len(number)
+    pairs = np.zeros((bound + 2, bound + 1))
+    coded = [(i, t, [number.get(w, bound) for w in plain(t)]) for i, t in rows]
+    for i, _, own in coded:
+        if not out(i):
+            for a, b in zip([bound + 1, *own], own):
+                pairs[a, b] += 1
+    logs = LogBilinear(pairs, **training).log10()
+    rest, kinds = n - sum(seen[w] for w in number), v - sum(seen[w] > 0 for w in number)
+    return {(i, t): sum(logs[a, b] + (math.log10((seen[w] + 1) / (rest + kinds + 1)) if b == bound else 0)
+                        for a, b, w in zip([bound + 1, *own], own, plain(t))) for i, t, own in coded}
+
+
+@pytest.mark.parametrize("side", [512, 7])
+def test_plain_version(spark, tiny, monkeypatch, side):
+    """Scores agree with those of a plain version, whether the pairs fill one tile or hundreds."""
+    monkeypatch.setattr(language_model, "SIDE", side)
+    monkeypatch.setattr(language_model, "SHARD_TOKENS", 3_000)
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").select("doc_id", "text").limit(60 if side == 512 else 25)
+    docs = spark.createDataFrame(docs.collect() + [(None, "a b a"), (7_000_001, None), (7_000_001, "")], docs.schema).repartition(2)
+    rows = [tuple(r) for r in docs.collect()]
+    want = plain_scores(rows, 1.0, steps=8)
+    got = score(docs.withColumn("score", docs.doc_id), steps=8).collect()
+    assert np.allclose(sorted(r.score for r in got), sorted(want[r] for r in rows), rtol=1e-3, atol=1e-2)
+
+
+def test_vocabulary_grows(spark):
+    """Every pair count reaches the tiles, and four times the tokens give the model twice the words."""
+    made = []
+    for n in (400, 1600):
+        docs = spark.createDataFrame([(i, " ".join(f"w{(i * k) % 997}" for k in range(20))) for i in range(n)], "doc_id long, text string")
+        seen = []
+        original = language_model.LogBilinear
+        language_model.LogBilinear = lambda pairs, **kw: seen.append(pairs) or original(pairs, **kw)
+        try:
+            out = score(docs, steps=1)
+            train = out.first().train_tokens
+        finally:
+            language_model.LogBilinear = original
+        assert seen[0].before.sum() == seen[0].follows.sum() == train
+        made.append(seen[0].outputs)
+    assert 1.8 < made[1] / made[0] < 2.2
