@@ -1,6 +1,7 @@
+import math
 import random
 
-from riskloom.llm.quality import classify, host_and_path, keep_accepted
+from riskloom.llm.quality import STRENGTH, classify, host_and_path, judged, keep_accepted
 from pyspark.sql import functions as F
 
 COMMON = [a + b for a in "ba ko mi tu le ra".split() for b in "nd st ver ing o a".split()]
@@ -68,3 +69,52 @@ def test_sites(spark):
     df = spark.createDataFrame(rows, "s string, l string")
     got = [tuple(r) for r in df.select(*host_and_path(F.col("s"), F.col("l"))).collect()]
     assert got == [("big.org", "/News"), ("a.b", ""), ("src0", "fr"), ("", "")]
+
+
+def plain_posteriors(rows):
+    """Rates of (host, path) for each row of (host, path, expectation), by dictionaries: global, then host, then path."""
+    def level(groups):
+        # groups: key -> (rows, sum, centre); strength by moments over all groups
+        n = sum(g[0] for g in groups.values())
+        within = max(sum(r * c * (1 - c) for r, _, c in groups.values()) / n, 1e-12)
+        between = max(sum(r * (s / r - c) ** 2 for r, s, c in groups.values()) / n - within * len(groups) / n, 1e-12)
+        strength = min(max(within / between - 1, STRENGTH[0]), STRENGTH[1])
+        return {k: (s + strength * c) / (r + strength) for k, (r, s, c) in groups.items()}
+
+    def grouped(key):
+        sums = {}
+        for row in rows:
+            n, s = sums.get(key(row), (0, 0.0))
+            sums[key(row)] = n + 1, s + row[2]
+        return sums
+
+    whole = sum(r[2] for r in rows) / len(rows)
+    hosts = level({h: (n, s, whole) for h, (n, s) in grouped(lambda r: r[0]).items()})
+    paths = level({k: (n, s, hosts[k[0]]) for k, (n, s) in grouped(lambda r: r[:2]).items()})
+    return hosts, paths
+
+
+def posteriors_agree(found):
+    for q in ("low", "toxic"):
+        hosts, paths = plain_posteriors([(r["host"], r["path"], r[q]) for r in found])
+        for r in found:
+            rate = paths[r["host"], r["path"]]
+            assert math.isclose(r[f"host_rate_{q}"], hosts[r["host"]], rel_tol=1e-9)
+            assert math.isclose(r[f"path_rate_{q}"], rate, rel_tol=1e-9)
+            odds = r[f"own_{q}"] + math.log(rate / (1 - rate))
+            assert math.isclose(r[f"p_{q}"], 1 / (1 + math.exp(-odds)), rel_tol=1e-9)
+    assert all(r["accepted"] == (r["p_low"] <= 0.5 and r["p_toxic"] <= 0.5) for r in found)
+
+
+def test_posteriors_of_the_whole_table(spark, tiny):
+    docs, labels = (spark.read.parquet(f"{tiny}/{t}.parquet") for t in ("documents", "labels"))
+    found = judged(docs, labels).collect()
+    assert len(found) == docs.count()
+    posteriors_agree(found)
+
+
+def test_posteriors_of_sparse_and_uneven_sites(spark):
+    rows = corpus(400, seed=3)
+    docs = spark.createDataFrame([(i, t, f"https://h{i % 2 if i < 300 else i}.org/{i % 7}/x", "en", 0) for i, t, *_ in rows], DOCS)
+    labels = spark.createDataFrame([(r[0], r[4], r[5]) for r in rows if r[0] % 2], LABELS)
+    posteriors_agree(judged(docs, labels).collect())
