@@ -9,7 +9,7 @@ from catalog.drift import _PREDICTION, _prediction, _report, measures_sql
 from catalog.inputs import SCORED_SQL, scored
 from catalog.performance import _DISPARITY, _LIMITS, _PERF
 from catalog.registry import query, r, rnd, rounded, table
-from riskloom.operators import drift, fairness, performance, rollup, scores, scoring, status, training
+from riskloom.operators import drift, fairness, performance, rollup, sampling, scores, scoring, status, training
 from riskloom.plans.monitor import monitor_job
 from riskloom.plans.train import train_job
 from riskloom.session import shared_folder
@@ -82,28 +82,29 @@ def columns_of(df):
 
 
 def _fit_score(spark, folder, model):
-    df = written_table(spark, folder)
-    frame = training.training_frame(df, LABEL)
+    """Metrics on rows that the model has not seen; the split is a function of the key."""
+    df = sampling.split_by_hash(written_table(spark, folder), KEY)
+    frame = training.training_frame(df.filter("split = 'train'"), LABEL)
     made = model(frame) if callable(model) else model
-    fitted = training.model_pipeline(made, columns_of(df)).fit(frame.data)
-    return performance.evaluate(training.with_score(fitted.transform(df)), LABEL, training.SCORE)
+    fitted = training.model_pipeline(made, columns_of(df.drop("split"))).fit(frame.data)
+    return performance.evaluate(training.with_score(fitted.transform(df.filter("split = 'test'"))), LABEL, training.SCORE)
 
 
 @query("train_baseline")
 def train_baseline(spark, folder):
-    return _fit_score(spark, folder, lambda frame: training.baseline_model(float(frame.rows), max_iter=100))
+    return _fit_score(spark, folder, lambda frame: training.baseline_model(float(frame.rows)))
 
 
 @query("train_forest")
 def train_forest(spark, folder):
     model = training.tunable_models()["Random Forest"]
-    return _fit_score(spark, folder, model.setNumTrees(20).setMaxDepth(5))
+    return _fit_score(spark, folder, model.setNumTrees(100).setMaxDepth(8))
 
 
 @query("train_gbt")
 def train_gbt(spark, folder):
     model = training.tunable_models()["Gradient Boosting"]
-    return _fit_score(spark, folder, model.setMaxIter(10).setMaxDepth(3))
+    return _fit_score(spark, folder, model.setMaxIter(50).setMaxDepth(3))
 
 
 @query("tune")
