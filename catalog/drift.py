@@ -10,6 +10,7 @@ from catalog.registry import query, r, rounded, table
 from riskloom.functions.columns import local_rows
 from riskloom.functions.distance import distances
 from riskloom.operators import drift, scores
+from riskloom.session import shared_folder
 
 _LEVELS = "[0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]"
 
@@ -252,6 +253,15 @@ def prediction_drift(spark, folder):
     return rounded(_prediction(spark, folder))
 
 
+@query("prediction_drift_stored", f"{_PREDICTION} SELECT reference_n, current_n, threshold, status, reasons, "
+       + ", ".join(r(c, c) for c in _PRED_NUMBERS) + " FROM s")
+def prediction_drift_stored(spark, folder):
+    """The reference is profiled and stored; the comparison reads the profile and the current batch alone."""
+    reference, current = _score_sides(spark, folder)
+    path = scores.ScoreProfile.of(reference, "p", 0.2).save(spark, shared_folder(spark, "score-profile"))
+    return rounded(scores.prediction_drift_from(scores.ScoreProfile.load(spark, path), current, "p"))
+
+
 @query("prediction_status", f"{_PREDICTION} SELECT status, reasons FROM s")
 def prediction_status(spark, folder):
     return _prediction(spark, folder).select("status", "reasons")

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.functions.columns import count_if, finite, local_rows, named, sql_finite
 from riskloom.functions.distance import bin_index, distances
 from riskloom.functions.ranges import quantiles
 from riskloom.operators.drift import CRITICAL, DRIFT_LIMITS, STABLE, WARNING, histogram_parts, two_sided
+from riskloom.sources.sinks import write_parquet
 
 # The eleven edges of the probability histogram, as floating point yields them.
 PROBABILITY_EDGES = [i * 0.1 for i in range(11)]
@@ -106,8 +108,13 @@ def prediction_drift(reference: DataFrame, current: DataFrame, score: str, thres
     parts = histogram_parts(both.selectExpr("p AS quantile", "p AS fixed", "side"), used)
     apart = {r["feature"]: r for r in distances(parts, ["feature"]).collect()}
 
+    return _drift_row(spark, seen, (found["ref"][-1], found["cur"][0]), apart, threshold, limits, bands)
+
+
+def _drift_row(spark, seen: Sequence[Mapping], medians: Sequence[float], apart: Mapping[str, Mapping], threshold: float,
+               limits: Mapping[str, float], bands: Mapping[str, float]) -> DataFrame:
     row: dict[str, float] = {}
-    for name, stats, median in zip(("reference", "current"), seen, (found["ref"][-1], found["cur"][0])):
+    for name, stats, median in zip(("reference", "current"), seen, medians):
         row |= {f"{name}_n": stats["n"], **{f"{name}_{k}": stats[k] for k in SUMMARY}, f"{name}_median_probability": median}
     row["probability_psi"] = apart["quantile"]["psi"] if "quantile" in apart else 0.0
     row["probability_distribution_distance"] = apart["fixed"]["js"]
@@ -139,3 +146,81 @@ def prediction_status(df: DataFrame, limits: Mapping[str, float] = PREDICTION_LI
 
 def positive_count(df: DataFrame, score: str, threshold: float) -> DataFrame:
     return df.agg(count_if(named(score) >= F.lit(float(threshold))).alias("positives"))
+
+
+@dataclass(frozen=True)
+class ScoreProfile:
+    """What monitoring needs of the reference scores, so that their rows need not be kept or read again: moments and
+    rates at the frozen threshold, the median, decile edges, and counts in decile bins and in fixed bins."""
+
+    threshold: float
+    stats: dict
+    median: float
+    edges: list[float]
+    counts: dict[str, list[int]]
+
+    @classmethod
+    def of(cls, df: DataFrame, score: str, threshold: float) -> ScoreProfile:
+        one = df.selectExpr(f"{sql_finite(df, score)} AS p", "0 AS side")
+        seen = _summaries(one, score, threshold, ["reference"])[0]
+        profile = {"p": {"n": seen["n"], "low": seen["min_probability"], "high": seen["max_probability"]}}
+        *deciles, median = quantiles(one, {"p": [*(i * 10 / 100 for i in range(11)), 0.5]}, profile)["p"]
+        edges = sorted(set(deciles))
+        counts = _bin_counts(one, edges)
+        return cls(float(threshold), {k: seen[k] for k in ("n", *SUMMARY)}, median, edges, counts)
+
+    def merged(self, other: ScoreProfile) -> ScoreProfile:
+        """With the counts of further scores on the same edges; the edges and the median stay those of the first batch."""
+        if (self.threshold, self.edges) != (other.threshold, other.edges):
+            raise ValueError("profiles with different thresholds or edges do not add up")
+        a, b = self.stats, other.stats
+        n = a["n"] + b["n"]
+        share = b["n"] / n
+        shift = b["mean_probability"] - a["mean_probability"]
+        spread = (1 - share) * a["std_probability"] ** 2 + share * b["std_probability"] ** 2 + share * (1 - share) * shift**2
+        stats = {"n": n, "mean_probability": a["mean_probability"] + share * shift, "std_probability": spread**0.5,
+                 "min_probability": min(a["min_probability"], b["min_probability"]),
+                 "max_probability": max(a["max_probability"], b["max_probability"]),
+                 "positive_rate": a["positive_rate"] + share * (b["positive_rate"] - a["positive_rate"])}
+        counts = {k: [x + y for x, y in zip(v, other.counts[k])] for k, v in self.counts.items()}
+        return ScoreProfile(self.threshold, stats, self.median, self.edges, counts)
+
+    def save(self, spark: SparkSession, path: str) -> str:
+        row = (self.threshold, self.stats["n"], *(self.stats[k] for k in SUMMARY), self.median, self.edges,
+               self.counts.get("quantile", []), self.counts["fixed"])
+        return write_parquet(local_rows(spark, [row], _PROFILE_SCHEMA), path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> ScoreProfile:
+        r = spark.read.parquet(path).first()
+        counts = {"fixed": list(r["fixed_counts"])} | ({"quantile": list(r["quantile_counts"])} if r["quantile_counts"] else {})
+        return cls(r["threshold"], {k: r[k] for k in ("n", *SUMMARY)}, r["median_probability"], list(r["edges"]), counts)
+
+
+_PROFILE_SCHEMA = ("threshold double, n long, " + ", ".join(f"{k} double" for k in SUMMARY)
+                   + ", median_probability double, edges array<double>, quantile_counts array<long>, fixed_counts array<long>")
+
+
+def _bin_counts(one: DataFrame, edges: list[float]) -> dict[str, list[int]]:
+    """Counts of ``p`` in decile bins (none below three edges) and fixed bins, from one scan."""
+    used = {k: e for k, e in {"quantile": edges, "fixed": PROBABILITY_EDGES}.items() if len(e) >= 3}
+    counts: dict[str, list[int]] = {k: [0] * (len(e) - 1) for k, e in used.items()}
+    for r in histogram_parts(one.selectExpr("p AS quantile", "p AS fixed", "0 AS side"), used).collect():
+        counts[r["feature"]][r["part"]] = r["ref"]
+    return counts
+
+
+def prediction_drift_from(profile: ScoreProfile, current: DataFrame, score: str,
+                          limits: Mapping[str, float] = PREDICTION_LIMITS,
+                          bands: Mapping[str, float] = DRIFT_LIMITS) -> DataFrame:
+    """``prediction_drift`` against a stored profile: only the current batch is read."""
+    spark = current.sparkSession
+    one = current.selectExpr(f"{sql_finite(current, score)} AS p", "0 AS side")
+    seen = _summaries(one, score, profile.threshold, ["current"])[0]
+    known = {"p": {"n": seen["n"], "low": seen["min_probability"], "high": seen["max_probability"]}}
+    median = quantiles(one, {"p": [0.5]}, known)["p"][0]
+    now = _bin_counts(one, profile.edges)
+    parts = local_rows(spark, [(k, i, ref, now[k][i]) for k, counts in profile.counts.items() for i, ref in enumerate(counts)],
+                       "feature string, part int, ref long, cur long")
+    apart = {r["feature"]: r for r in distances(parts, ["feature"]).collect()}
+    return _drift_row(spark, (profile.stats, seen), (profile.median, median), apart, profile.threshold, limits, bands)

@@ -13,7 +13,7 @@ from riskloom.operators.drift import (
     DRIFT_LIMITS, MAX_DRIFTED_RATIO, batch_intake, batches_identical, drift_report, summarise)
 from riskloom.operators.fairness import FAIRNESS_LIMITS, GROUP_COLUMNS, fairness_report
 from riskloom.operators.performance import MONITORING_FLOORS, performance_report
-from riskloom.operators.scores import PREDICTION_LIMITS, prediction_drift
+from riskloom.operators.scores import PREDICTION_LIMITS, ScoreProfile, prediction_drift, prediction_drift_from
 from riskloom.operators.scoring import Scorer
 from riskloom.operators.status import monitoring_summary, recommended_actions
 from riskloom.session import shared_folder
@@ -36,8 +36,10 @@ def monitor_job(scorer: Scorer, reference: DataFrame, current: DataFrame, label:
                 group_columns: Sequence[str] = GROUP_COLUMNS, drift_limits: Mapping[str, float] = DRIFT_LIMITS,
                 max_drifted_ratio: float = MAX_DRIFTED_RATIO, prediction_limits: Mapping[str, float] = PREDICTION_LIMITS,
                 floors: Mapping[str, float] = MONITORING_FLOORS, fairness_limits: Mapping = FAIRNESS_LIMITS,
-                folder: str | None = None, names: tuple[str, str] = ("reference", "current")) -> MonitoringResult:
-    """All sections over all rows; ``sample`` bounds each side on request only.
+                folder: str | None = None, names: tuple[str, str] = ("reference", "current"),
+                score_profile: ScoreProfile | None = None) -> MonitoringResult:
+    """All sections over all rows; ``sample`` bounds each side on request only. With the profile that training stored, the
+    scores are compared without the reference's rows.
 
     Both scored batches are written once to the shared folder, because every section reads them and
     scoring twice would cost more than reading back.
@@ -63,7 +65,12 @@ def monitor_job(scorer: Scorer, reference: DataFrame, current: DataFrame, label:
     features = drift_report(before, after, numeric, categorical, drift_limits)
     features = spark.read.parquet(write_parquet(features, f"{where}/feature_drift"))
     drift = summarise(features, max_drifted_ratio)
-    prediction = prediction_drift(before, after, "DEFAULT_PROBABILITY", threshold, prediction_limits, drift_limits)
+    if score_profile is None:
+        prediction = prediction_drift(before, after, "DEFAULT_PROBABILITY", threshold, prediction_limits, drift_limits)
+    elif score_profile.threshold != threshold:
+        raise ContractViolation(f"the score profile's threshold {score_profile.threshold} is not the champion's {threshold}")
+    else:
+        prediction = prediction_drift_from(score_profile, after, "DEFAULT_PROBABILITY", prediction_limits, drift_limits)
     performance = performance_report(after, label if labelled else None, "DEFAULT_PROBABILITY", threshold, floors,
                                      scorer.deployment.test_metrics)
     fairness, groups = fairness_report(after, "DEFAULT_PROBABILITY", threshold, fairness_limits,

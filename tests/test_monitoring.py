@@ -177,6 +177,37 @@ def test_prediction_drift(spark):
         scores.describe_scores(ref.filter("false"), "p", 0.5)
 
 
+@pytest.mark.parametrize("shape", ["spread", "constant", "two values"])
+def test_stored_score_profile(spark, tmp_path, shape):
+    """The stored profile gives the comparison that the reference's rows give."""
+    rng = np.random.default_rng(16)
+    values = {"spread": rng.beta(2, 5, 3000), "constant": np.full(3000, 0.25), "two values": rng.choice([0.1, 0.7], 3000)}[shape]
+    ref, cur = frames(spark, {"p": values}, {"p": rng.beta(5, 2, 2000)})
+    ref = ref.select("p").unionByName(local_rows(spark, [(None,), (float("nan"),)], "p double"))
+    path = scores.ScoreProfile.of(ref, "p", 0.4).save(spark, f"{tmp_path}/profile")
+    stored = scores.ScoreProfile.load(spark, path)
+    got, want = scores.prediction_drift_from(stored, cur, "p").first(), scores.prediction_drift(ref, cur, "p", 0.4).first()
+    assert got.asDict().keys() == want.asDict().keys()
+    for k, v in want.asDict().items():
+        assert got[k] == (pytest.approx(v, rel=1e-9, abs=1e-9) if isinstance(v, float) else v), k
+    with pytest.raises(ValueError, match="no predictions"):
+        scores.prediction_drift_from(stored, cur.filter("false"), "p")
+
+
+def test_merged_score_profiles(spark):
+    rng = np.random.default_rng(17)
+    first, second = (local_rows(spark, [(float(x),) for x in rng.beta(a, 3, 900)], "p double") for a in (2, 4))
+    base = scores.ScoreProfile.of(first, "p", 0.4)
+    more = scores.ScoreProfile.of(second, "p", 0.4)
+    with pytest.raises(ValueError, match="different"):
+        base.merged(more)
+    one = second.selectExpr("p", "0 AS side")
+    whole = base.merged(scores.ScoreProfile(0.4, more.stats, more.median, base.edges, scores._bin_counts(one, base.edges)))
+    both = scores.ScoreProfile.of(first.unionByName(second), "p", 0.4)
+    assert whole.stats == pytest.approx(both.stats) and whole.counts["fixed"] == both.counts["fixed"]
+    assert sum(whole.counts["quantile"]) == both.stats["n"]
+
+
 def test_identical_batches(spark):
     a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "a int, b string")
     assert drift.batches_identical(a, a.select("b", "a"))
