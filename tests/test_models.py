@@ -2,6 +2,7 @@
 
 import itertools
 import math
+from dataclasses import replace
 
 import numpy as np
 import pandas as pd
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from riskloom.operators import attribution, scoring, training
 from riskloom.operators.contracts import ContractViolation
 from riskloom.operators.preprocess import TabularPreprocessor
+from riskloom.operators.scores import ScoreProfile
 from riskloom.operators.tree_attribution import ensemble_leaves, shapley_values, tree_attribution
 from riskloom.plans.explain import explain_job
 from riskloom.plans.monitor import monitor_job
@@ -207,6 +209,12 @@ def test_monitoring_job(spark, signal, trained):
     assert quiet["performance_status"] == "not_available"
     with pytest.raises(ContractViolation, match="identical"):
         monitor_job(scorer, signal, signal, LABEL)
+    profile = ScoreProfile.load(spark, f"{trained[1]}/score_profile")
+    stored = monitor_job(scorer, signal, current, LABEL, score_profile=profile).prediction.first()
+    fresh = result.prediction.first()
+    assert stored["reference_n"] == profile.stats["n"] and stored["current_mean_probability"] == pytest.approx(fresh["current_mean_probability"])
+    with pytest.raises(ContractViolation, match="threshold"):
+        monitor_job(scorer, signal, current, LABEL, score_profile=replace(profile, threshold=-1.0))
 
 
 def test_prepare_job_from_raw_tables(spark):
