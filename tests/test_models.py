@@ -236,3 +236,47 @@ def test_prepare_job_from_raw_tables(spark):
     assert train.count() == test.count() == 30 and "DEBT_BURDEN_RATIO" in train.columns and "AGE_YEARS" in test.columns
     assert "prev_SK_ID_PREV_count" in made["dropped_columns"] and "prev_SK_ID_PREV_count" in test.columns
     assert set(train.columns) - {"TARGET"} <= set(test.columns)
+
+
+class CountedPreprocessor(training.TabularPreprocessor):
+    fits = 0
+
+    def _fit(self, dataset):
+        CountedPreprocessor.fits += 1
+        return super()._fit(dataset)
+
+
+def test_candidates_share_folds_and_preprocessors(signal, monkeypatch):
+    monkeypatch.setattr(training, "TabularPreprocessor", CountedPreprocessor)
+    monkeypatch.setattr(CountedPreprocessor, "fits", 0)
+    columns = [c for c in signal.columns if c not in (KEY, LABEL)]
+    searches = training.tune_candidates(signal, columns, LABEL, KEY, None, SPACES, 1, 2)
+    assert len(searches) == 2 and CountedPreprocessor.fits == 3  # one per fold, one for all rows; not for each model
+
+
+class WatchedRegression(training.LogisticRegression):
+    """Notes the rows of its tasks and how many fits run at once."""
+
+    tasks, running, most = [], 0, 0
+
+    def _fit(self, dataset):
+        kind = WatchedRegression
+        kind.running += 1
+        kind.most = max(kind.most, kind.running)
+        kind.tasks.append(max(dataset.rdd.glom().map(len).collect()))
+        try:
+            return super()._fit(dataset)
+        finally:
+            kind.running -= 1
+
+
+def test_learners_get_bounded_tasks_and_room(signal, monkeypatch):
+    rows, columns = signal.count(), [c for c in signal.columns if c not in (KEY, LABEL)]
+    size = training.held_bytes(rows, len(columns))
+    monkeypatch.setattr(training, "TASK_BYTES", size // 10)
+    monkeypatch.setattr(training, "CORE_BYTES", 1)
+    monkeypatch.setattr(WatchedRegression, "tasks", [])
+    model = WatchedRegression(featuresCol="features", labelCol=training.LABEL, weightCol=training.WEIGHT)
+    training.tune("Watched", model, {"maxIter": [1, 2]}, signal.coalesce(1), columns, LABEL, KEY, 2, 2, parallelism=2)
+    assert len(WatchedRegression.tasks) == 5 and max(WatchedRegression.tasks) <= rows // 5
+    assert WatchedRegression.most == 1  # rows of two fits would not fit side by side
