@@ -62,7 +62,7 @@ def _boosted_scorer(spark, folder):
     columns = [c for c in df.columns if c not in (KEY, LABEL)]
     frame = training.training_frame(df, LABEL)
     model = training.tunable_models()["Gradient Boosting"].setMaxIter(8).setMaxDepth(3)
-    fitted = training.model_pipeline(model, columns).fit(frame.data)
+    fitted = training.fit_pipeline(model, columns, frame)
     return df, Scorer(fitted, {"model_name": "boosted", "optimal_threshold": 0.5, "promoted": True,
                                "input_feature_columns": columns})
 
