@@ -23,8 +23,8 @@ from pyspark.sql import types as T
 
 from riskloom.functions.columns import (
     category_cells, chunked, count_if, flat_map, local_rows, named, quoted, sql_finite, sql_missing, sql_string)
-from riskloom.functions.distance import bin_index, distances
-from riskloom.functions.ranges import COLUMNS_PER_SCAN, largest_gaps, paired_profile, quantiles
+from riskloom.functions.distance import distances
+from riskloom.functions.ranges import COLUMNS_PER_SCAN, largest_gaps, locate, paired_profile, quantiles
 
 log = logging.getLogger(__name__)
 
@@ -74,10 +74,13 @@ def histogram_parts(both: DataFrame, edges: Mapping[str, Sequence[float]], side:
     names = list(edges)
     found: dict[tuple[str, int], tuple[int, int]] = {}
     for part in chunked(names, COLUMNS_PER_SCAN):
-        cells = [F.expr(f"CASE WHEN {quoted(c)} IS NOT NULL THEN named_struct('feature', {sql_string(c)}, 'part', "
-                        f"{bin_index(quoted(c), edges[c][1:-1])}) END") for c in part]
-        for r in flat_map(both, cells, [F.col(side)]).groupBy("feature", "part").agg(
-                count_if(F.col(side) == 0).alias("ref"), count_if(F.col(side) == 1).alias("cur")).collect():
+        base = both.select(*[named(c).cast("double").alias(f"x{i}") for i, c in enumerate(part)], named(side).alias("side"))
+        # a binary search: a comparison for each edge of each column is more code than the JVM compiles
+        base = locate(base, {f"x{i}": edges[c][1:-1] for i, c in enumerate(part)}, "_at")
+        cells = [F.expr(f"CASE WHEN x{i} IS NOT NULL THEN named_struct('feature', {sql_string(c)}, 'part', x{i}_at) END")
+                 for i, c in enumerate(part)]
+        for r in flat_map(base, cells, [F.col("side")]).groupBy("feature", "part").agg(
+                count_if(F.col("side") == 0).alias("ref"), count_if(F.col("side") == 1).alias("cur")).collect():
             found[r["feature"], r["part"]] = (r["ref"], r["cur"])
     rows = [(c, b, *found.get((c, b), (0, 0))) for c in names for b in range(len(edges[c]) - 1)]
     return local_rows(both.sparkSession, rows, "feature string, part int, ref long, cur long")

@@ -272,3 +272,14 @@ def test_selection(spark):
         selection.leaderboard(table.filter("false"))
     with pytest.raises(ValueError, match="lack"):
         selection.leaderboard(table, "Recall")
+
+
+def test_histogram_code_does_not_grow_with_the_edges(spark):
+    """Bins are searched, not compared edge by edge; values on an edge belong to the bin above it."""
+    rows = [(float(v), i % 2) for i, v in enumerate([-9, 0, 0.5, 1, 1.5, 2, 3, 99])] + [(None, 0)]
+    both = spark.createDataFrame(rows, "`a.b` double, side int").select("*", *[F.col("`a.b`").alias(f"c{i}") for i in range(30)])
+    edges = {c: [0.0, 1.0, 2.0, 3.0] for c in ["a.b", *[f"c{i}" for i in range(30)]]}
+    found = drift.histogram_parts(both, edges).collect()
+    assert len(found) == 93
+    for r in found:
+        assert (r["ref"], r["cur"]) == {0: (2, 1), 1: (1, 1), 2: (1, 2)}[r["part"]]
