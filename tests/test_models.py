@@ -2,7 +2,10 @@
 
 import itertools
 import math
+import threading
+import time
 from dataclasses import replace
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
@@ -280,3 +283,61 @@ def test_learners_get_bounded_tasks_and_room(signal, monkeypatch):
     training.tune("Watched", model, {"maxIter": [1, 2]}, signal.coalesce(1), columns, LABEL, KEY, 2, 2, parallelism=2)
     assert len(WatchedRegression.tasks) == 5 and max(WatchedRegression.tasks) <= rows // 5
     assert WatchedRegression.most == 1  # rows of two fits would not fit side by side
+
+
+class WatchedBoosting(training.GBTClassifier):
+    """Notes how many fits of any candidate run at once."""
+
+    def _fit(self, dataset):
+        with WatchedBoosting.lock:
+            WatchedBoosting.running.append(self)
+            WatchedBoosting.most = max(WatchedBoosting.most, len(WatchedBoosting.running))
+            WatchedBoosting.fits += 1
+        try:
+            return super()._fit(dataset)
+        finally:
+            WatchedBoosting.running.remove(self)
+
+
+def test_fits_of_all_candidates_fill_the_cores(signal, monkeypatch):
+    monkeypatch.setattr(WatchedBoosting, "lock", threading.Lock(), raising=False)
+    monkeypatch.setattr(WatchedBoosting, "running", [], raising=False)
+    monkeypatch.setattr(WatchedBoosting, "most", 0, raising=False)
+    monkeypatch.setattr(WatchedBoosting, "fits", 0, raising=False)
+    common = dict(featuresCol="features", labelCol=training.LABEL, weightCol=training.WEIGHT, seed=3)
+    monkeypatch.setattr(training, "tunable_models", lambda seed: {n: WatchedBoosting(**common) for n in ("one", "two")})
+    space = {"maxIter": [2, 3], "maxDepth": [1, 2], "stepSize": [0.1, 0.3]}
+    columns = [c for c in signal.columns if c not in (KEY, LABEL)]
+    made = training.tune_candidates(signal, columns, LABEL, KEY, None, {"one": space, "two": space}, 3, 2)
+    assert WatchedBoosting.fits == 2 * 3 * 2 + 2 and WatchedBoosting.most > 3  # three were the most before, of one candidate
+    one, two = made.values()
+    assert one.scores == two.scores and len(one.scores) == 3 and one.best_params == two.best_params
+
+
+def test_kept_places_leave_the_forest_as_it_is(signal, monkeypatch):
+    columns = [c for c in signal.columns if c not in (KEY, LABEL)]
+    space, trees = {"numTrees": [5], "maxDepth": [6]}, []
+    model = training.tunable_models()["Random Forest"]
+    for place, kept in ((8, True), (10 ** 12, False)):
+        monkeypatch.setattr(training, "PLACE_BYTES", place)
+        best = training.tune("Random Forest", model, space, signal, columns, LABEL, KEY, 1, 2).best.stages[1]
+        assert best.getOrDefault("cacheNodeIds") is kept
+        trees.append(best.toDebugString.split("\n", 1)[1])
+    assert trees[0] == trees[1] and not model.getOrDefault("cacheNodeIds")
+
+
+def test_room_holds_back_what_does_not_fit():
+    room, seen = training._Room(10), []
+
+    def take(size):
+        with room.taken(size):
+            seen.append((size, room.held, room.running))
+            time.sleep(0.02)
+
+    with ThreadPool(8) as pool:
+        pool.map(take, [4, 4, 4, 25, 4, 4], chunksize=1)
+    assert all(held <= 10 or (size == 25 and n == 1) for size, held, n in seen) and max(n for _, _, n in seen) <= 2
+    forest = training.tunable_models()["Random Forest"]
+    deep = {forest.numTrees: 600, forest.maxDepth: 16, forest.minInstancesPerNode: 10}
+    assert training.model_bytes(forest, deep, 10 ** 9) == 600 * 2 ** 17 * training.NODE_BYTES
+    assert training.model_bytes(forest, deep, 1000) == 600 * 201 * training.NODE_BYTES
