@@ -341,3 +341,25 @@ def test_room_holds_back_what_does_not_fit():
     deep = {forest.numTrees: 600, forest.maxDepth: 16, forest.minInstancesPerNode: 10}
     assert training.model_bytes(forest, deep, 10 ** 9) == 600 * 2 ** 17 * training.NODE_BYTES
     assert training.model_bytes(forest, deep, 1000) == 600 * 201 * training.NODE_BYTES
+
+
+class Searched(Exception):
+    pass
+
+
+def check_whole_search(spark, tiny, monkeypatch, query, names):
+    """The registered query searches the full spaces of ``names``."""
+    import __spark_entry__ as entry_point
+
+    def searched(candidates, df, columns, label, key, n_iter, folds, seed, *rest):
+        assert {n: space for n, (_, space) in candidates.items()} == {n: training.SEARCH_SPACES[n] for n in names}
+        assert (n_iter, folds, seed) == (20, 3, 42)
+        raise Searched
+
+    monkeypatch.setattr(training, "_searched", searched)
+    with pytest.raises(Searched):
+        entry_point.queries()[query](spark, tiny)
+
+
+def test_train_job_query_searches_all(spark, tiny, monkeypatch):
+    check_whole_search(spark, tiny, monkeypatch, "train_job", ["Random Forest", "Gradient Boosting"])
