@@ -363,3 +363,7 @@ def check_whole_search(spark, tiny, monkeypatch, query, names):
 
 def test_train_job_query_searches_all(spark, tiny, monkeypatch):
     check_whole_search(spark, tiny, monkeypatch, "train_job", ["Random Forest", "Gradient Boosting"])
+
+
+def test_tune_query_searches_all(spark, tiny, monkeypatch):
+    check_whole_search(spark, tiny, monkeypatch, "tune", ["Gradient Boosting"])
