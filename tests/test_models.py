@@ -367,3 +367,7 @@ def test_train_job_query_searches_all(spark, tiny, monkeypatch):
 
 def test_tune_query_searches_all(spark, tiny, monkeypatch):
     check_whole_search(spark, tiny, monkeypatch, "tune", ["Gradient Boosting"])
+
+
+def test_tuning_summary_query_searches_all(spark, tiny, monkeypatch):
+    check_whole_search(spark, tiny, monkeypatch, "tuning_summary", ["Random Forest", "Gradient Boosting"])
